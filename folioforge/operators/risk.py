@@ -17,7 +17,6 @@ def simulated_pnl(
     positions: DataFrame,
     prices: DataFrame,
     params: RunParams,
-    stressed: bool = False,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per position and price day up to the position day: value times that day's return.
@@ -29,12 +28,6 @@ def simulated_pnl(
     history = prices.select(
         "instrument_id", F.col("price_dt").alias("historical_dt"), "return_pct"
     )
-    if stressed:
-        history = history.where(
-            F.col("historical_dt").between(
-                F.lit(params.stress_start).cast("date"), F.lit(params.stress_end).cast("date")
-            )
-        )
     held = positions.select(
         "portfolio_id",
         "instrument_id",
@@ -178,10 +171,16 @@ def portfolio_level_var(
     )
 
 
-def stressed_var(positions: DataFrame, prices: DataFrame, params: RunParams) -> DataFrame:
+def in_stress_window(params: RunParams) -> Column:
+    return F.col("historical_dt").between(
+        F.lit(params.stress_start).cast("date"), F.lit(params.stress_end).cast("date")
+    )
+
+
+def stressed_var(pnl: DataFrame, params: RunParams) -> DataFrame:
     """The same measure over the stress window; each result belongs to the month of its positions."""
-    pnl = simulated_pnl(positions, prices, params, stressed=True)
-    return position_level_var(pnl, params, prefix="svar").select(
+    stressed = pnl.where(in_stress_window(params))
+    return position_level_var(stressed, params, prefix="svar").select(
         "portfolio_id",
         "as_of_date",
         F.lit(params.stress_start).cast("date").alias("stress_window_start_dt"),

@@ -99,17 +99,18 @@ def var_portfolio_level(spark: SparkSession, folder: str) -> DataFrame:
     "expected_shortfall",
     f"""WITH {_PORTFOLIO_VAR} SELECT portfolio_id, {day('as_of_date')} AS as_of_date, confidence_level,
     n AS simulations_count, CAST(k AS INTEGER) AS tail_days,
-    {rounded('-list_sum(ordered[1:k])')} AS tail_loss_total FROM measured""",
+    {rounded('-list_sum(ordered[1:k])', 6)} AS tail_loss_total FROM measured""",
 )
 def expected_shortfall(spark: SparkSession, folder: str) -> DataFrame:
     """Shown times the number of tail days: a sum of amounts, unlike their mean, has no rounding ties."""
     total = (F.col("expected_shortfall") * F.col("tail_days")).alias("tail_loss_total")
     columns = ("portfolio_id", "as_of_date", "confidence_level", "simulations_count", "tail_days")
-    return present(_portfolio_var(spark, folder).select(*columns, total))
+    return present(_portfolio_var(spark, folder).select(*columns, total), 6)
 
 
 def _stressed(spark: SparkSession, folder: str) -> DataFrame:
-    return risk.stressed_var(model.positions(spark, folder), model.prices(spark, folder), PARAMS)
+    held, quotes = model.positions(spark, folder), model.prices(spark, folder)
+    return risk.stressed_var(risk.simulated_pnl(held, quotes, PARAMS), PARAMS)
 
 
 _SVAR = f"""{_pnl('stressed_pnl', _STRESS)}, {_quantiles('svar_results', 'stressed_pnl', 'svar')}"""

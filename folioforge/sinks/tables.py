@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folioforge.operators.bronze import align
 from folioforge.operators.facts import merge_corrections
 from folioforge.operators.quality import schema_violations
 from folioforge.session import materialize
@@ -62,6 +64,18 @@ def check_schema(df: DataFrame, table: str) -> None:
         raise ValueError(f"schema of {table} does not match: {text}")
 
 
+@contextmanager
+def _only_touched_partitions(spark: SparkSession) -> Iterator[None]:
+    """``insertInto`` follows the session setting alone; a writer option would be ignored."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def save_months(df: DataFrame, table: str, month: str) -> None:
     """Catalog-table form of :func:`replace_months`."""
     spark = df.sparkSession
@@ -71,12 +85,20 @@ def save_months(df: DataFrame, table: str, month: str) -> None:
         return
     check_schema(ordered, table)
     target = spark.table(table).columns
-    (
-        ordered.select(*target)
-        .hint("rebalance", month)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(table, overwrite=True)
-    )
+    with _only_touched_partitions(spark):
+        ordered.select(*target).hint("rebalance", month).write.insertInto(table, overwrite=True)
+
+
+def save_raw(df: DataFrame, table: str, batch: str) -> None:
+    """Replace one batch of a raw table, which accepts new columns; those it misses become null."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        known = set(spark.table(table).columns)
+        added = [(f.name, f.dataType.simpleString(), "") for f in df.schema if f.name not in known]
+        if added:
+            add_columns(spark, table, added)
+        df = align(df, spark.table(table).schema)
+    save_months(df, table, batch)
 
 
 def save_corrections(
