@@ -58,32 +58,28 @@ def _search(step: Callable[[Column], Column], p: SolverParams) -> Column:
 def irr(amounts: Column, p: SolverParams = SolverParams()) -> Column:
     """Rate per period of evenly spaced flows; null where it is undefined or not found.
 
-    Value and slope are running sums over periods 0, 1, 2, ... A discount factor that leaves the range
-    of doubles ends the search.
+    With x = 1 / (1 + rate) the value is a polynomial in x. Value and derivative come from one Horner
+    pass over the flows, last one first, without any power. A discount factor that leaves the range of
+    doubles ends the search.
     """
+    backwards = F.reverse(amounts)
 
     def step(rate: Column) -> Column:
-        growth = rate + 1
-        zero = F.struct(
-            F.lit(0.0).alias("value"), F.lit(0.0).alias("slope"), F.lit(0).alias("period")
-        )
+        x = F.lit(1.0) / (rate + 1)
+        zero = F.struct(F.lit(0.0).alias("value"), F.lit(0.0).alias("slope"))
 
         def add(acc: Column, amount: Column) -> Column:
-            factor = F.pow(growth, acc["period"])
             return F.struct(
-                (acc["value"] + F.try_divide(amount, factor)).alias("value"),
-                (
-                    acc["slope"] - F.try_divide(acc["period"] * amount, F.pow(growth, acc["period"] + 1))
-                ).alias("slope"),
-                (acc["period"] + 1).alias("period"),
+                (acc["value"] * x + amount).alias("value"),
+                (acc["slope"] * x + acc["value"]).alias("slope"),
             )
 
         def finish(acc: Column) -> Column:
-            last = F.pow(growth, acc["period"])
+            last = F.pow(rate + 1, F.size(amounts))
             overflow = (last == 0) | (last == float("inf"))
-            return _next_state(rate, acc["value"], acc["slope"], overflow, p)
+            return _next_state(rate, acc["value"], -acc["slope"] * x * x, overflow, p)
 
-        return F.aggregate(amounts, zero, add, finish)
+        return F.aggregate(backwards, zero, add, finish)
 
     solvable = (
         (F.size(amounts) >= 2)

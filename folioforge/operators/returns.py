@@ -67,6 +67,12 @@ def flows_with_terminal(cashflows: DataFrame, bounds: DataFrame, by: Sequence[st
     )
 
 
+def _spread(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Hash-partitioned by the group into the configured number of partitions, which stay as many."""
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(count, *by)
+
+
 def flow_series(
     flows: DataFrame, by: Sequence[str], solver: SolverParams = SolverParams()
 ) -> DataFrame:
@@ -75,23 +81,27 @@ def flow_series(
     A series longer than ``solver.max_periods`` has no rate (its discount factors overflow at the first
     step), so its flows are counted and added up but never brought together.
     """
-    totals = flows.groupBy(*by).agg(
-        F.count("*").alias("flow_count"), F.sum("cashflow_amount").alias("net_cashflow")
-    )
-    too_long = totals.where(F.col("flow_count") > solver.max_periods).select(*by)
-    short = flows.join(too_long, list(by), "left_anti")
-    series = short.groupBy(*by).agg(
-        F.array_sort(F.collect_list(F.struct("cashflow_dt", "cashflow_amount"))).alias("cashflow_series")
+    totals = (F.count("*").alias("flow_count"), F.sum("cashflow_amount").alias("net_cashflow"))
+    too_long = flows.groupBy(*by).agg(*totals).where(F.col("flow_count") > solver.max_periods)
+    short = flows.join(too_long.select(*by), list(by), "left_anti")
+    # The search is heavy for its input size: without a fixed number, few partitions would be left of it.
+    series = _spread(short, by).groupBy(*by).agg(
+        *totals,
+        F.sort_array(F.collect_list(F.struct("cashflow_dt", "cashflow_amount"))).alias("cashflow_series"),
     )
-    return totals.join(series, list(by), "left")
+    return series.unionByName(too_long, allowMissingColumns=True)
 
 
 def irr_results(
     flows: DataFrame, by: Sequence[str], solver: SolverParams = SolverParams()
 ) -> DataFrame:
     """IRR with one period per flow."""
-    amounts = F.transform("cashflow_series", lambda flow: flow["cashflow_amount"])
-    return flow_series(flows, by, solver).select(*by, "flow_count", irr(amounts, solver).alias("irr"))
+    ordered = flow_series(flows, by, solver).select(
+        *by,
+        "flow_count",
+        F.transform("cashflow_series", lambda flow: flow["cashflow_amount"]).alias("_amounts"),
+    )
+    return ordered.select(*by, "flow_count", irr(F.col("_amounts"), solver).alias("irr"))
 
 
 def xirr_results(
@@ -105,21 +115,24 @@ def xirr_results(
         F.max("cashflow_amount").alias("_high"),
         F.min("cashflow_amount").alias("_low"),
     )
-    grouped = per_day.groupBy(*by).agg(
-        F.array_sort(F.collect_list(F.struct("cashflow_dt", "_amount"))).alias("_series"),
+    grouped = _spread(per_day, by).groupBy(*by).agg(
+        F.sort_array(F.collect_list(F.struct("cashflow_dt", "_amount"))).alias("_series"),
+        F.min("cashflow_dt").alias("_first"),
         F.sum("_n").alias("flow_count"),
         F.max("_high").alias("_high"),
         F.min("_low").alias("_low"),
     )
-    first = F.get("_series", F.lit(0))["cashflow_dt"]
     dated = F.transform(
         "_series",
         lambda f: F.struct(
-            year_fraction(f["cashflow_dt"], first).alias("years"), f["_amount"].alias("amount")
+            year_fraction(f["cashflow_dt"], F.col("_first")).alias("years"), f["_amount"].alias("amount")
         ),
     )
     solvable = (F.col("flow_count") >= 2) & (F.col("_high") > 0) & (F.col("_low") < 0)
-    return grouped.select(*by, "flow_count", F.when(solvable, xirr(dated, solver)).alias("xirr"))
+    ready = grouped.select(*by, "flow_count", solvable.alias("_solvable"), dated.alias("_dated"))
+    return ready.select(
+        *by, "flow_count", F.when(F.col("_solvable"), xirr(F.col("_dated"), solver)).alias("xirr")
+    )
 
 
 def period_returns(values: DataFrame, period: str) -> DataFrame:

@@ -12,6 +12,46 @@ from folioforge.params import RunParams
 
 Tails = Sequence[tuple[float, int]]
 
+DAY = ["portfolio_id", "as_of_date"]
+# A portfolio day with more positions than this is measured with a mergeable sketch. With one return per
+# calendar day and position, this bounds the values that are brought together for an exact quantile.
+MAX_POSITIONS = 2000
+
+
+def _in_stress_window(params: RunParams) -> Column:
+    return F.col("historical_dt").between(
+        F.lit(params.stress_start).cast("date"), F.lit(params.stress_end).cast("date")
+    )
+
+
+def _held(positions: DataFrame, params: RunParams, carry: Sequence[str] = ()) -> DataFrame:
+    held = positions if params.month is None else positions.where(
+        F.col("position_yyyymm") == params.month
+    )
+    return held.select(
+        "portfolio_id",
+        "instrument_id",
+        F.col("position_dt").alias("as_of_date"),
+        "market_value",
+        *carry,
+    )
+
+
+def _history(prices: DataFrame, params: RunParams, stressed: bool) -> DataFrame:
+    """Returns by instrument and day: the full history, or the days of the stress window."""
+    history = prices.select(
+        "instrument_id", F.col("price_dt").alias("historical_dt"), "return_pct"
+    )
+    return history.where(_in_stress_window(params)) if stressed else history
+
+
+def _usable(day: Column, params: RunParams) -> Column:
+    """History up to and including the position day, optionally limited to a number of months."""
+    usable = day <= F.col("as_of_date")
+    if params.price_lookback_months is not None:
+        usable &= day > F.add_months("as_of_date", -params.price_lookback_months)
+    return usable
+
 
 def simulated_pnl(
     positions: DataFrame,
@@ -25,27 +65,10 @@ def simulated_pnl(
     Prices have one row per instrument and day, so a position meets at most one row per calendar day;
     an instrument held by very many positions is sliced. ``carry`` names further position columns.
     """
-    history = prices.select(
-        "instrument_id", F.col("price_dt").alias("historical_dt"), "return_pct"
-    )
-    held = positions.select(
-        "portfolio_id",
-        "instrument_id",
-        F.col("position_dt").alias("as_of_date"),
-        "market_value",
-        "position_yyyymm",
-        *carry,
-    )
-    if params.month is not None:
-        held = held.where(F.col("position_yyyymm") == params.month)
-    in_history = F.col("historical_dt") <= F.col("as_of_date")
-    if params.price_lookback_months is not None:
-        in_history &= F.col("historical_dt") > F.add_months(
-            "as_of_date", -params.price_lookback_months
-        )
+    history = _history(prices, params, stressed=False)
     return (
-        salted_join(held, history, "instrument_id")
-        .where(in_history)
+        salted_join(_held(positions, params, carry), history, "instrument_id")
+        .where(_usable(F.col("historical_dt"), params))
         .select(
             "portfolio_id",
             "instrument_id",
@@ -53,72 +76,132 @@ def simulated_pnl(
             "historical_dt",
             (F.col("market_value") * F.col("return_pct")).alias("simulated_pnl"),
             "market_value",
-            "position_yyyymm",
+            F.date_format("as_of_date", "yyyyMM").alias("position_yyyymm"),
             *carry,
         )
     )
 
 
-def _per_confidence(tails: Tails, value: Column) -> Column:
-    """One struct per confidence level, the i-th taking the i-th element of ``value``."""
-    return F.inline(
-        F.array(
-            *(
-                F.struct(F.lit(level).alias("confidence_level"), value[i].alias("_loss"))
-                for i, (level, _) in enumerate(tails)
-            )
-        )
+def _pnl_per_position(
+    positions: DataFrame, prices: DataFrame, params: RunParams, stressed: bool
+) -> DataFrame:
+    """One row per position with its simulated PnL as an array, at most one value per calendar day.
+
+    The same values as :func:`simulated_pnl`, but what is shuffled and grouped afterwards is one row per
+    position instead of one per position and day.
+    """
+    returns = (
+        _history(prices, params, stressed)
+        .groupBy("instrument_id")
+        .agg(F.collect_list(F.struct("historical_dt", "return_pct")).alias("_returns"))
+    )
+    usable = F.filter("_returns", lambda r: _usable(r["historical_dt"], params))
+    return salted_join(_held(positions, params), returns, "instrument_id").select(
+        *DAY,
+        "market_value",
+        F.transform(usable, lambda r: F.col("market_value") * r["return_pct"]).alias("pnl"),
     )
 
 
-def position_level_var(pnl: DataFrame, params: RunParams, prefix: str = "var") -> DataFrame:
-    """Loss quantiles over all position-level PnL rows of a portfolio day, all levels in one pass.
+def tail_rank(n: Column, permille: int) -> Column:
+    """Rank of the loss quantile among ``n`` ordered values, in whole numbers: ceil(n * tail)."""
+    return F.greatest(F.lit(1), F.ceil(n * permille / F.lit(1000)).cast("int"))
 
-    The quantile sketch merges, so rows are reduced before the shuffle. ``portfolio_market_value`` adds
-    a position once per history day, as in the published definition of the percentage.
+
+def position_level_var(
+    positions: DataFrame,
+    prices: DataFrame,
+    params: RunParams,
+    stressed: bool = False,
+) -> DataFrame:
+    """Loss quantiles over all position-level PnL of a portfolio day, all levels in one pass.
+
+    The quantile is exact up to ``MAX_POSITIONS`` positions a day. Larger days are found by counting
+    positions and go through ``percentile_approx``, whose partial results are merged before the shuffle.
+    ``portfolio_market_value`` adds a position once per history day, as the published percentage does.
     """
-    probabilities = F.array(*(F.lit(permille / 1000.0) for _, permille in params.tails_permille))
-    grouped = pnl.groupBy("portfolio_id", "as_of_date", "position_yyyymm").agg(
-        F.percentile_approx("simulated_pnl", probabilities).alias("_losses"),
-        F.sum("market_value").alias("portfolio_market_value"),
-        F.count("*").alias("simulations_count"),
+    per_position = _pnl_per_position(positions, prices, params, stressed)
+    crowded = (
+        _held(positions, params)
+        .groupBy(*DAY)
+        .agg(F.count("*").alias("_n"))
+        .where(F.col("_n") > MAX_POSITIONS)
+        .select(*DAY)
     )
-    return grouped.select(
-        "portfolio_id",
-        "as_of_date",
-        "portfolio_market_value",
-        "simulations_count",
-        F.col("position_yyyymm").alias("result_yyyymm"),
-        _per_confidence(params.tails_permille, F.col("_losses")),
-    ).select(
-        "portfolio_id",
-        "as_of_date",
+    tails = params.tails_permille
+    ordered = F.sort_array(F.flatten(F.collect_list("pnl")))
+    exact = (
+        per_position.join(crowded, DAY, "left_anti")
+        .groupBy(*DAY)
+        .agg(
+            ordered.alias("_ordered"),
+            F.sum(F.col("market_value") * F.size("pnl")).alias("portfolio_market_value"),
+        )
+        .withColumn("simulations_count", F.size("_ordered").cast("long"))
+        .where(F.col("simulations_count") > 0)
+        .select(
+            *DAY,
+            "portfolio_market_value",
+            "simulations_count",
+            F.array(
+                *(F.get("_ordered", tail_rank(F.size("_ordered"), tail) - 1) for _, tail in tails)
+            ).alias("_losses"),
+        )
+    )
+    sketched = (
+        per_position.join(crowded, DAY, "left_semi")
+        .select(*DAY, "market_value", F.explode("pnl").alias("_value"))
+        .groupBy(*DAY)
+        .agg(
+            F.sum("market_value").alias("portfolio_market_value"),
+            F.count("*").alias("simulations_count"),
+            F.percentile_approx("_value", [tail / 1000.0 for _, tail in tails]).alias("_losses"),
+        )
+    )
+    per_level = F.array(
+        *(
+            F.struct(F.lit(level).alias("confidence_level"), F.col("_losses")[i].alias("_loss"))
+            for i, (level, _) in enumerate(tails)
+        )
+    )
+    return (
+        exact.unionByName(sketched)
+        .select(*DAY, "portfolio_market_value", "simulations_count", F.inline(per_level))
+        .select(
+            *DAY,
+            "confidence_level",
+            F.lit(params.holding_period_days).alias("holding_period_days"),
+            F.date_format("as_of_date", "yyyyMM").alias("result_yyyymm"),
+            "simulations_count",
+            (-F.col("_loss")).alias("var_amount"),
+            F.try_divide(-F.col("_loss"), F.col("portfolio_market_value")).alias(
+                "var_pct_market_value"
+            ),
+        )
+    )
+
+
+def stressed_var(positions: DataFrame, prices: DataFrame, params: RunParams) -> DataFrame:
+    """The same measure over the stress window; each result belongs to the month of its positions."""
+    return position_level_var(positions, prices, params, stressed=True).select(
+        *DAY,
+        F.lit(params.stress_start).cast("date").alias("stress_window_start_dt"),
+        F.lit(params.stress_end).cast("date").alias("stress_window_end_dt"),
         "confidence_level",
-        F.lit(params.holding_period_days).alias("holding_period_days"),
         "result_yyyymm",
         "simulations_count",
-        (-F.col("_loss")).alias(f"{prefix}_amount"),
-        F.try_divide(-F.col("_loss"), F.col("portfolio_market_value")).alias(
-            f"{prefix}_pct_market_value"
-        ),
+        F.col("var_amount").alias("svar_amount"),
+        F.col("var_pct_market_value").alias("svar_pct_market_value"),
     )
 
 
 def daily_pnl(pnl: DataFrame) -> DataFrame:
     """Portfolio PnL on each historical day."""
-    return pnl.groupBy("portfolio_id", "as_of_date", "position_yyyymm", "historical_dt").agg(
-        F.sum("simulated_pnl").alias("pnl")
-    )
-
-
-def tail_rank(n: Column, permille: int) -> Column:
-    """Rank of the loss quantile among ``n`` ordered values, in whole numbers: ceil(n * tail)."""
-    return F.greatest(F.expr("1"), F.ceil(n * permille / F.lit(1000)).cast("int"))
+    return pnl.groupBy(*DAY, "historical_dt").agg(F.sum("simulated_pnl").alias("pnl"))
 
 
 def portfolio_level_var(
-    pnl: DataFrame, positions: DataFrame, params: RunParams, prefix: str = "var"
-) -> DataFrame:
+    pnl: DataFrame, positions: DataFrame, params: RunParams, ) -> DataFrame:
     """VaR and expected shortfall from portfolio PnL per historical day.
 
     PnL is added up per day first, so the ordered series of a portfolio has at most one entry per
@@ -126,8 +209,8 @@ def portfolio_level_var(
     """
     series = (
         daily_pnl(pnl)
-        .groupBy("portfolio_id", "as_of_date", "position_yyyymm")
-        .agg(F.array_sort(F.collect_list("pnl")).alias("_ordered"))
+        .groupBy(*DAY)
+        .agg(F.sort_array(F.collect_list("pnl")).alias("_ordered"))
     )
     value = positions.groupBy("portfolio_id", F.col("position_dt").alias("as_of_date")).agg(
         F.sum("market_value").alias("portfolio_market_value")
@@ -146,12 +229,12 @@ def portfolio_level_var(
             )
         )
     return (
-        series.join(value, ["portfolio_id", "as_of_date"], "left")
+        series.join(value, DAY, "left")
         .select(
             "portfolio_id",
             "as_of_date",
             "portfolio_market_value",
-            F.col("position_yyyymm").alias("result_yyyymm"),
+            F.date_format("as_of_date", "yyyyMM").alias("result_yyyymm"),
             n.cast("long").alias("simulations_count"),
             F.inline(F.array(*tails)),
         )
@@ -163,36 +246,14 @@ def portfolio_level_var(
             "result_yyyymm",
             "simulations_count",
             "portfolio_market_value",
-            F.col("loss").alias(f"{prefix}_amount"),
-            F.try_divide("loss", "portfolio_market_value").alias(f"{prefix}_pct_market_value"),
+            F.col("loss").alias("var_amount"),
+            F.try_divide("loss", "portfolio_market_value").alias("var_pct_market_value"),
             "tail_days",
             F.col("shortfall").alias("expected_shortfall"),
         )
     )
 
 
-def in_stress_window(params: RunParams) -> Column:
-    return F.col("historical_dt").between(
-        F.lit(params.stress_start).cast("date"), F.lit(params.stress_end).cast("date")
-    )
-
-
-def stressed_var(pnl: DataFrame, params: RunParams) -> DataFrame:
-    """The same measure over the stress window; each result belongs to the month of its positions."""
-    stressed = pnl.where(in_stress_window(params))
-    return position_level_var(stressed, params, prefix="svar").select(
-        "portfolio_id",
-        "as_of_date",
-        F.lit(params.stress_start).cast("date").alias("stress_window_start_dt"),
-        F.lit(params.stress_end).cast("date").alias("stress_window_end_dt"),
-        "confidence_level",
-        "result_yyyymm",
-        "simulations_count",
-        "svar_amount",
-        "svar_pct_market_value",
-    )
-
-
 def tail_contribution(pnl: DataFrame, params: RunParams) -> DataFrame:
     """Average PnL of each asset class over the tail days of its portfolio, and its share of the tail.
 
@@ -201,40 +262,37 @@ def tail_contribution(pnl: DataFrame, params: RunParams) -> DataFrame:
     Ranking runs over portfolio days, whose number per group is bounded by the calendar.
     """
     level, permille = params.tails_permille[0]
-    day = ["portfolio_id", "as_of_date", "historical_dt"]
-    by_class = pnl.groupBy(*day, "asset_class_code").agg(F.sum("simulated_pnl").alias("class_pnl"))
-    one_portfolio = Window.partitionBy("portfolio_id", "as_of_date")
+    by_class = pnl.groupBy(*DAY, "historical_dt", "asset_class_code").agg(
+        F.sum("simulated_pnl").alias("class_pnl")
+    )
+    one_portfolio = Window.partitionBy(*DAY)
+    one_day = Window.partitionBy(*DAY, "historical_dt")
+    # Partitioned by portfolio day once; the sum of a day and both ranks reuse that partitioning.
     ranked = (
-        by_class.groupBy(*day)
-        .agg(
-            F.sum("class_pnl").alias("day_pnl"),
-            F.collect_list(F.struct("asset_class_code", "class_pnl")).alias("_parts"),
-        )
-        .withColumns(
-            {
-                "_rank": F.row_number().over(one_portfolio.orderBy(F.round("day_pnl", 4), "historical_dt")),
-                "_n": F.count("*").over(one_portfolio),
-            }
+        by_class.repartition(*DAY)
+        .withColumn("_day_pnl", F.round(F.sum("class_pnl").over(one_day), 4))
+        .withColumn(
+            "_rank", F.dense_rank().over(one_portfolio.orderBy("_day_pnl", "historical_dt"))
         )
+        .withColumn("_n", F.max("_rank").over(one_portfolio))
     )
-    tail = ranked.where(F.col("_rank") <= tail_rank(F.col("_n"), permille))
-    parts = tail.select(
-        "portfolio_id", "as_of_date", tail_rank(F.col("_n"), permille).alias("tail_days"), F.inline("_parts")
+    tail_days = tail_rank(F.col("_n"), permille)
+    totals = (
+        ranked.withColumn("tail_days", tail_days)
+        .where(F.col("_rank") <= F.col("tail_days"))
+        .groupBy(*DAY, "asset_class_code")
+        .agg(F.first("tail_days").alias("tail_days"), F.sum("class_pnl").alias("class_total"))
     )
-    whole = F.sum("class_total").over(one_portfolio)
-    return (
-        parts.groupBy("portfolio_id", "as_of_date", "asset_class_code", "tail_days")
-        .agg(F.sum("class_pnl").alias("class_total"))
-        .select(
-            "portfolio_id",
-            "as_of_date",
-            "asset_class_code",
-            F.lit(level).alias("confidence_level"),
-            "tail_days",
-            "class_total",
-            (-F.col("class_total") / F.col("tail_days")).alias("tail_loss"),
-            F.try_divide(F.col("class_total"), whole).alias("tail_share"),
-        )
+    return totals.select(
+        *DAY,
+        "asset_class_code",
+        F.lit(level).alias("confidence_level"),
+        "tail_days",
+        "class_total",
+        (-F.col("class_total") / F.col("tail_days")).alias("tail_loss"),
+        F.try_divide(F.col("class_total"), F.sum("class_total").over(one_portfolio)).alias(
+            "tail_share"
+        ),
     )
 
 

@@ -144,17 +144,14 @@ def _published(results: DataFrame, spark: SparkSession, params: RunParams, day:
 def publish_risk(spark: SparkSession, params: RunParams) -> None:
     positions = spark.table("silver.fact_positions_daily")
     prices = spark.table("silver.fact_market_prices_daily")
-    # The distribution is a table of its own; the measures read it back instead of simulating again.
     pnl = risk.simulated_pnl(positions, prices, params)
     sinks.save_months(
         _published(pnl, spark, params, "as_of_date"), "gold.risk_pnl_distribution", "position_yyyymm"
     )
-    stored = spark.table("gold.risk_pnl_distribution").where(
-        F.col("position_yyyymm") == params.month
-    )
+    # The measures start from the facts again: the stored distribution is larger by the history length.
     for results, table in (
-        (risk.position_level_var(stored, params), "risk_var_results"),
-        (risk.stressed_var(stored, params), "risk_svar_results"),
+        (risk.position_level_var(positions, prices, params), "risk_var_results"),
+        (risk.stressed_var(positions, prices, params), "risk_svar_results"),
     ):
         sinks.save_months(
             _published(results, spark, params, "as_of_date"), f"gold.{table}", "result_yyyymm"

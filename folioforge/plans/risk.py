@@ -37,6 +37,17 @@ def _quantiles(name: str, pnl: str, prefix: str) -> str:
   GROUP BY portfolio_id, as_of_date, position_yyyymm, confidence_level)"""
 
 
+def _facts(
+    spark: SparkSession, folder: str, portfolio: str = "supplier"
+) -> tuple[DataFrame, DataFrame]:
+    """Positions and prices as written tables: simulations start from stored facts and scan them by column."""
+    held = model.positions(spark, folder, portfolio).select(
+        "portfolio_id", "instrument_id", "position_dt", "market_value", "position_yyyymm"
+    )
+    quotes = model.prices(spark, folder).select("instrument_id", "price_dt", "return_pct")
+    return materialize(held, "positions"), materialize(quotes, "prices")
+
+
 @query(
     "pnl_distribution",
     f"""WITH {POSITIONS}, {PRICES}, {_pnl('pnl')} SELECT portfolio_id, instrument_id,
@@ -45,24 +56,24 @@ def _quantiles(name: str, pnl: str, prefix: str) -> str:
     FROM pnl""",
 )
 def pnl_distribution(spark: SparkSession, folder: str) -> DataFrame:
-    held, quotes = model.positions(spark, folder), model.prices(spark, folder)
+    held, quotes = _facts(spark, folder)
     return present(risk.simulated_pnl(held, quotes, PARAMS), 6)
 
 
 def _position_var(spark: SparkSession, folder: str) -> DataFrame:
-    held, quotes = model.positions(spark, folder), model.prices(spark, folder)
-    return risk.position_level_var(risk.simulated_pnl(held, quotes, PARAMS), PARAMS)
+    held, quotes = _facts(spark, folder)
+    return risk.position_level_var(held, quotes, PARAMS)
 
 
 _VAR = f"{POSITIONS}, {PRICES}, {_pnl('pnl')}, {_quantiles('var_results', 'pnl', 'var')}"
 _VAR_COLUMNS = f"""portfolio_id, {day('as_of_date')} AS as_of_date, confidence_level, holding_period_days,
     result_yyyymm, simulations_count, {rounded('var_amount')} AS var_amount,
-    {rounded('var_pct_market_value', 6)} AS var_pct_market_value"""
+    {rounded('var_pct_market_value', 10)} AS var_pct_market_value"""
 
 
 @query("var_position_level", f"WITH {_VAR} SELECT {_VAR_COLUMNS} FROM var_results")
 def var_position_level(spark: SparkSession, folder: str) -> DataFrame:
-    return present(_position_var(spark, folder), var_pct_market_value=6)
+    return present(_position_var(spark, folder), var_pct_market_value=10)
 
 
 _PORTFOLIO_VAR = f"""{NATION_POSITIONS}, {PRICES}, {_pnl('pnl')}, days AS (
@@ -78,8 +89,8 @@ measured AS (SELECT *, (n * tail + 999) // 1000 AS k FROM series JOIN portfolio_
 
 
 def _portfolio_var(spark: SparkSession, folder: str) -> DataFrame:
-    held = materialize(model.positions(spark, folder, "nation"), "positions")
-    pnl = risk.simulated_pnl(held, model.prices(spark, folder), PARAMS)
+    held, quotes = _facts(spark, folder, "nation")
+    pnl = risk.simulated_pnl(held, quotes, PARAMS)
     return risk.portfolio_level_var(pnl, held, PARAMS)
 
 
@@ -88,11 +99,11 @@ def _portfolio_var(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH {_PORTFOLIO_VAR} SELECT portfolio_id, {day('as_of_date')} AS as_of_date, confidence_level,
     1 AS holding_period_days, position_yyyymm AS result_yyyymm, n AS simulations_count,
     {rounded('value', 2)} AS portfolio_market_value, {rounded('-ordered[k]', 5)} AS var_amount,
-    {rounded('-ordered[k] / value', 6)} AS var_pct_market_value FROM measured""",
+    {rounded('-ordered[k] / value', 10)} AS var_pct_market_value FROM measured""",
 )
 def var_portfolio_level(spark: SparkSession, folder: str) -> DataFrame:
     results = _portfolio_var(spark, folder).drop("expected_shortfall", "tail_days")
-    return present(results, 5, portfolio_market_value=2, var_pct_market_value=6)
+    return present(results, 5, portfolio_market_value=2, var_pct_market_value=10)
 
 
 @query(
@@ -109,8 +120,8 @@ def expected_shortfall(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stressed(spark: SparkSession, folder: str) -> DataFrame:
-    held, quotes = model.positions(spark, folder), model.prices(spark, folder)
-    return risk.stressed_var(risk.simulated_pnl(held, quotes, PARAMS), PARAMS)
+    held, quotes = _facts(spark, folder)
+    return risk.stressed_var(held, quotes, PARAMS)
 
 
 _SVAR = f"""{_pnl('stressed_pnl', _STRESS)}, {_quantiles('svar_results', 'stressed_pnl', 'svar')}"""
@@ -121,10 +132,10 @@ _SVAR = f"""{_pnl('stressed_pnl', _STRESS)}, {_quantiles('svar_results', 'stress
     f"""WITH {POSITIONS}, {PRICES}, {_SVAR} SELECT portfolio_id, {day('as_of_date')} AS as_of_date,
     '{PARAMS.stress_start}' AS stress_window_start_dt, '{PARAMS.stress_end}' AS stress_window_end_dt,
     confidence_level, result_yyyymm, simulations_count, {rounded('svar_amount')} AS svar_amount,
-    {rounded('svar_pct_market_value', 6)} AS svar_pct_market_value FROM svar_results""",
+    {rounded('svar_pct_market_value', 10)} AS svar_pct_market_value FROM svar_results""",
 )
 def svar(spark: SparkSession, folder: str) -> DataFrame:
-    return present(_stressed(spark, folder), svar_pct_market_value=6)
+    return present(_stressed(spark, folder), svar_pct_market_value=10)
 
 
 @query(
@@ -153,7 +164,7 @@ def vw_portfolio_risk_asof(spark: SparkSession, folder: str) -> DataFrame:
             "portfolio_id", "as_of_date", "confidence_level", "holding_period_days", "result_yyyymm",
             "simulations_count", "var_amount", "var_pct_market_value", "system_from_ts",
         ),
-        var_pct_market_value=6,
+        var_pct_market_value=10,
     )
 
 
@@ -179,8 +190,9 @@ def vw_portfolio_risk_asof(spark: SparkSession, folder: str) -> DataFrame:
 )
 def risk_by_class(spark: SparkSession, folder: str) -> DataFrame:
     classes = model.instruments(spark, folder).select("instrument_id", "asset_class_code")
-    held = model.positions(spark, folder, "nation").join(classes, "instrument_id")
-    pnl = risk.simulated_pnl(held, model.prices(spark, folder), PARAMS, carry=["asset_class_code"])
+    held, quotes = _facts(spark, folder, "nation")
+    classified = held.join(classes, "instrument_id")
+    pnl = risk.simulated_pnl(classified, quotes, PARAMS, carry=["asset_class_code"])
     return present(risk.tail_contribution(pnl, PARAMS).drop("tail_loss"), class_total=5)
 
 
@@ -219,6 +231,6 @@ def volatility(spark: SparkSession, folder: str) -> DataFrame:
     FROM prices JOIN benchmark USING (price_dt) GROUP BY instrument_id""",
 )
 def beta(spark: SparkSession, folder: str) -> DataFrame:
-    return present(risk.beta(materialize(model.prices(spark, folder), "prices")))
+    return present(risk.beta(_facts(spark, folder)[1]))
 
 

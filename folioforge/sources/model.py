@@ -37,6 +37,24 @@ def _arrival() -> Column:
     return F.date_add(_day("l_shipdate"), F.col("l_linenumber"))
 
 
+def _codes_of_group() -> list[Column]:
+    """First code and last arrival of a group. Keys, codes and dates stay fixed-width until after the
+    aggregation: a minimum of texts would turn the hash aggregation into a sort."""
+    return [
+        F.min(F.ascii("l_returnflag")).alias("_currency"),
+        F.min(F.ascii("l_linestatus")).alias("_source"),
+        F.max(_arrival()).alias("_arrived"),
+    ]
+
+
+def _decoded() -> list[Column]:
+    return [
+        F.char("_currency").alias("currency_code"),
+        F.char("_source").alias("source_system_code"),
+        month_of("_arrived").alias("source_yyyymm"),
+    ]
+
+
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     lines = load(spark, folder, "lineitem")
     orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey")
@@ -68,30 +86,27 @@ def positions(
     lines = load(spark, folder, "lineitem")
     if month is not None:
         lines = lines.where(in_month("l_shipdate", month))
-    day = _day("l_shipdate")
-    owner = _text("l_suppkey")
+    day, owner = _day("l_shipdate"), F.col("l_suppkey")
     if portfolio == "nation":
         suppliers = load(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
         lines = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        day, owner = F.last_day(day), _text("s_nationkey")
-    held = lines.groupBy(
-        owner.alias("portfolio_id"),
-        _text("l_partkey").alias("instrument_id"),
-        day.alias("position_dt"),
-    ).agg(
+        day, owner = F.last_day(day), F.col("s_nationkey")
+    held = lines.groupBy(owner.alias("_owner"), "l_partkey", day.alias("position_dt")).agg(
         F.sum("l_quantity").alias("quantity"),
         F.sum("l_extendedprice").alias("market_value"),
         F.sum(F.col("l_extendedprice") * _plain("l_discount")).alias("unrealized_pnl"),
-        F.min("l_returnflag").alias("currency_code"),
-        F.min("l_linestatus").alias("source_system_code"),
-        month_of(F.max(_arrival())).alias("source_yyyymm"),
+        *_codes_of_group(),
     )
     return held.select(
-        F.concat_ws(
-            "-", "portfolio_id", "instrument_id", F.date_format("position_dt", "yyyyMMdd")
-        ).alias("position_id"),
-        *held.columns,
+        F.concat_ws("-", "_owner", "l_partkey", F.date_format("position_dt", "yyyyMMdd")).alias("position_id"),
+        _text("_owner").alias("portfolio_id"),
+        _text("l_partkey").alias("instrument_id"),
+        "position_dt",
+        "quantity",
         (F.col("market_value") / F.col("quantity")).alias("end_of_day_price"),
+        "market_value",
+        "unrealized_pnl",
+        *_decoded(),
         month_of("position_dt").alias("position_yyyymm"),
     )
 
@@ -100,19 +115,21 @@ def prices(spark: SparkSession, folder: str) -> DataFrame:
     """One row per (instrument, day)."""
     quotes = (
         load(spark, folder, "lineitem")
-        .groupBy(_text("l_partkey").alias("instrument_id"), _day("l_shipdate").alias("price_dt"))
+        .groupBy("l_partkey", _day("l_shipdate").alias("price_dt"))
         .agg(
             (F.sum("l_extendedprice") / F.sum("l_quantity")).alias("close_price"),
             (F.avg("l_discount") - F.lit(0.05)).alias("return_pct"),
-            F.min("l_returnflag").alias("currency_code"),
-            F.min("l_linestatus").alias("source_system_code"),
-            month_of(F.max(_arrival())).alias("source_yyyymm"),
+            *_codes_of_group(),
         )
     )
     return quotes.select(
-        F.concat_ws("-", "instrument_id", F.date_format("price_dt", "yyyyMMdd")).alias("price_id"),
-        *quotes.columns,
+        F.concat_ws("-", "l_partkey", F.date_format("price_dt", "yyyyMMdd")).alias("price_id"),
+        _text("l_partkey").alias("instrument_id"),
+        "price_dt",
+        "close_price",
+        "return_pct",
         (F.abs("return_pct") * 100).alias("volatility_proxy"),
+        *_decoded(),
         month_of("price_dt").alias("price_yyyymm"),
     )
 
