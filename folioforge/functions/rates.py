@@ -58,28 +58,33 @@ def _search(step: Callable[[Column], Column], p: SolverParams) -> Column:
 def irr(amounts: Column, p: SolverParams = SolverParams()) -> Column:
     """Rate per period of evenly spaced flows; null where it is undefined or not found.
 
-    With x = 1 / (1 + rate) the value is a polynomial in x. Value and derivative come from one Horner
-    pass over the flows, last one first, without any power. A discount factor that leaves the range of
-    doubles ends the search.
+    Value and slope are added up term by term in flow order: whether the value comes within the absolute
+    tolerance can hang on the last digits, and another summation would end some searches differently. A
+    discount factor that leaves the range of doubles ends the search.
     """
-    backwards = F.reverse(amounts)
 
     def step(rate: Column) -> Column:
-        x = F.lit(1.0) / (rate + 1)
-        zero = F.struct(F.lit(0.0).alias("value"), F.lit(0.0).alias("slope"))
+        growth = rate + 1
+        zero = F.struct(
+            F.lit(0.0).alias("value"), F.lit(0.0).alias("slope"), F.lit(0).alias("period")
+        )
 
         def add(acc: Column, amount: Column) -> Column:
+            period = acc["period"]
             return F.struct(
-                (acc["value"] * x + amount).alias("value"),
-                (acc["slope"] * x + acc["value"]).alias("slope"),
+                (acc["value"] + F.try_divide(amount, F.pow(growth, period))).alias("value"),
+                (
+                    acc["slope"] - F.try_divide(period * amount, F.pow(growth, period + 1))
+                ).alias("slope"),
+                (period + 1).alias("period"),
             )
 
         def finish(acc: Column) -> Column:
-            last = F.pow(rate + 1, F.size(amounts))
+            last = F.pow(growth, acc["period"])
             overflow = (last == 0) | (last == float("inf"))
-            return _next_state(rate, acc["value"], -acc["slope"] * x * x, overflow, p)
+            return _next_state(rate, acc["value"], acc["slope"], overflow, p)
 
-        return F.aggregate(backwards, zero, add, finish)
+        return F.aggregate(amounts, zero, add, finish)
 
     solvable = (
         (F.size(amounts) >= 2)

@@ -63,7 +63,9 @@ def merge_corrections(
 
     ``keys`` must include the event month, since identifiers restart every month.
     """
-    touched = existing.join(affected_months(batch, month), month, "left_semi")
+    # One row per month: small enough to broadcast by nature, and it prunes the partitions to read.
+    months = F.broadcast(affected_months(batch, month))
+    touched = existing.join(months, month, "left_semi")
     return latest_per_key(touched.unionByName(batch), list(keys), list(latest_by))
 
 
@@ -90,7 +92,7 @@ def replayed(batches: DataFrame, month: str, batch: str) -> DataFrame:
     The last batch that touches a month owns it. The table of owners has one row per month.
     """
     owners = batches.groupBy(month).agg(F.max(batch).alias(batch))
-    return batches.join(owners, [month, batch], "left_semi")
+    return batches.join(F.broadcast(owners), [month, batch], "left_semi")
 
 
 def system_stamp(rows: DataFrame, valid_from: str, recorded: str) -> DataFrame:
