@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Settings every job relies on: UTC days and string partition keys."""
+    """Settings every job relies on: UTC days, string partition keys, splitting of skewed joins."""
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     return spark

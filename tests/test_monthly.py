@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from folioforge import pipeline
+from folioforge import monthly
 from folioforge.params import RunParams
 from tests.landing_files import land_month
 
@@ -20,8 +20,8 @@ def published(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("landing")
     land_month(base, "202601")
     land_month(base, "202602", policy="AGGRESSIVE", late_days=(date(2026, 1, 30), date(2026, 1, 31)))
-    pipeline.run_month(spark, str(base), JAN)
-    pipeline.run_month(spark, str(base), FEB)
+    monthly.run_month(spark, str(base), JAN)
+    monthly.run_month(spark, str(base), FEB)
     return base
 
 
@@ -31,7 +31,7 @@ def test_batches_are_kept_side_by_side(spark, published, rows):
 
 
 def test_late_rows_join_their_event_month(spark, published, rows):
-    months = pipeline.event_months(spark).where(F.col("table_name") == "fact_transactions")
+    months = monthly.event_months(spark).where(F.col("table_name") == "fact_transactions")
     assert rows(months, "event_yyyymm", "record_count") == [("202601", 30), ("202602", 28)]
 
 
@@ -77,20 +77,20 @@ def test_replaying_a_month_changes_nothing(spark, published, rows):
     names = ["silver.dim_portfolio", "silver.fact_transactions", "gold.risk_var_results",
              "gold.performance_xirr_results", "bronze.cashflows_raw"]
     before = {n: rows(spark.table(n)) for n in names}
-    pipeline.run_month(spark, str(published), FEB)
+    monthly.run_month(spark, str(published), FEB)
     for n in names:
         spark.catalog.refreshTable(n)
         assert rows(spark.table(n)) == before[n], n
 
 
 def test_raw_counts(spark, published, rows):
-    counts = dict(rows(pipeline.raw_counts(spark)))
+    counts = dict(rows(monthly.raw_counts(spark)))
     assert counts["positions_daily_raw"] == 2 * 6 * 28
     assert counts["currencies_raw"] == 4
 
 
 def test_replacement_mode_keeps_only_the_batch(spark, published):
-    pipeline.load_fact(spark, pipeline.FACTS[0], FEB, replace=True)
+    monthly.load_fact(spark, monthly.FACTS[0], FEB, replace=True)
     spark.catalog.refreshTable("silver.fact_transactions")
     t = spark.table("silver.fact_transactions")
     assert t.where("trade_yyyymm = '202601'").count() == 2
