@@ -266,22 +266,23 @@ def tail_contribution(pnl: DataFrame, params: RunParams) -> DataFrame:
         F.sum("simulated_pnl").alias("class_pnl")
     )
     one_portfolio = Window.partitionBy(*DAY)
-    one_day = Window.partitionBy(*DAY, "historical_dt")
-    # Partitioned by portfolio day once; the sum of a day and both ranks reuse that partitioning.
-    ranked = (
-        by_class.repartition(*DAY)
-        .withColumn("_day_pnl", F.round(F.sum("class_pnl").over(one_day), 4))
-        .withColumn(
-            "_rank", F.dense_rank().over(one_portfolio.orderBy("_day_pnl", "historical_dt"))
+    # Days are ranked on their totals; the class sums of the few tail days are then looked up.
+    tail = (
+        by_class.groupBy(*DAY, "historical_dt")
+        .agg(F.round(F.sum("class_pnl"), 4).alias("_pnl"))
+        .withColumns(
+            {
+                "_rank": F.row_number().over(one_portfolio.orderBy("_pnl", "historical_dt")),
+                "tail_days": tail_rank(F.count("*").over(one_portfolio), permille),
+            }
         )
-        .withColumn("_n", F.max("_rank").over(one_portfolio))
+        .where(F.col("_rank") <= F.col("tail_days"))
+        .select(*DAY, "historical_dt", "tail_days")
     )
-    tail_days = tail_rank(F.col("_n"), permille)
     totals = (
-        ranked.withColumn("tail_days", tail_days)
-        .where(F.col("_rank") <= F.col("tail_days"))
-        .groupBy(*DAY, "asset_class_code")
-        .agg(F.first("tail_days").alias("tail_days"), F.sum("class_pnl").alias("class_total"))
+        by_class.join(tail, [*DAY, "historical_dt"])
+        .groupBy(*DAY, "asset_class_code", "tail_days")
+        .agg(F.sum("class_pnl").alias("class_total"))
     )
     return totals.select(
         *DAY,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # A key is hot when it holds at least this share of the large side, so there are at most 1000 of them.
 HOT_SHARE = 0.001
 # Slicing a key smaller than this saves nothing.
-HOT_ROWS = 1_000_000
+HOT_ROWS = 100_000
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
