@@ -75,7 +75,7 @@ def restate(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> Da
     Nothing is updated in place, so a question asked as of an earlier moment keeps its answer.
     ``order_by`` starts with ``system_from_ts``.
     """
-    chained = version_chain(rows, keys, order_by, F.date_trunc("month", order_by[0]))
+    chained = version_chain(rows, keys, order_by, F.date_trunc("day", order_by[0]))
     return chained.withColumns(
         {
             "system_to_ts": F.coalesce("next_from", open_end()),

@@ -84,7 +84,7 @@ def point_in_time(
     )
     if rows is None:
         return report
-    return report.orderBy(*[c for c in report.columns if c == "trade_dt"], *report.columns).limit(rows)
+    return report.orderBy("trade_dt", *report.columns).limit(rows)
 
 
 def current_hierarchy(transactions: DataFrame, portfolios: DataFrame) -> DataFrame:

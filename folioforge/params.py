@@ -53,5 +53,4 @@ class RunParams:
     stress_start: str = "2024-09-01"
     stress_end: str = "2024-11-30"
     price_lookback_months: int | None = None
-    transaction_lookback_months: int = 12
     solver: SolverParams = SolverParams()

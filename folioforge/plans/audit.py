@@ -137,8 +137,9 @@ _CALENDAR = """calendar AS (
 @query(
     "dim_date",
     f"""WITH {_CALENDAR} SELECT {day('calendar_dt')} AS calendar_dt,
-    CAST(strftime(calendar_dt, '%Y%m%d') AS INTEGER) AS date_sk, year(calendar_dt) AS year_num,
-    quarter(calendar_dt) AS quarter_num, month(calendar_dt) AS month_num, day(calendar_dt) AS day_num,
+    CAST(strftime(calendar_dt, '%Y%m%d') AS INTEGER) AS date_sk, CAST(year(calendar_dt) AS INTEGER) AS year_num,
+    CAST(quarter(calendar_dt) AS INTEGER) AS quarter_num,
+    CAST(month(calendar_dt) AS INTEGER) AS month_num, CAST(day(calendar_dt) AS INTEGER) AS day_num,
     last_day(calendar_dt) = calendar_dt AS is_month_end, isodow(calendar_dt) <= 5 AS is_business_day,
     {moment('calendar_dt')} AS valid_from_ts, {moment("TIMESTAMP '9999-12-31 23:59:59'")} AS valid_to_ts
     FROM calendar""",
@@ -155,8 +156,9 @@ def dim_date(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "scalar_calendar",
-    f"""SELECT o_orderkey, {day('o_orderdate')} AS order_dt, year(o_orderdate) AS year_num,
-    quarter(o_orderdate) AS quarter_num, month(o_orderdate) AS month_num, day(o_orderdate) AS day_num,
+    f"""SELECT o_orderkey, {day('o_orderdate')} AS order_dt, CAST(year(o_orderdate) AS INTEGER) AS year_num,
+    CAST(quarter(o_orderdate) AS INTEGER) AS quarter_num,
+    CAST(month(o_orderdate) AS INTEGER) AS month_num, CAST(day(o_orderdate) AS INTEGER) AS day_num,
     {day('last_day(CAST(o_orderdate AS DATE))')} AS month_end_dt,
     isodow(o_orderdate) <= 5 AS is_business_day, strftime(o_orderdate, '%Y%m') AS order_yyyymm,
     {day('CAST(o_orderdate AS DATE) + 1')} AS next_dt,

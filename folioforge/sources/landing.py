@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,18 +25,23 @@ def dimension_file(base: str, dataset: str, month: str) -> str:
     return f"{base}/dimensions/{month}/{dataset}.csv"
 
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def _file_uri(path: str) -> str:
+    """The listing writes ``file:/x`` and ``s3a://``; Arrow knows these as ``file:///x`` and ``s3://``."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        return "file://" + path.removeprefix("file:")
+    return "s3://" + path.removeprefix("s3a://") if path.startswith("s3a://") else path
+
 
+def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         headers = []
         for uri in batch["path"]:
-            files, path = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file:///") else uri)
+            files, path = fs.FileSystem.from_uri(_file_uri(uri))
+            line = b""
             with files.open_input_stream(path) as stream:
-                line = b""
                 while b"\n" not in line and (chunk := stream.read(4096)):
                     line += chunk
-            headers.append(line.split(b"\n")[0].decode("utf-8").strip("\r﻿"))
+            headers.append(line.split(b"\n")[0].decode("utf-8-sig").strip())
         yield batch.assign(header=headers)
 
 
@@ -54,7 +61,9 @@ def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def header_groups(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
     """Files by column list. What reaches the driver is the file listing a reader needs anyway."""
     rows = file_headers(spark, paths).groupBy("header").agg(F.collect_list("path").alias("paths"))
-    return {tuple(r.header.split(",")): sorted(r.paths) for r in rows.toLocalIterator()}
+    return {
+        tuple(next(csv.reader([r.header]))): sorted(r.paths) for r in rows.toLocalIterator()
+    }
 
 
 def read_landed(

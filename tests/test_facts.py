@@ -120,3 +120,27 @@ def test_schema_guard(spark):
     assert "amount" not in spark.table("guard.t_v2").columns
     sinks.save_first(trades(spark, 1, *month(1, 9)), "guard.t_v2")
     assert spark.table("guard.t_v2").count() == 2
+
+
+def test_plain_writers(spark, rows):
+    path = work_path(spark, "plain")
+    sinks.append(trades(spark, 1, date(2026, 1, 1)), path)
+    sinks.append(trades(spark, 1, date(2026, 2, 1), first=1), path)
+    assert spark.read.parquet(path).count() == 2
+    sinks.rebuild(trades(spark, 2, date(2026, 3, 1)), path)
+    sinks.publish_view(spark.read.parquet(path), "plain_trades")
+    assert rows(spark.sql("SELECT trade_yyyymm, count(*) FROM plain_trades GROUP BY ALL")) == [("202603", 1)]
+
+
+def test_raw_table_takes_new_columns(spark, rows):
+    spark.sql("CREATE DATABASE IF NOT EXISTS guard")
+    schema = "a string, source_yyyymm string"
+    sinks.save_raw(spark.createDataFrame([("x", "202601")], schema), "guard.raw", "source_yyyymm")
+    wider = spark.createDataFrame([("y", "new", "202602")], "a string, b string, source_yyyymm string")
+    sinks.save_raw(wider, "guard.raw", "source_yyyymm")
+    sinks.save_raw(spark.createDataFrame([("z", "202602")], schema), "guard.raw", "source_yyyymm")
+    assert rows(spark.table("guard.raw"), "a", "b", "source_yyyymm") == [
+        ("x", None, "202601"), ("z", None, "202602")]
+    sinks.save_append(spark.table("guard.raw"), "guard.raw_copy")
+    sinks.save_append(spark.table("guard.raw"), "guard.raw_copy")
+    assert spark.table("guard.raw_copy").count() == 4
