@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from folioforge.operators.skew import salted_join
 from folioforge.params import RunParams
 
-Tails = Sequence[tuple[float, int]]
-
 DAY = ["portfolio_id", "as_of_date"]
 # A portfolio day with more positions than this is measured with a mergeable sketch. With one return per
 # calendar day and position, this bounds the values that are brought together for an exact quantile.
@@ -88,16 +86,29 @@ def _pnl_per_position(
     """One row per position with its simulated PnL as an array, at most one value per calendar day.
 
     The same values as :func:`simulated_pnl`, but what is shuffled and grouped afterwards is one row per
-    position instead of one per position and day.
+    position instead of one per position and day. ``is_crowded`` tells the portfolio days with more than
+    ``MAX_POSITIONS`` positions; it is attached while rows are still narrow and before a shuffle that
+    is needed anyway, so that adaptive execution may split a crowded day.
     """
+    held = _held(positions, params)
+    crowded = (
+        held.groupBy(*DAY)
+        .agg(F.count("*").alias("_positions"))
+        .where(F.col("_positions") > MAX_POSITIONS)
+    )
+    flagged = held.join(crowded, DAY, "left").withColumn(
+        "is_crowded", F.col("_positions").isNotNull()
+    )
     returns = (
         _history(prices, params, stressed)
         .groupBy("instrument_id")
         .agg(F.collect_list(F.struct("historical_dt", "return_pct")).alias("_returns"))
     )
     usable = F.filter("_returns", lambda r: _usable(r["historical_dt"], params))
-    return salted_join(_held(positions, params), returns, "instrument_id").select(
+    joined = salted_join(flagged.drop("_positions"), returns, "instrument_id", counted=held)
+    return joined.select(
         *DAY,
+        "is_crowded",
         "market_value",
         F.transform(usable, lambda r: F.col("market_value") * r["return_pct"]).alias("pnl"),
     )
@@ -121,17 +132,10 @@ def position_level_var(
     ``portfolio_market_value`` adds a position once per history day, as the published percentage does.
     """
     per_position = _pnl_per_position(positions, prices, params, stressed)
-    crowded = (
-        _held(positions, params)
-        .groupBy(*DAY)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > MAX_POSITIONS)
-        .select(*DAY)
-    )
     tails = params.tails_permille
     ordered = F.sort_array(F.flatten(F.collect_list("pnl")))
     exact = (
-        per_position.join(crowded, DAY, "left_anti")
+        per_position.where(~F.col("is_crowded"))
         .groupBy(*DAY)
         .agg(
             ordered.alias("_ordered"),
@@ -149,7 +153,7 @@ def position_level_var(
         )
     )
     sketched = (
-        per_position.join(crowded, DAY, "left_semi")
+        per_position.where("is_crowded")
         .select(*DAY, "market_value", F.explode("pnl").alias("_value"))
         .groupBy(*DAY)
         .agg(
@@ -201,7 +205,8 @@ def daily_pnl(pnl: DataFrame) -> DataFrame:
 
 
 def portfolio_level_var(
-    pnl: DataFrame, positions: DataFrame, params: RunParams, ) -> DataFrame:
+    pnl: DataFrame, positions: DataFrame, params: RunParams
+) -> DataFrame:
     """VaR and expected shortfall from portfolio PnL per historical day.
 
     PnL is added up per day first, so the ordered series of a portfolio has at most one entry per

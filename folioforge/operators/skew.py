@@ -13,8 +13,9 @@ HOT_ROWS = 100_000
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
     """(key, ``_salts``): hot keys and the number of slices that bring each slice below the share."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
+    keyed = df.where(F.col(key).isNotNull())
+    counts = keyed.groupBy(key).agg(F.count("*").alias("_n"))
+    total = keyed.agg(F.count("*")).scalar()
     share = F.col("_n") / total
     return counts.where((F.col("_n") >= min_rows) & (share >= HOT_SHARE)).select(
         key, F.ceil(share / HOT_SHARE).cast("int").alias("_salts")
@@ -22,14 +23,20 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
 
 
 def salted_join(
-    large: DataFrame, small: DataFrame, key: str, how: str = "inner", min_rows: int = HOT_ROWS
+    large: DataFrame,
+    small: DataFrame,
+    key: str,
+    how: str = "inner",
+    min_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join on ``key``: hot keys of ``large`` are cut into slices, their ``small`` rows are repeated.
 
     All other keys join as usual. The slice is a hash of the row, so a retried task cuts it the same way.
-    The hot-key table has at most ``1 / HOT_SHARE`` rows, which bounds the broadcast.
+    The hot-key table has at most ``1 / HOT_SHARE`` rows, which bounds the broadcast. ``counted`` is a
+    cheaper frame with the same keys to find them in, where ``large`` is itself the result of a join.
     """
-    hot = F.broadcast(hot_keys(large, key, min_rows))
+    hot = F.broadcast(hot_keys(large if counted is None else counted, key, min_rows))
     others = [c for c in large.columns if c != key]
     sliced = large.join(hot, key, "left").withColumn(
         "_slice",
