@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import line_windows, preferences, quality_rules, sharding
+from folioforge.llm import line_windows, near_duplicates, preferences, quality_rules, sharding
 from folioforge.llm.common import load
 from folioforge.session import materialize
 
@@ -57,3 +57,10 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     counted = materialize(counted, "op8")
     judged = quality_rules.judge(counted, counted, load(spark, folder, "labels"))
     return judged.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
+
+
+@query
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(load(spark, folder, "documents"), size=3, percent=85)
+    kept = F.col("doc").eqNullSafe(F.col("component_id"))
+    return found.select(F.col("doc").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
