@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import line_windows, near_duplicates, preferences, quality_rules, sharding
+from folioforge.llm import (
+    language,
+    line_windows,
+    near_duplicates,
+    preferences,
+    quality_rules,
+    repeated_bytes,
+    sharding,
+)
 from folioforge.llm.common import load
 from folioforge.session import materialize
 
@@ -64,3 +72,17 @@ def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates.near_duplicates(load(spark, folder, "documents"), size=3, percent=85)
     kept = F.col("doc").eqNullSafe(F.col("component_id"))
     return found.select(F.col("doc").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
+
+
+@query
+def op3_language_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    learned = language.prototypes(docs.filter(~held_out))
+    predicted = docs.select("doc_id", held_out.alias("held_out"), language.predictor(learned)("text").alias("p"))
+    return predicted.select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
+@query
+def op9_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_bytes.remove_repeats(load(spark, folder, "documents"))
