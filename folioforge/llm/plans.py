@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.llm import (
+    decontamination,
     language,
     line_windows,
     near_duplicates,
@@ -86,3 +87,8 @@ def op3_language_profiles(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_bytes.remove_repeats(load(spark, folder, "documents"))
+
+
+@query
+def op2_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_leaks(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
