@@ -16,6 +16,7 @@ from folioforge.llm import (
     quality_rules,
     repeated_bytes,
     sharding,
+    site_trees,
 )
 from folioforge.llm.common import load
 from folioforge.session import materialize
@@ -92,3 +93,8 @@ def op9_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.find_leaks(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
+@query
+def op6_site_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return site_trees.extract(load(spark, folder, "pages"))
