@@ -11,6 +11,7 @@ from folioforge.llm import (
     decontamination,
     language,
     line_windows,
+    mixing,
     near_duplicates,
     preferences,
     quality_rules,
@@ -98,3 +99,15 @@ def op2_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_site_trees(spark: SparkSession, folder: str) -> DataFrame:
     return site_trees.extract(load(spark, folder, "pages"))
+
+
+#: Share of each domain in the mixed tokens, and all mixed tokens as a share of those there are.
+MIX, BUDGET = {"clean": 0.85, "noisy": 0.1, "toxic": 0.05}, 0.5
+
+
+@query
+def op10_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    rates = mixing.mix(docs, load(spark, folder, "labels"), weights=MIX, budget=BUDGET)
+    own = docs.select("doc_id", mixing.row_of("doc_id", "text").alias("row"))
+    return own.join(rates, "row").select("doc_id", "tokens", "p_clean", "p_noisy", "p_toxic", "rate")
