@@ -7,13 +7,14 @@ docs. All but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from folioforge.llm import quality_rules, sharding
+from folioforge.llm import decontamination, mixing, near_duplicates, quality_rules, sharding
 from folioforge.llm.common import load
 from folioforge.session import materialize
 
 SHARDS = 8
+#: Tokens of each domain that are kept, as a share of those the stage is given.
+KEPT = {"clean": 1.0, "noisy": 0.25, "toxic": 0.0}
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +23,22 @@ def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.filter("kept").select(*docs.columns)
 
 
+def one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    return near_duplicates.keep_one(docs, size=5, percent=80)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.drop_leaking(docs, load(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn at the rates that meet ``KEPT``; clean ones have rate 1 and all stay."""
+    rates = mixing.mix(docs, load(spark, sf_dir, "labels"), shares=KEPT, most=1.0)
+    return mixing.sample(docs, rates)
+
+
 def to_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its shard and its place there."""
     return sharding.shard_rows(spark, docs, SHARDS)
@@ -29,10 +46,13 @@ def to_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", by_quality),
+    ("near duplicates", one_of_near),
+    ("decontamination", without_benchmark),
+    ("mixing", mixed),
     ("sharding", to_shards),
 ]
 
-#: Hashing, random sampling and learned scores are outside SQL; tests hold the stages against brute force.
+#: Hashing, learned posteriors and random walks are outside SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

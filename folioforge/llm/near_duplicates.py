@@ -6,7 +6,7 @@ most one lane differs; every chunk is therefore indexed four times, each time wi
 share an index key are candidates; they become links only after a comparison of the full shingle sets.
 
 Equal sets are one node from the start. The members of a key are never
-paired with each other: each is compared with one leader, then twice with the key's best linked member. Nodes
+paired with each other: each is compared with one leader, then with the key's best linked member. Nodes
 of keys whose members are still in different components are compared once more across components, where they
 share one of their rarest shingles, which all similar sets do. So no link between different sets is lost, and
 a large group of near copies costs about as many comparisons as it has members.
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -32,6 +32,9 @@ LANES, CHUNKS, WIDTH = 32, 8, 4
 #: Lanes that may differ in candidates that are compared in full. All pairs up to 15 are found; of those
 #: beyond, which the index may also give, the ones up to this number are kept.
 MAX_DISTANCE = 20
+#: Sets that may have a shingle before it counts as common in the last comparison.
+OFTEN = 8
+
 _DRAW = np.random.default_rng(20240607)
 _FACTORS = _DRAW.integers(1 << 62, 1 << 63, LANES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _DRAW.integers(0, 1 << 63, LANES, dtype=np.uint64)
@@ -158,11 +161,11 @@ def components(edges: DataFrame) -> DataFrame:
         )
         taken = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        moved = materialize(
-            taken.join(up, "label").select("node", "old", F.least("label", "up").alias("label")), "labels"
-        )
-        labels = moved.select("node", "label")
-        if moved.filter("old <> label").isEmpty():
+        moved = taken.join(up, "label").select("node", "old", F.least("label", "up").alias("label"))
+        seen = Observation()
+        changed = F.sum((F.col("old") != F.col("label")).cast("long")).alias("changed")
+        labels = materialize(moved.observe(seen, changed), "labels").select("node", "label")
+        if not seen.get["changed"]:
             return labels
 
 
@@ -170,7 +173,7 @@ class _Search:
     """Candidates and confirmed links among the distinct shingle sets of one table."""
 
     def __init__(self, texts: DataFrame, rows: DataFrame, size: int, percent: int):
-        self.texts, self.size, self.percent = texts, size, percent
+        self.percent = percent
         firsts = [F.min(c).alias(c) for c in CHUNK_NAMES]
         self.nodes = materialize(
             rows.filter("n_shingles > 0")
@@ -182,6 +185,8 @@ class _Search:
         shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader"))
         # members of keys that more than one node has
         self.members = materialize(keys.join(shared.filter("size > 1"), "key"), "members")
+        rows = self.members.select("node").distinct().join(self.nodes.select("node", "row"), "node")
+        self.sets = materialize(shingle_sets(texts.join(rows, "row").select("node", "text"), size), "sets")
         self.edges = None
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
@@ -196,13 +201,8 @@ class _Search:
         fits = 100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")
         near = pairs.distinct().join(sides["a"], "a").join(sides["b"], "b").filter(fits & (gap <= MAX_DISTANCE))
         near = materialize(near.select("a", "b", "n_a", "n_b"), "pairs")
-        needed = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-        rows = needed.join(self.nodes.select("node", "row"), "node")
-        sets = materialize(
-            shingle_sets(self.texts.join(rows, "row").select("node", "text"), self.size), "sets"
-        ).dropDuplicates(["node"])
-        left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a"))
-        right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b"))
+        left = self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a"))
+        right = self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b"))
         both = F.size(F.array_intersect("s_a", "s_b"))
         joined = near.join(left, "a").join(right, "b")
         return joined.filter(100 * both >= self.percent * (F.col("n_a") + F.col("n_b") - both)).select("a", "b")
@@ -232,38 +232,44 @@ class _Search:
     def by_prefix(self, open_keys: DataFrame) -> DataFrame:
         """Pairs across components that share one of the rarest shingles of both.
 
-        Two similar sets share a shingle among the first ``n - needed + 1`` of each in any common order; with
-        the rarest first, sets that differ by edits of their own share none. This finds every similar pair
-        of the given nodes.
+        Two similar sets share a shingle among the first ``n - needed + 1`` of each in any common order; here
+        the rarest come first. A set with fewer common shingles (those of more than ``OFTEN`` sets) than two
+        sets must share has to share a rare one too, so common ones bring only pairs together that have
+        enough of them. This finds every similar pair of the given nodes, and few others: in a group of
+        copies with edits of their own, far copies are alike in the common shingles only.
         """
-        nodes = open_keys.select("node", "label").distinct()
-        rows = nodes.join(self.nodes.select("node", "row", "n"), "node")
-        texts = self.texts.join(rows.select("row", "node"), "row").select("node", "text")
-        sets = materialize(shingle_sets(texts, self.size), "sets").dropDuplicates(["node"])
-        spread = sets.select("node", F.explode("shingles").alias("s"))
-        often = spread.groupBy("s").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
-        shared = spread.join(often, "s").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("o"))
+        nodes = open_keys.select("node", "label").distinct().join(self.nodes.select("node", "n"), "node")
+        spread = self.sets.join(nodes.select("node"), "node", "left_semi").select("node", F.explode("shingles").alias("s"))
+        found = spread.groupBy("s").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
+        shared = spread.join(found, "s").groupBy("node").agg(F.sort_array(F.collect_set(F.struct("f", "s"))).alias("o"))
         first = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1 - (F.col("n") - F.size("o"))
+        common = F.size(F.filter("o", lambda x: x["f"] > OFTEN))
         heads = (
-            shared.join(rows.select("node", "label", "n"), "node")
+            shared.join(nodes, "node")
+            .withColumn("common", common)
             .filter(first > 0)
-            .select("node", "label", "n", F.explode(F.slice("o", F.lit(1), first.cast("int"))).alias("h"))
-            .select("node", "label", "n", F.col("h.s").alias("s"))
+            .select("node", "label", "n", "common", F.explode(F.slice("o", F.lit(1), first.cast("int"))).alias("h"))
+            .select("node", "label", "n", "common", F.col("h.s").alias("s"), F.col("h.f").alias("f"))
+            .filter((F.col("f") <= OFTEN) | (100 * F.col("common") >= self.percent * F.col("n")))
         )
         heads = materialize(heads, "heads")
-        parts = heads.groupBy("s", "label").agg(F.count(F.lit(1)).alias("f"))
-        tops = parts.groupBy("s").agg(F.max(F.struct("f", "label")).alias("top"), F.count(F.lit(1)).alias("labels"))
+        parts = heads.groupBy("s", "label").agg(F.count(F.lit(1)).alias("size"))
+        tops = parts.groupBy("s").agg(F.max(F.struct("size", "label")).alias("top"), F.count(F.lit(1)).alias("labels"))
         tops = tops.filter("labels > 1").select("s", F.col("top.label").alias("top"))
         # the largest component at a shingle is met by the members of the others only
         others = heads.join(tops, "s").filter("label <> top")
-        others = others.select("s", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("n").alias("n_a"))
+        names = {"node": "a", "label": "label_a", "n": "n_a", "common": "common_a"}
+        others = others.select("s", *[F.col(c).alias(name) for c, name in names.items()])
         fits = 100 * F.least("n", "n_a") >= self.percent * F.greatest("n", "n_a")
-        met = others.join(heads, "s").filter(fits & (F.col("label") != F.col("label_a")))
+        enough = (100 + self.percent) * F.least("common", "common_a") >= self.percent * (F.col("n") + F.col("n_a"))
+        met = others.join(heads, "s").filter(
+            fits & (F.col("label") != F.col("label_a")) & ((F.col("f") <= OFTEN) | enough)
+        )
         return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
 
     def run(self) -> DataFrame:
         self.add(self.members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")))
-        for pairs_of in (self.by_degree, self.by_degree, self.by_prefix):
+        for pairs_of in (self.by_degree, self.by_prefix):
             open_keys = materialize(self.labelled(), "open")
             if open_keys.isEmpty():
                 break

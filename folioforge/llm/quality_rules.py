@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.llm.common import BLANKS, boxed, let, of, unboxed, words
+from folioforge.session import materialize
 
 SYMBOLS = "#*$%&|<>"
 #: Cutoffs of each rule's score, lenient ones last.
@@ -155,6 +156,8 @@ def cutoffs(
         .groupBy("stratum", "_a.rule", "_a.above")
         .agg(F.count(F.when(F.col("good"), 1)).alias("good"), F.count(F.when(~F.col("good"), 1)).alias("bad"))
     )
+    # a few rows per stratum, used several times
+    counted = materialize(counted, "rule-counts")
     places = F.array(
         *[
             F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("step"), F.lit(float(c)).alias("cutoff"))
@@ -171,12 +174,8 @@ def cutoffs(
         F.sum(F.when(hit, F.col("good")).otherwise(0)).alias("k"),
         F.sum(F.when(hit, F.col("bad")).otherwise(0)).alias("caught"),
     )
-    strata = counted.select("stratum").distinct().agg(F.count(F.lit(1)).alias("n_strata"))
-    tests = sum(len(s) for s in grid.values())
-    # one row: the number of strata
-    level = tested.join(F.broadcast(strata), F.lit(True)).filter(
-        binomial_tail(F.col("k"), F.col("n"), share) <= alpha / (tests * F.col("n_strata"))
-    )
+    tests = sum(len(s) for s in grid.values()) * max(counted.select("stratum").distinct().count(), 1)
+    level = tested.filter(binomial_tail(F.col("k"), F.col("n"), share) <= alpha / tests)
     gain = F.col("caught") - GOOD_WEIGHT * F.col("k")
     best = F.max(F.struct(gain.alias("gain"), F.col("cutoff").alias("cutoff")))
     chosen = level.groupBy("stratum").pivot("rule", list(grid)).agg(best.alias("best"))
