@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge.session import materialize
+
 #: The white space that separates words: space and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = "[\\x20\\x09-\\x0D]+"
@@ -39,3 +41,14 @@ def words(text: Column) -> Column:
     """Words of a text between blanks; an empty array for null, empty or blank text."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, BLANK_RUN))
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back; the shuffle files of the job go when it has ended."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, "false")
+    conf.set(name, "true")
+    try:
+        return materialize(df, label)
+    finally:
+        conf.set(name, before)

@@ -6,12 +6,14 @@ in 100 bytes stand next to each other in suffix order; the previous smaller posi
 the earliest lies among them. So the suffix order is needed only to depth 100, and only for suffixes that can
 have an equal: these are found first.
 
-1. Anchors. In every 100-byte string the 32-byte grams with the smallest hash are anchors; equal strings have
+1. Anchors. In every 100-byte string the 48-byte grams with the smallest hash are anchors; equal strings have
    equal anchors at equal places. Strings without an anchor that occurs twice have no equal.
 2. Contexts. The bytes around a repeated anchor that its 100-byte strings can reach are its context. Of equal
    contexts, all but the earliest have only strings that occurred before.
-3. Suffixes. Where an anchor has different contexts, the 100-byte prefixes of the suffixes in the earliest of
-   each are grouped; all but the earliest of a group have a longest previous factor of 100 or more.
+3. Suffixes. Where an anchor has different contexts, the suffixes that start in the earliest of each are sorted
+   to depth 100, equal ones by place; one whose predecessor agrees with it in 100 bytes has that as its
+   previous smaller position. The contexts of an anchor come to one task if they are at most ``BUCKET``;
+   the suffixes of an anchor with more are spread by a hash of their 100 bytes instead.
 
 Every step names an earliest member by a minimum that is taken before rows are shuffled, so an anchor, context
 or suffix that a third of all documents share is one row per task.
@@ -28,11 +30,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.session import materialize
+from folioforge.llm.common import written
 
 #: Bytes of a repeated string, and of an anchor gram.
-DEPTH, GRAM = 100, 32
+DEPTH, GRAM = 100, 48
 REACH = DEPTH - GRAM
+#: Different contexts of an anchor that are compared in one task.
+BUCKET = 5_000
 #: Bytes of a long document that are looked at in one step.
 STEP = 1 << 20
 #: The order key of documents without an id: after all others.
@@ -44,18 +48,22 @@ _BASE = 0x9E3779B97F4A7C15
 def _fields(kind: str) -> str:
     return {
         "anchors": "gram long, doc long, at int",
-        "contexts": "gram long, c1 long, c2 long, doc long, row long, at int, reach int, starts int, context binary",
+        "contexts": "gram long, c1 long, c2 long, doc long, row long, at int, reach int, starts int",
+        "wanted": "gram long, many boolean, doc long, row long, low int, starts int, context binary",
+        "late": "row long, low int, high int",
         "results": "row long, n_removed long, n_spans long, kept_sha256 string",
     }[kind]
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of each 32-byte gram."""
+    """A hash of each 48-byte gram: its first 32 bytes and its last 16."""
     h = data.astype(np.uint64) + np.uint64(1)
-    span = 1
-    while span < GRAM:
+    spans = {}
+    for span in (1, 2, 4, 8, 16):
+        spans[span] = h
         h = h[:-span] * np.uint64(pow(_BASE, span, 1 << 64)) + h[span:]
-        span *= 2
+    tail = spans[16][32:]
+    h = h[: len(tail)] * np.uint64(pow(_BASE, 16, 1 << 64)) + tail
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(29))
 
@@ -103,32 +111,91 @@ def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
-def _context_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ["gram", "c1", "c2", "doc", "row", "at", "reach", "starts", "context"]
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _span(data: bytes, at: int) -> tuple[int, int]:
+    return max(0, at - REACH), min(len(data), at + DEPTH)
 
-    def signed(value: int) -> int:
-        return value - (1 << 64) if value >> 63 else value
 
+def _context_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["gram", "c1", "c2", "doc", "row", "at", "reach", "starts"]
     for batch in batches:
         out = []
         for doc, row, text, places in zip(batch["doc"], batch["row"], batch["text"], batch["places"], strict=True):
             data = _bytes(text)
             for at in np.unique(places).tolist():
-                first, end = max(0, at - REACH), min(len(data), at + DEPTH)
+                first, end = _span(data, at)
                 if at + GRAM > end or end - first < DEPTH:
                     continue  # a place of another text with the same id
-                context, reach = data[first:end], at - first
-                digest = xxhash.xxh3_128_intdigest(context, seed=reach)
+                digest = xxhash.xxh3_128_intdigest(data[first:end], seed=at - first)
                 gram = xxhash.xxh64_intdigest(data[at : at + GRAM])
-                c1, c2 = signed(digest >> 64), signed(digest & ((1 << 64) - 1))
-                out.append((signed(gram), c1, c2, doc, row, at, reach, end - first - DEPTH + 1, context))
-            if len(out) > 50_000:
-                yield pd.DataFrame(out, columns=names)
-                out = []
+                c1, c2 = _signed(digest >> 64), _signed(digest & ((1 << 64) - 1))
+                out.append((_signed(gram), c1, c2, doc, row, at, at - first, end - first - DEPTH + 1))
+        if out:
+            yield pd.DataFrame(out, columns=names)
+
+
+def _wanted_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["gram", "many", "doc", "row", "low", "starts", "context"]
+    for batch in batches:
+        out = []
+        for doc, row, text, wanted in zip(batch["doc"], batch["row"], batch["text"], batch["wanted"], strict=True):
+            data = _bytes(text)
+            for place in wanted:
+                first, end = _span(data, place["at"])
+                out.append((place["gram"], place["many"], doc, row, first, end - first - DEPTH + 1, data[first:end]))
         if out:
             yield pd.DataFrame(out, columns=names)
 
 
+def longest_previous(contexts: pd.DataFrame) -> np.ndarray:
+    """(row, place) of the suffixes of ``contexts`` that agree in 100 bytes with one that starts earlier.
+
+    Suffixes are sorted by their first 100 bytes and then by place, so among those that agree the previous
+    smaller position of each is its predecessor, if it has one.
+    """
+    counts = contexts["starts"].to_numpy()
+    flat = np.frombuffer(b"".join(contexts["context"]), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(c) for c in contexts["context"]])[:-1]))
+    inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    starts = np.repeat(offsets, counts) + inner
+    windows = np.lib.stride_tricks.sliding_window_view(flat, DEPTH)[starts]
+    padded = np.zeros((len(windows), DEPTH + 4), np.uint8)
+    padded[:, :DEPTH] = windows
+    parts = padded.view(">u8").astype(np.uint64)
+    doc, row = (np.repeat(contexts[c].to_numpy(), counts) for c in ("doc", "row"))
+    at = np.repeat(contexts["low"].to_numpy(), counts) + inner
+    order = np.lexsort((at, row, doc, *parts.T[::-1]))
+    agree = (parts[order[1:]] == parts[order[:-1]]).all(axis=1)
+    # a start that two contexts hold is one suffix
+    places = np.stack((doc, row, at), axis=1)[order]
+    fresh = np.concatenate(([True], ~agree | (places[1:] != places[:-1]).any(axis=1)))
+    places, agree = places[fresh], np.concatenate(([False], agree))[fresh]
+    return places[agree][:, 1:]
+
+
+def _suffix_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Late starts from contexts that come sorted by gram; all contexts of a gram are looked at together."""
+    held: list[pd.DataFrame] = []
+
+    def found(rows: pd.DataFrame) -> pd.DataFrame:
+        late = longest_previous(rows)
+        return pd.DataFrame({"row": late[:, 0], "low": late[:, 1], "high": late[:, 1]})
+
+    for batch in batches:
+        for first in range(0, len(batch), 2000):
+            held.append(batch.iloc[first : first + 2000])
+            rows = pd.concat(held)
+            whole = rows["gram"] != rows["gram"].iloc[-1]
+            held = [rows[~whole]]
+            if whole.any():
+                yield found(rows[whole])
+    if held:
+        yield found(pd.concat(held))
+
+
 def _cut_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
@@ -172,30 +239,33 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     long_enough = docs.filter(F.octet_length("text") >= DEPTH)
     grams = long_enough.select("doc", "text").mapInPandas(_anchor_rows, _fields("anchors"))
     twice = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    places = grams.join(twice, "gram").groupBy("doc").agg(F.collect_list("at").alias("places"))
-    touched = materialize(long_enough.join(places, "doc").select("doc", "row", "text", "places"), "touched")
+    places = written(grams.join(twice, "gram").groupBy("doc").agg(F.collect_list("at").alias("places")), "places")
+    touched = written(long_enough.join(places, "doc").select("doc", "row", "text", "places"), "touched")
 
-    contexts = materialize(touched.mapInPandas(_context_rows, _fields("contexts")), "contexts")
+    contexts = written(touched.mapInPandas(_context_rows, _fields("contexts")), "contexts")
     place = F.struct("doc", "row", "at")
-    narrow = contexts.drop("context")
-    firsts = materialize(narrow.groupBy("gram", "c1", "c2").agg(F.min(place).alias("first")), "firsts")
-    varied = firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    firsts = written(contexts.groupBy("gram", "c1", "c2").agg(F.min(place).alias("first")), "firsts")
     start = F.col("at") - F.col("reach")
-    again = narrow.join(firsts, ["gram", "c1", "c2"]).filter(place != F.col("first"))
-    again = again.select("row", start.alias("low"), (start + F.col("starts") - 1).alias("high"))
-
-    earliest = firsts.join(varied, "gram").select("c1", "c2", "first.*")
-    suffixes = (
-        contexts.join(earliest, ["c1", "c2", "doc", "row", "at"])
-        .select("doc", "row", start.alias("low"), "context", F.explode(F.sequence(F.lit(0), F.col("starts") - 1)).alias("o"))
+    again = contexts.join(firsts, ["gram", "c1", "c2"]).filter(place != F.col("first"))
+    again = written(again.select("row", start.alias("low"), (start + F.col("starts") - 1).alias("high")), "again")
+
+    varied = firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    wanted = firsts.join(varied, "gram").select("first.row", F.struct("gram", "first.at", (F.col("n") > BUCKET).alias("many")).alias("w"))
+    wanted = wanted.groupBy("row").agg(F.collect_list("w").alias("wanted"))
+    sources = written(touched.drop("places").join(wanted, "row").mapInPandas(_wanted_rows, _fields("wanted")), "sources")
+    few = sources.filter("not many").repartition("gram").sortWithinPartitions("gram")
+    late = few.mapInPandas(_suffix_rows, _fields("late"))
+
+    spread = (
+        sources.filter("many")
+        .select("doc", "row", "low", "context", F.explode(F.sequence(F.lit(0), F.col("starts") - 1)).alias("o"))
         .select("doc", "row", (F.col("low") + F.col("o")).alias("at"), F.substring("context", F.col("o") + 1, F.lit(DEPTH)).alias("s"))
         .select("doc", "row", "at", F.xxhash64("s").alias("h"), F.xxhash64(F.lit(1), "s").alias("g"))
-        .distinct()
     )
-    suffixes = materialize(suffixes, "suffixes")
-    late = _with_first(suffixes, ["h", "g"], place).filter(place != F.col("first"))
-    runs = again.union(late.select("row", F.col("at").alias("low"), F.col("at").alias("high")))
-    runs = runs.groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
+    rest = _with_first(spread, ["h", "g"], place).filter(place != F.col("first"))
+    rest = rest.select("row", F.col("at").alias("low"), F.col("at").alias("high"))
+    runs = again.union(late).union(rest)
+    runs = written(runs.groupBy("row").agg(F.collect_set(F.struct("low", "high")).alias("runs")), "runs")
     texts = touched.select("row", "text").dropDuplicates(["row"])
     cut = texts.join(runs, "row").mapInPandas(_cut_rows, _fields("results"))
     base = docs.select(
