@@ -175,6 +175,8 @@ def main_text(page: Page, template: frozenset[int] = frozenset()) -> str:
     articles = set(_articles(page))
     holds = [False] * len(page.tags)
     inside = [False] * len(page.tags)
+    # an article that is the same on most pages is no template of itself
+    shared = [False] * len(page.tags)
     for i in articles:
         while i >= 0 and not holds[i]:
             holds[i] = True
@@ -183,7 +185,8 @@ def main_text(page: Page, template: frozenset[int] = frozenset()) -> str:
     for i in range(1, len(page.tags)):
         parent = page.parents[i]
         inside[i] = inside[parent] or i in articles
-        weak = page.paths[i] in template and not holds[i] and page.tags[i] not in ("html", "body")
+        shared[i] = shared[parent] or i in articles and page.paths[i] in template
+        weak = page.paths[i] in template and not shared[i] and page.tags[i] not in ("html", "body")
         gone[i] = gone[parent] or ((page.dropped[i] or weak) and not holds[i])
     blocks: dict[int, list[str]] = {}
     for element, block, text in page.texts:
