@@ -22,6 +22,8 @@ from folioforge.session import materialize
 DOMAINS = ("clean", "noisy", "toxic")
 #: Labelled documents that the classifier learns from, in expectation, and words it keeps.
 SAMPLE, VOCABULARY = 20_000, 4096
+#: Log odds by which the other domains must beat the first one: it has the benefit of the doubt.
+BENEFIT = 2.5
 #: Least evidence for a word: twice the log likelihood ratio of its counts.
 LEAST_EVIDENCE = 30.0
 GRID, MOST_STEPS, CLOSE = 32, 40, 1e-3
@@ -73,7 +75,10 @@ def learn(df: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "
     kept = found.filter("word <> ''").withColumn("_e", evidence).filter(F.col("_e") >= LEAST_EVIDENCE)
     kept = kept.orderBy(F.col("_e").desc(), "word").limit(VOCABULARY - 1)
     weights = kept.select("word", *[F.log(rate(d)).alias(f"w_{d}") for d in DOMAINS])
-    prior = [F.log(F.lit((sizes[d] + 1.0) / (size + len(DOMAINS)))).alias(f"w_{d}") for d in DOMAINS]
+    prior = [
+        (F.log(F.lit((sizes[d] + 1.0) / (size + len(DOMAINS)))) + (BENEFIT if d == DOMAINS[0] else 0.0)).alias(f"w_{d}")
+        for d in DOMAINS
+    ]
     return weights.union(df.sparkSession.range(1).select(F.lit("").alias("word"), *prior))
 
 
