@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,14 +60,19 @@ def affected_months(batch: DataFrame, month: str) -> DataFrame:
 def merge_corrections(
     existing: DataFrame, batch: DataFrame, keys: Sequence[str], month: str, latest_by: Sequence[str]
 ) -> DataFrame:
-    """New content of the months a batch touches: old rows stay unless the batch replaces their key.
+    """New content of the months a batch touches: rows of the batch, and old rows whose key did not arrive.
 
-    ``keys`` must include the event month, since identifiers restart every month.
+    Of rows that share a key within the batch the latest one is taken. Old rows are not compared with each
+    other, so what a month holds does not depend on which months a batch happens to touch. ``keys`` must
+    include the event month, since identifiers restart every month.
     """
     # One row per month: small enough to broadcast by nature, and it prunes the partitions to read.
     months = F.broadcast(affected_months(batch, month))
-    touched = existing.join(months, month, "left_semi")
-    return latest_per_key(touched.unionByName(batch), list(keys), list(latest_by))
+    arrived = latest_per_key(batch, list(keys), list(latest_by))
+    named = arrived.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    kept = existing.join(months, month, "left_semi").join(named, same_key, "left_anti")
+    return kept.unionByName(arrived)
 
 
 def restate(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

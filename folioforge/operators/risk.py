@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from folioforge.operators.skew import salted_join
 from folioforge.params import RunParams
+from folioforge.session import materialize
 
 DAY = ["portfolio_id", "as_of_date"]
-# A portfolio day with more positions than this is measured with a mergeable sketch. With one return per
-# calendar day and position, this bounds the values that are brought together for an exact quantile.
-MAX_POSITIONS = 2000
+# Rank error of the sketch that brackets a quantile, as one part in so many. What lies inside a bracket is at
+# most a few such parts of a day's values, and equal values are one row with a count.
+BRACKET_ACCURACY = 2000
 
 
 def _in_stress_window(params: RunParams) -> Column:
@@ -85,30 +86,18 @@ def _pnl_per_position(
 ) -> DataFrame:
     """One row per position with its simulated PnL as an array, at most one value per calendar day.
 
-    The same values as :func:`simulated_pnl`, but what is shuffled and grouped afterwards is one row per
-    position instead of one per position and day. ``is_crowded`` tells the portfolio days with more than
-    ``MAX_POSITIONS`` positions; it is attached while rows are still narrow and before a shuffle that
-    is needed anyway, so that adaptive execution may split a crowded day.
+    The same values as :func:`simulated_pnl`, but what is shuffled in the join is one row per position
+    instead of one per position and day.
     """
     held = _held(positions, params)
-    crowded = (
-        held.groupBy(*DAY)
-        .agg(F.count("*").alias("_positions"))
-        .where(F.col("_positions") > MAX_POSITIONS)
-    )
-    flagged = held.join(crowded, DAY, "left").withColumn(
-        "is_crowded", F.col("_positions").isNotNull()
-    )
     returns = (
         _history(prices, params, stressed)
         .groupBy("instrument_id")
         .agg(F.collect_list(F.struct("historical_dt", "return_pct")).alias("_returns"))
     )
     usable = F.filter("_returns", lambda r: _usable(r["historical_dt"], params))
-    joined = salted_join(flagged.drop("_positions"), returns, "instrument_id", counted=held)
-    return joined.select(
+    return salted_join(held, returns, "instrument_id").select(
         *DAY,
-        "is_crowded",
         "market_value",
         F.transform(usable, lambda r: F.col("market_value") * r["return_pct"]).alias("pnl"),
     )
@@ -119,6 +108,41 @@ def tail_rank(n: Column, permille: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(n * permille / F.lit(1000)).cast("int"))
 
 
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, permilles: Sequence[int]) -> DataFrame:
+    """``by`` and ``_losses``: per group the value at :func:`tail_rank` for each of ``permilles``, in their order.
+
+    ``value`` must not be null. A sketch bounds the rank of its answers by one part in
+    ``BRACKET_ACCURACY``; brackets are three parts wide on each side, and a rank outside its bracket stops
+    the job rather than giving another value.
+    """
+    part, spans = 3.0 / BRACKET_ACCURACY, range(len(permilles))
+    ends = [p for m in permilles for p in (max(0.0, m / 1000 - part), min(1.0, m / 1000 + part))]
+    sketch = df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx(value, ends, BRACKET_ACCURACY).alias("_ends")
+    )
+    marked = df.join(sketch, list(by))
+    v = F.col(value)
+    # one row per group, level and value inside a bracket, and one (null value) for all that is below it
+    kinds = F.array(
+        *[
+            F.when(v < F.get("_ends", F.lit(2 * i)), F.struct(F.lit(i).alias("level"), F.lit(None).cast("double").alias("at")))
+            .when(v <= F.get("_ends", F.lit(2 * i + 1)), F.struct(F.lit(i).alias("level"), v.alias("at")))
+            for i in spans
+        ]
+    )
+    placed = marked.select(*by, "_n", F.explode(kinds).alias("_p")).where("_p is not null")
+    counted = placed.groupBy(*by, "_n", "_p.level", "_p.at").agg(F.count(F.lit(1)).alias("_c"))
+    upward = Window.partitionBy(*by, "level").orderBy(F.col("at").asc_nulls_first())
+    rank = F.element_at(F.array(*[tail_rank(F.col("_n"), m) for m in permilles]), F.col("level") + 1)
+    reached = counted.withColumn("_sum", F.sum("_c").over(upward)).withColumn("_rank", rank)
+    found = reached.where((F.col("_sum") >= F.col("_rank")) & (F.col("_sum") - F.col("_c") < F.col("_rank")))
+    missed = F.raise_error(F.lit("a rank lies outside its bracket"))
+    by_level = [
+        F.coalesce(F.max(F.when(F.col("level") == i, F.col("at"))), missed.cast("double")) for i in spans
+    ]
+    return found.groupBy(*by).agg(F.array(*by_level).alias("_losses"))
+
+
 def position_level_var(
     positions: DataFrame,
     prices: DataFrame,
@@ -127,41 +151,19 @@ def position_level_var(
 ) -> DataFrame:
     """Loss quantiles over all position-level PnL of a portfolio day, all levels in one pass.
 
-    The quantile is exact up to ``MAX_POSITIONS`` positions a day. Larger days are found by counting
-    positions and go through ``percentile_approx``, whose partial results are merged before the shuffle.
-    ``portfolio_market_value`` adds a position once per history day, as the published percentage does.
+    Quantiles are exact for a day of any size, and no day's values are brought together: a mergeable sketch
+    gives a bracket around each rank, values below the bracket are counted, and only the values inside are
+    ranked. ``portfolio_market_value`` adds a position once per history day, as the published percentage
+    does.
     """
-    per_position = _pnl_per_position(positions, prices, params, stressed)
-    tails = params.tails_permille
-    ordered = F.sort_array(F.flatten(F.collect_list("pnl")))
-    exact = (
-        per_position.where(~F.col("is_crowded"))
-        .groupBy(*DAY)
-        .agg(
-            ordered.alias("_ordered"),
-            F.sum(F.col("market_value") * F.size("pnl")).alias("portfolio_market_value"),
-        )
-        .withColumn("simulations_count", F.size("_ordered").cast("long"))
-        .where(F.col("simulations_count") > 0)
-        .select(
-            *DAY,
-            "portfolio_market_value",
-            "simulations_count",
-            F.array(
-                *(F.get("_ordered", tail_rank(F.size("_ordered"), tail) - 1) for _, tail in tails)
-            ).alias("_losses"),
-        )
-    )
-    sketched = (
-        per_position.where("is_crowded")
-        .select(*DAY, "market_value", F.explode("pnl").alias("_value"))
-        .groupBy(*DAY)
-        .agg(
-            F.sum("market_value").alias("portfolio_market_value"),
-            F.count("*").alias("simulations_count"),
-            F.percentile_approx("_value", [tail / 1000.0 for _, tail in tails]).alias("_losses"),
-        )
+    per_position = materialize(_pnl_per_position(positions, prices, params, stressed), "position-pnl")
+    values = per_position.select(*DAY, F.explode("pnl").alias("_value"))
+    totals = per_position.groupBy(*DAY).agg(
+        F.sum(F.col("market_value") * F.size("pnl")).alias("portfolio_market_value"),
+        F.sum(F.size("pnl")).alias("simulations_count"),
     )
+    losses = exact_quantiles(values, DAY, "_value", [tail for _, tail in params.tails_permille])
+    tails = params.tails_permille
     per_level = F.array(
         *(
             F.struct(F.lit(level).alias("confidence_level"), F.col("_losses")[i].alias("_loss"))
@@ -169,7 +171,7 @@ def position_level_var(
         )
     )
     return (
-        exact.unionByName(sketched)
+        losses.join(totals, DAY)
         .select(*DAY, "portfolio_market_value", "simulations_count", F.inline(per_level))
         .select(
             *DAY,

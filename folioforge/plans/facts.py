@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.operators import dimensions, facts, reports
+from folioforge.operators.keys import latest_per_key
 from folioforge.plans import inputs
 from folioforge.plans.model_sql import (
     CASHFLOWS, DIM_COUNTERPARTY, DIM_CURRENCY, DIM_INSTRUMENT, DIM_SOURCE, LINES, PORTFOLIO_LOG,
@@ -159,23 +160,23 @@ def partition_replay(spark: SparkSession, folder: str) -> DataFrame:
     "fact_upsert",
     f"""WITH {TRANSACTIONS}, loaded AS (
       SELECT *, source_yyyymm >= '{_SECOND_BATCH}' AS is_second FROM tx),
-    touched AS (SELECT DISTINCT trade_yyyymm FROM loaded WHERE is_second),
-    merged AS (SELECT *, row_number() OVER (PARTITION BY transaction_id, trade_yyyymm
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY is_second, transaction_id, trade_yyyymm
         ORDER BY arrival_dt DESC, instrument_id DESC, counterparty_id DESC, trade_dt DESC,
-          gross_amount DESC) AS rn FROM loaded
-      WHERE trade_yyyymm IN (FROM touched))
-    SELECT {_LOADED} FROM merged WHERE rn = 1 UNION ALL
-    SELECT {_LOADED} FROM loaded WHERE trade_yyyymm NOT IN (FROM touched)""",
+          gross_amount DESC) AS rn FROM loaded),
+    arrived AS (FROM ranked WHERE is_second AND rn = 1)
+    SELECT {_LOADED} FROM arrived
+    UNION ALL SELECT {_LOADED} FROM ranked o WHERE NOT is_second AND rn = 1 AND NOT EXISTS (
+      FROM arrived n WHERE n.transaction_id IS NOT DISTINCT FROM o.transaction_id
+        AND n.trade_yyyymm IS NOT DISTINCT FROM o.trade_yyyymm)""",
 )
 def fact_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """The same two loads as corrections: rows of the affected months stay unless their key arrives again."""
     path = work_path(spark, "fact-transactions")
     first, second = _two_loads(spark, folder)
-    sinks.replace_months(first, path, "trade_yyyymm")
-    sinks.upsert_months(
-        second, path, "trade_yyyymm", ["transaction_id", "trade_yyyymm"],
-        ["arrival_dt", "instrument_id", "counterparty_id", "trade_dt"],
-    )
+    keys = ["transaction_id", "trade_yyyymm"]
+    latest_by = ["arrival_dt", "instrument_id", "counterparty_id", "trade_dt"]
+    sinks.replace_months(latest_per_key(first, keys, latest_by), path, "trade_yyyymm")
+    sinks.upsert_months(second, path, "trade_yyyymm", keys, latest_by)
     table = spark.read.schema(first.schema).parquet(path)
     return present(table.select(*_TRADE_COLUMNS, "source_yyyymm", "trade_yyyymm"))
 

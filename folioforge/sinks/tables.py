@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folioforge.operators.bronze import align
 from folioforge.operators.facts import merge_corrections
+from folioforge.operators.keys import latest_per_key
 from folioforge.operators.quality import schema_violations
 from folioforge.session import materialize
 
@@ -104,10 +105,13 @@ def save_raw(df: DataFrame, table: str, batch: str) -> None:
 def save_corrections(
     batch: DataFrame, table: str, month: str, keys: Sequence[str], latest_by: Sequence[str]
 ) -> None:
-    """Catalog-table form of :func:`upsert_months`; the default way to load facts."""
+    """Catalog-table form of :func:`upsert_months`; the default way to load facts.
+
+    The first batch follows the same rule: of rows that share a key the latest one is taken.
+    """
     spark = batch.sparkSession
     if not spark.catalog.tableExists(table):
-        save_months(batch, table, month)
+        save_months(latest_per_key(batch, list(keys), list(latest_by)), table, month)
         return
     check_schema(batch, table)
     merged = merge_corrections(spark.table(table), batch, keys, month, latest_by)

@@ -64,6 +64,27 @@ def test_backfill_of_six_months(spark, table):
     assert counts(spark, table) == {"202511": 1, "202512": 1, "202601": 201, "202602": 1, "202603": 1, "202604": 1}
 
 
+def test_old_rows_are_not_compared_with_each_other(spark, tmp_path):
+    path = str(tmp_path / "shared")
+    twins = trades(spark, 1, *month(1, 2)).union(trades(spark, 1, *month(1, 1), amount=7.0))
+    elsewhere = trades(spark, 1, *month(2, 2)).union(trades(spark, 1, *month(2, 1), amount=7.0))
+    sinks.replace_months(twins.union(elsewhere), path, "trade_yyyymm")
+    sinks.upsert_months(trades(spark, 2, *month(1, 1), first=5000), path, "trade_yyyymm", KEYS, ["load_no"])
+    assert counts(spark, path) == {"202601": 4, "202602": 3}
+
+
+def test_rows_that_share_a_key_in_one_batch(spark, table):
+    twice = trades(spark, 2, *month(1, 1), amount=1.0).union(trades(spark, 3, *month(1, 1), amount=2.0))
+    sinks.upsert_months(twice, table, "trade_yyyymm", KEYS, ["load_no"])
+    assert counts(spark, table) == {"202601": 200}
+    assert spark.read.parquet(table).where("load_no = 3 and amount = 2.0").count() == 1
+    name = "first_batch_of_facts"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    sinks.save_corrections(twice, name, "trade_yyyymm", KEYS, ["load_no"])
+    assert [r.load_no for r in spark.table(name).collect()] == [3]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_empty_batch_changes_nothing(spark, table):
     nothing = trades(spark, 2, *month(1, 1)).where("false")
     sinks.replace_months(nothing, table, "trade_yyyymm")

@@ -1,6 +1,7 @@
-"""Quantile ranks, stress window, look-back and crowded days."""
+"""Quantile ranks, stress window, look-back and groups of any size."""
 
 import math
+import random
 from datetime import date, timedelta
 
 import pytest
@@ -41,12 +42,24 @@ def test_rank_is_exact_at_multiples_of_twenty(spark, n):
     assert found[0.99].var_amount >= found[0.95].var_amount
 
 
-def test_crowded_days_take_the_sketch_with_the_same_result(spark, rows, monkeypatch):
-    positions, prices, _ = book(spark, 40, instruments=5, portfolios=("P", "Q"))
-    exact = rows(risk.position_level_var(positions, prices, PARAMS))
-    monkeypatch.setattr(risk, "MAX_POSITIONS", 4)
-    assert rows(risk.position_level_var(positions, prices, PARAMS)) == exact
-    assert len(exact) == 4
+@pytest.mark.parametrize("instruments", [5, 2001, 5000])
+def test_quantile_equals_a_plain_sort_for_any_number_of_positions(spark, instruments):
+    positions, prices, raw = book(spark, 6, instruments=instruments)
+    ordered = sorted(1000.0 * (int(name[1:]) + 1) * r for name, _, r in raw)
+    found = {r.confidence_level: r for r in risk.position_level_var(positions, prices, PARAMS).collect()}
+    for level, permille in ((0.95, 50), (0.99, 10)):
+        assert found[level].var_amount == pytest.approx(-ordered[max(1, -(-len(ordered) * permille // 1000)) - 1])
+        assert found[level].simulations_count == len(ordered)
+
+
+def test_quantiles_with_ties_and_many_groups(spark):
+    rng = random.Random(1)
+    groups = {k: [float(rng.randrange(1 + k * 50)) for _ in range(1 + k * 700)] for k in range(6)}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k int, v double")
+    got = {r.k: r._losses for r in risk.exact_quantiles(df, ["k"], "v", [50, 10, 500]).collect()}
+    assert got == {
+        k: [sorted(vs)[max(1, -(-len(vs) * m // 1000)) - 1] for m in (50, 10, 500)] for k, vs in groups.items()
+    }
 
 
 def test_portfolio_level_adds_up_days_and_counts_a_position_once(spark):
