@@ -5,11 +5,11 @@ lanes. Two signatures that differ in at most 15 lanes have, by the pigeonhole pr
 most one lane differs; every chunk is therefore indexed four times, each time with one lane masked. Pairs that
 share an index key are candidates; they become links only after a comparison of the full shingle sets.
 
-Equal sets are one node from the start. The members of a key are never
-paired with each other: each is compared with one leader, then with the key's best linked member. Nodes
-of keys whose members are still in different components are compared once more across components, where they
-share one of their rarest shingles, which all similar sets do. So no link between different sets is lost, and
-a large group of near copies costs about as many comparisons as it has members.
+Equal sets are one node from the start. The members of a key are never paired with each other: each is
+compared with one leader, the member that meets most others. Nodes of keys whose members are still in
+different components are compared once more across components, where they share one of their rarest shingles,
+as all similar sets do: first with one node of the largest component, then with all. So no link between
+different sets is lost, and a large group of near copies costs about as many comparisons as it has members.
 
 Nodes are named by a 64-bit hash of their set; two different sets share a name with probability 2**-64.
 """
@@ -32,9 +32,6 @@ LANES, CHUNKS, WIDTH = 32, 8, 4
 #: Lanes that may differ in candidates that are compared in full. All pairs up to 15 are found; of those
 #: beyond, which the index may also give, the ones up to this number are kept.
 MAX_DISTANCE = 20
-#: Sets that may have a shingle before it counts as common in the last comparison.
-OFTEN = 8
-
 _DRAW = np.random.default_rng(20240607)
 _FACTORS = _DRAW.integers(1 << 62, 1 << 63, LANES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _DRAW.integers(0, 1 << 63, LANES, dtype=np.uint64)
@@ -182,9 +179,9 @@ class _Search:
             "nodes",
         )
         keys = self.nodes.select("node", F.explode(index_keys([F.col(c) for c in CHUNK_NAMES])).alias("key"))
-        shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader"))
+        shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
         # members of keys that more than one node has
-        self.members = materialize(keys.join(shared.filter("size > 1"), "key"), "members")
+        self.members = materialize(keys.join(shared, "key"), "members")
         rows = self.members.select("node").distinct().join(self.nodes.select("node", "row"), "node")
         self.sets = materialize(shingle_sets(texts.join(rows, "row").select("node", "text"), size), "sets")
         self.edges = None
@@ -219,61 +216,66 @@ class _Search:
         ends = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         return named.join(ends.filter("low <> high").select("key"), "key")
 
-    def by_degree(self, open_keys: DataFrame) -> DataFrame:
-        """Pairs of each key's best linked node with the members of other components."""
-        degree = self.edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count()
-        ranked = open_keys.join(degree, "node", "left").withColumn("rank", F.coalesce("count", F.lit(0)))
-        top = ranked.groupBy("key").agg(F.max("rank").alias("rank"))
-        lead = ranked.join(top, ["key", "rank"]).groupBy("key").agg(F.min("node").alias("a"))
-        named = lead.join(self.labels.withColumnsRenamed({"node": "a", "label": "label_a"}), "a", "left")
-        named = named.withColumn("label_a", F.coalesce("label_a", "a"))
-        return open_keys.join(named, "key").filter("label <> label_a").select("a", F.col("node").alias("b"))
+    def by_weight(self) -> DataFrame:
+        """Pairs of each key's leader with its other members.
+
+        The leader is the member that meets most others over all its keys: the text that the others are
+        edits of, or one near it.
+        """
+        weight = self.members.groupBy("node").agg(F.sum("size").alias("weight"))
+        top = self.members.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("top"))
+        lead = top.select("key", F.col("top.node").alias("a"))
+        return self.members.join(lead, "key").filter("node <> a").select("a", F.col("node").alias("b"))
 
-    def by_prefix(self, open_keys: DataFrame) -> DataFrame:
-        """Pairs across components that share one of the rarest shingles of both.
+    def heads(self, open_keys: DataFrame) -> DataFrame:
+        """(node, n, s, left): the rarest shingles of the given nodes, and how many each has from there on.
 
         Two similar sets share a shingle among the first ``n - needed + 1`` of each in any common order; here
-        the rarest come first. A set with fewer common shingles (those of more than ``OFTEN`` sets) than two
-        sets must share has to share a rare one too, so common ones bring only pairs together that have
-        enough of them. This finds every similar pair of the given nodes, and few others: in a group of
-        copies with edits of their own, far copies are alike in the common shingles only.
+        the rarest come first.
         """
-        nodes = open_keys.select("node", "label").distinct().join(self.nodes.select("node", "n"), "node")
+        nodes = open_keys.select("node").distinct().join(self.nodes.select("node", "n"), "node")
         spread = self.sets.join(nodes.select("node"), "node", "left_semi").select("node", F.explode("shingles").alias("s"))
         found = spread.groupBy("s").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
         shared = spread.join(found, "s").groupBy("node").agg(F.sort_array(F.collect_set(F.struct("f", "s"))).alias("o"))
-        first = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1 - (F.col("n") - F.size("o"))
-        common = F.size(F.filter("o", lambda x: x["f"] > OFTEN))
-        heads = (
-            shared.join(nodes, "node")
-            .withColumn("common", common)
-            .filter(first > 0)
-            .select("node", "label", "n", "common", F.explode(F.slice("o", F.lit(1), first.cast("int"))).alias("h"))
-            .select("node", "label", "n", "common", F.col("h.s").alias("s"), F.col("h.f").alias("f"))
-            .filter((F.col("f") <= OFTEN) | (100 * F.col("common") >= self.percent * F.col("n")))
+        shared = shared.join(nodes, "node").withColumn("own", F.col("n") - F.size("o"))
+        first = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1 - F.col("own")
+        heads = shared.filter(first > 0).select(
+            "node", "n", "own", F.posexplode(F.slice("o", F.lit(1), first.cast("int"))).alias("at", "h")
         )
-        heads = materialize(heads, "heads")
-        parts = heads.groupBy("s", "label").agg(F.count(F.lit(1)).alias("size"))
+        left = (F.col("n") - F.col("own") - F.col("at")).alias("left")
+        return materialize(heads.select("node", "n", F.col("h.s").alias("s"), left), "heads")
+
+    def across(self, heads: DataFrame, best: bool) -> DataFrame:
+        """Pairs of nodes in different components that share one of the rarest shingles of both.
+
+        What both have from the first shared shingle on must be as much as similar sets share, so a set with
+        many shingles of its own meets others by rare ones only. All similar pairs of the given nodes are
+        found, or with ``best`` only those with the node of the largest component that has most left.
+        """
+        named = heads.join(self.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        parts = named.groupBy("s", "label").agg(F.count(F.lit(1)).alias("size"))
         tops = parts.groupBy("s").agg(F.max(F.struct("size", "label")).alias("top"), F.count(F.lit(1)).alias("labels"))
         tops = tops.filter("labels > 1").select("s", F.col("top.label").alias("top"))
+        marked = named.join(tops, "s")
         # the largest component at a shingle is met by the members of the others only
-        others = heads.join(tops, "s").filter("label <> top")
-        names = {"node": "a", "label": "label_a", "n": "n_a", "common": "common_a"}
-        others = others.select("s", *[F.col(c).alias(name) for c, name in names.items()])
+        names = {"node": "a", "label": "label_a", "n": "n_a", "left": "left_a"}
+        others = marked.filter("label <> top").select("s", *[F.col(c).alias(name) for c, name in names.items()])
+        met = named
+        if best:
+            most = marked.filter("label = top").groupBy("s").agg(F.max(F.struct("left", "node", "n", "label")).alias("m"))
+            met = most.select("s", "m.*")
         fits = 100 * F.least("n", "n_a") >= self.percent * F.greatest("n", "n_a")
-        enough = (100 + self.percent) * F.least("common", "common_a") >= self.percent * (F.col("n") + F.col("n_a"))
-        met = others.join(heads, "s").filter(
-            fits & (F.col("label") != F.col("label_a")) & ((F.col("f") <= OFTEN) | enough)
-        )
-        return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+        enough = (100 + self.percent) * F.least("left", "left_a") >= self.percent * (F.col("n") + F.col("n_a"))
+        pairs = others.join(met, "s").filter(fits & enough & (F.col("label") != F.col("label_a")))
+        return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
 
     def run(self) -> DataFrame:
-        self.add(self.members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")))
-        for pairs_of in (self.by_degree, self.by_prefix):
-            open_keys = materialize(self.labelled(), "open")
-            if open_keys.isEmpty():
-                break
-            self.add(pairs_of(open_keys))
+        self.add(self.by_weight())
+        open_keys = materialize(self.labelled(), "open")
+        if not open_keys.isEmpty():
+            heads = self.heads(open_keys)
+            self.add(self.across(heads, best=True))
+            self.add(self.across(heads, best=False))
         return self.labels
 
 
