@@ -50,6 +50,36 @@ def op1_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+LLM_ORACLES["op5_preference_pairs"] = """WITH t AS (
+    SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+  places AS (SELECT pair_id, turn, count(*) = 2 AND count(DISTINCT side) = 2 AND min(role) = max(role)
+      AND min(text) = max(text) AS same FROM t GROUP BY ALL),
+  splits AS (SELECT pair_id, min(turn) FILTER (WHERE NOT same) AS split FROM places GROUP BY pair_id),
+  parts AS (SELECT t.*, split IS NULL OR turn < split AS shared,
+      '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS segment FROM t JOIN splits USING (pair_id))
+  SELECT pair_id, CASE WHEN shared THEN 'prompt' WHEN side = 0 THEN 'chosen' ELSE 'rejected' END AS part, turn, role,
+    segment, NOT shared AND role = 'assistant' AS is_target,
+    length(segment) - CASE WHEN NOT shared AND role = 'assistant' THEN length(text) + 8 ELSE 0 END AS masked_chars,
+    CASE WHEN NOT shared AND role = 'assistant' THEN length(text) + 8 ELSE 0 END AS target_chars
+  FROM parts WHERE NOT shared OR side = 0"""
+
+LLM_ORACLES["op7_line_windows"] = f"""WITH d AS (
+    SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+  b AS (SELECT doc_id, list_transform(ls, lambda v: trim(v, {_BLANKS})) AS b FROM d),
+  w AS (SELECT doc_id, i, b[i] AS x, b[i + 1] AS y, b[i + 2] AS z
+    FROM (SELECT doc_id, b, unnest(range(1, len(b) - 1)) AS i FROM b)),
+  r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, i) AS rn FROM w WHERE x || y || z <> ''),
+  gone AS (SELECT DISTINCT doc_id, i + k AS i FROM r, (SELECT unnest([0, 1, 2]) AS k) WHERE rn > 1),
+  ln AS (SELECT doc_id, ls[i] AS v, i FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+  kept AS (SELECT doc_id, string_agg(v, chr(10) ORDER BY i) AS kept FROM ln ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+  n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+  SELECT d.doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(n.n, 0) AS n_removed,
+    CASE WHEN text IS NOT NULL THEN md5(coalesce(kept, '')) END AS text_md5
+  FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
 @query
 def op5_preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return preferences.format_pairs(preferences.neighbours(load(spark, folder, "conversations")))
