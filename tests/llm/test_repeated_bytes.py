@@ -49,7 +49,7 @@ def test_edges_runs_and_overlaps(spark, monkeypatch, bucket, step):
     docs = list(enumerate(texts))
     got = result(rb.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")))
     assert got == reference(docs)
-    assert got[2][1] == 100 and got[3][1] == 0 and got[6][1] == 349
+    assert got[2][1] == got[2][0] >= 100 and got[4][1] == 0 and got[6][1] == 349
 
 
 def test_anchors_stand_at_equal_places_of_equal_strings():
