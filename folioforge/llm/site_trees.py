@@ -48,6 +48,10 @@ BY_NAME = re.compile(
     r"respond|repl(?:y|ies)|disqus|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|search|"
     r"widgets?|toolbar|pagination|pager|skip-?link|legal|copyright)(?:$|[\s_-])"
 )
+#: Of an article itself, only these names count.
+OTHER_ARTICLES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|comments?|repl(?:y|ies)|related|recommend\w*)(?:$|[\s_-])")
+#: Names that speak of the layout around an element, not of the element.
+LAYOUT = re.compile(r"(?:^|\s)(?:has|no|with|without|is)[-_]\S*")
 HEADERS = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])")
 
 _TAG = re.compile(
@@ -85,7 +89,7 @@ def _attributes(source: str) -> dict[str, str]:
 
 def _unwanted(tag: str, own: dict[str, str], in_article: bool) -> bool:
     """Whether tag, role or names say that the element is no part of an article."""
-    names = f"{own.get('class', '')} {own.get('id', '')}".lower()
+    names = LAYOUT.sub(" ", f"{own.get('class', '')} {own.get('id', '')}".lower())
     if tag in ("html", "body", "main"):
         return False
     if "hidden" in own or own.get("aria-hidden", "").lower() == "true":
@@ -94,6 +98,8 @@ def _unwanted(tag: str, own: dict[str, str], in_article: bool) -> bool:
         return True
     if in_article and (tag == "header" or HEADERS.search(names)):
         return False
+    if tag == "article":
+        return bool(OTHER_ARTICLES.search(names))
     return tag in BY_TAG or own.get("role", "").lower() in BY_ROLE or bool(BY_NAME.search(names))
 
 

@@ -23,6 +23,8 @@ def test_parts_that_are_no_article():
 @pytest.mark.parametrize("source,text", [
     ("", ""), ("plain", "plain"), ("<p>a", "a"), ("<p>a</div>b", "a\nb"), ("<p title='a>b'>c", "c"), ("<p title=\"x>y", "y"),
     ("a < b <p>c", "a < b\nc"), ("<script>x", ""), ("<article></article><p>out", ""), ("<body><nav>m</nav><p>x</body>", "x"),
+    ("<article class='post has-sidebar no-comments'><p>in</p></article>", "in"), ("<div class='with-menu'>x</div>", "x"),
+    ("<article>a</article><article class='comment'>b</article>", "a"),
     ("<form><article><p>in</p></article></form>", "in"), ("<![CDATA[raw]]>", "raw"), ("<div>" * 300 + "deep", "deep"),
 ])
 def test_broken_pages(source, text):
