@@ -31,6 +31,8 @@ GRID = {
 MAX_FALSE, ALPHA = 0.02, 0.05
 #: A good document weighs as many bad ones when cutoffs that pass are compared.
 GOOD_WEIGHT = 10
+#: Strata up to which the cutoffs are sent to all tasks; more are joined by shuffle.
+SMALL = 10_000
 #: Terms of the binomial sum that are added one by one; a bound takes the place of the rest.
 TERMS = 2000
 
@@ -208,7 +210,9 @@ def judge(
         .select(F.col(key).alias("_key"), name.alias("stratum"), *[s.alias(r) for r, s in scores(own).items()])
         .join(known, F.col("_key") == F.col("_label_of"))
     )
-    limits = cutoffs(labelled).withColumnRenamed("stratum", "_stratum")
+    limits = materialize(cutoffs(labelled).withColumnRenamed("stratum", "_stratum"), "cutoffs")
+    if limits.count() <= SMALL:
+        limits = F.broadcast(limits)  # a row per stratum; else whole texts would be shuffled by it
     joined = df.withColumn("_name", name).join(limits, F.col("_name") == F.col("_stratum"), "left")
     over = reduce(
         lambda a, rule: a | F.coalesce(scores(own)[rule] > F.col(f"max_{rule}"), F.lit(False)), GRID, F.lit(False)

@@ -27,6 +27,8 @@ from folioforge.session import materialize
 LEAST_IMPORTANCE, LEAST_PAGES = 0.2, 5
 #: How fast the weight of the children falls with the number of presentations.
 DAMPING = 0.9
+#: Parts that the pages of a host are spread over.
+SLICES = 64
 #: Elements nested deeper belong to the node at this depth.
 DEPTH = 64
 
@@ -302,7 +304,10 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     own = pages.select("page_id", "url", "html")
     found = templates(own)
-    joined = own.withColumn("host", _host(F.col("url"))).join(found, "host", "left")
+    # a host may have a third of all pages: it is cut into slices, each meeting a copy of the host's row
+    sliced = own.withColumn("host", _host(F.col("url"))).withColumn("slice", F.pmod(F.xxhash64("page_id", "html"), F.lit(SLICES)))
+    copies = found.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))))
+    joined = sliced.join(copies, ["host", "slice"], "left")
     return joined.select("page_id", "url", "html", "paths").mapInPandas(
         _text_rows, "page_id long, url string, text string, n_chars long"
     )
