@@ -22,8 +22,6 @@ from folioforge.session import materialize
 DOMAINS = ("clean", "noisy", "toxic")
 #: Labelled documents that the classifier learns from, in expectation, and words it keeps.
 SAMPLE, VOCABULARY = 20_000, 4096
-#: Log odds by which the other domains must beat the first one: it has the benefit of the doubt.
-BENEFIT = 2.5
 #: Least evidence for a word: twice the log likelihood ratio of its counts.
 LEAST_EVIDENCE = 30.0
 GRID, MOST_STEPS, CLOSE = 32, 40, 1e-3
@@ -44,18 +42,22 @@ def domain_of(labels: DataFrame, key: str = "doc_id") -> DataFrame:
     return known.select(F.col(key).alias("_label_of"), F.when(toxic, "toxic").when(good, "clean").otherwise("noisy").alias("domain"))
 
 
-def learn(df: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(word, one log weight per domain), at most ``VOCABULARY`` rows; the empty word carries the priors.
-
-    About ``SAMPLE`` labelled documents are read, chosen by a hash of the key, so by no order of the data.
-    """
+def _sampled(df: DataFrame, labelled: DataFrame, key: str, text: str) -> DataFrame:
+    """(_key, _text, domain) of about ``SAMPLE`` labelled documents."""
     total = labelled.count()
     parts = 1 << 30
     taken = labelled.filter(F.pmod(F.xxhash64(F.lit("mix"), "_label_of"), F.lit(parts)) < min(1.0, SAMPLE / max(total, 1)) * parts)
     # about SAMPLE rows of a key and a domain
     rows = df.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
-    rows = rows.join(F.broadcast(taken), F.col("_key") == F.col("_label_of"))
-    rows = rows.select("domain", vocabulary_of(F.col("_text")).alias("vocabulary"))
+    return rows.join(F.broadcast(taken), F.col("_key") == F.col("_label_of")).drop("_label_of")
+
+
+def learn(df: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(word, one log weight per domain), at most ``VOCABULARY`` rows; the empty word carries the priors.
+
+    About ``SAMPLE`` labelled documents are read, chosen by a hash of the key, so by no order of the data.
+    """
+    rows = _sampled(df, labelled, key, text).select("domain", vocabulary_of(F.col("_text")).alias("vocabulary"))
     counts = [F.count(F.when(F.col("domain") == d, 1)).alias(f"n_{d}") for d in DOMAINS]
     found = rows.select("domain", F.explode_outer("vocabulary").alias("word")).groupBy("word").agg(*counts)
     found = materialize(found, "words")
@@ -75,10 +77,7 @@ def learn(df: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "
     kept = found.filter("word <> ''").withColumn("_e", evidence).filter(F.col("_e") >= LEAST_EVIDENCE)
     kept = kept.orderBy(F.col("_e").desc(), "word").limit(VOCABULARY - 1)
     weights = kept.select("word", *[F.log(rate(d)).alias(f"w_{d}") for d in DOMAINS])
-    prior = [
-        (F.log(F.lit((sizes[d] + 1.0) / (size + len(DOMAINS)))) + (BENEFIT if d == DOMAINS[0] else 0.0)).alias(f"w_{d}")
-        for d in DOMAINS
-    ]
+    prior = [F.log(F.lit((sizes[d] + 1.0) / (size + len(DOMAINS)))).alias(f"w_{d}") for d in DOMAINS]
     return weights.union(df.sparkSession.range(1).select(F.lit("").alias("word"), *prior))
 
 
@@ -106,6 +105,31 @@ def posteriors(df: DataFrame, weights: DataFrame, key: str = "doc_id", text: str
     return sums.select("row", "tokens", "copies", rest.alias(f"p_{DOMAINS[0]}"), *[c.alias(f"p_{d}") for d, c in cells.items()])
 
 
+def cell_of() -> Column:
+    """Number of the cell of the grid, steps of 1/32, that a document's posterior is nearest to."""
+    toxic = F.round(F.col(f"p_{DOMAINS[2]}") * GRID)
+    noisy = F.least(F.round(F.col(f"p_{DOMAINS[1]}") * GRID), GRID - toxic)
+    return (noisy * (GRID + 1) + toxic).cast("int")
+
+
+def calibrated(scored: DataFrame, df: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``scored`` with each posterior averaged with the labels of the labelled documents in its cell.
+
+    The classifier counts only for the words that a text has, so a text without any keeps the priors, and it takes
+    words for independent. The labels of a cell correct both; the classifier's own posterior weighs as much as one
+    labelled document. A cell without labelled documents keeps it.
+    """
+    # about SAMPLE rows of a hash and a domain
+    known = _sampled(df, labelled, key, text).select(row_of("_key", "_text").alias("row"), "domain").distinct()
+    counts = [F.coalesce(F.sum(F.when(F.col("domain") == d, F.col("copies"))), F.lit(0)).alias(f"n_{d}") for d in DOMAINS]
+    # at most 561 rows
+    counted = scored.join(F.broadcast(known), "row").groupBy(cell_of().alias("_cell")).agg(*counts)
+    joined = scored.withColumn("_cell", cell_of()).join(F.broadcast(counted), "_cell", "left")
+    seen = {d: F.coalesce(F.col(f"n_{d}"), F.lit(0)) for d in DOMAINS}
+    size = reduce(lambda a, b: a + b, seen.values()) + 1
+    return joined.select("row", "tokens", "copies", *[((seen[d] + F.col(f"p_{d}")) / size).alias(f"p_{d}") for d in DOMAINS])
+
+
 def row_of(key: str, text: str) -> Column:
     return F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`"))
 
@@ -165,7 +189,9 @@ def mix(
     A null text has no tokens and the posterior of the priors. Rows equal in key and text get one rate, and
     each counts in the totals. Without labels all posteriors are equal. An empty table gives no rows.
     """
-    scored = materialize(posteriors(df, learn(df, domain_of(labels), key, text), key, text), "scored")
+    known = domain_of(labels)
+    scored = materialize(posteriors(df, learn(df, known, key, text), key, text), "posteriors")
+    scored = materialize(calibrated(scored, df, known, key, text), "scored")
     rate = fit(scored, weights, budget, shares, most)
     return scored.withColumn("rate", rate).drop("copies")
 

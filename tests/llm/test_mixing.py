@@ -60,3 +60,12 @@ def test_odd_rows(spark, odd_docs, no_docs, labels):
     none = mx.mix(odd_docs, labels.limit(0), shares={"clean": 0.0, "noisy": 0.0, "toxic": 0.0}, most=1.0)
     assert mx.sample(odd_docs, none).count() == 0
     assert mx.mix(no_docs, labels, weights={"clean": 1.0, "noisy": 0.0, "toxic": 0.0}).count() == 0
+
+
+def test_posteriors_of_labelled_documents_add_up_to_their_labels(spark, table):
+    folder = "/root/testdata/sf0.01"
+    rows = {r["doc_id"]: r for r in LLM_QUERIES["op10_soft_mixing"](spark, folder).collect()}
+    known = [x for x in table(spark, "labels", folder) if x["doc_id"] in rows and x["toxic"] is not None and x["quality"] is not None]
+    kinds = ["toxic" if x["toxic"] == 1 else "clean" if x["quality"] == 1 else "noisy" for x in known]
+    for d in mx.DOMAINS:
+        assert sum(rows[x["doc_id"]][f"p_{d}"] for x in known) == pytest.approx(kinds.count(d), rel=0.05)
