@@ -2,29 +2,29 @@
 
 A naive Bayes classifier on words, learned from a labelled table, gives every document a posterior over the
 domains. Rates are the nonnegative least squares solution of: expected tokens per domain (rate x tokens x
-posterior, summed over documents) = target. Projected gradient steps, scaled by each domain's mass, solve it:
-a step needs the domain totals only, which Spark sums, and moves a document's rate by the posterior-weighted
-residuals, so a rate follows from the document's posterior and the residuals of all steps. As posteriors are
-kept in steps of 1/32, documents with the same posterior are summed once, before the first step.
+posterior, summed over documents) = target. Documents whose posteriors round to the same cell of a grid with steps
+of 1/32 have one rate, and Spark sums their unrounded posteriors once, so totals are exact. Projected gradient steps
+over these at most 561 cells, each domain scaled by its own mass, run until no rate moves.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.llm.common import boxed, of, unboxed, words
 from folioforge.session import materialize
 
-#: The first domain takes what rounding leaves of a posterior.
 DOMAINS = ("clean", "noisy", "toxic")
 #: Labelled documents that the classifier learns from, in expectation, and words it keeps.
 SAMPLE, VOCABULARY = 20_000, 4096
 #: Least evidence for a word: twice the log likelihood ratio of its counts.
 LEAST_EVIDENCE = 30.0
-GRID, MOST_STEPS, CLOSE = 32, 40, 1e-3
+#: Steps of the grid, and the move of a rate at which the fit has ended.
+GRID, CLOSE = 32, 1e-9
 
 #: Parts of a lower-case text: split at blanks and marks, and between letters and signs that follow.
 _PARTS = r"[\x20\x09-\x0D.,;:!?]+|(?<=\p{L})(?=[^\p{L}\x20\x09-\x0D.,;:!?])"
@@ -82,7 +82,7 @@ def learn(df: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "
 
 
 def posteriors(df: DataFrame, weights: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row, tokens, one posterior per domain in steps of 1/32) per distinct key and text."""
+    """(row, tokens, one posterior per domain) per distinct key and text."""
     # columns beside an explode are computed for each of its rows, so they are made before it
     whole = df.select(
         row_of(key, text).alias("row"),
@@ -100,9 +100,7 @@ def posteriors(df: DataFrame, weights: DataFrame, key: str = "doc_id", text: str
     top = F.greatest(*[F.col(f"w_{d}") for d in DOMAINS])
     parts = {d: F.exp(F.col(f"w_{d}") - top) for d in DOMAINS}
     whole = reduce(lambda a, b: a + b, parts.values())
-    cells = {d: F.floor(parts[d] / whole * GRID) / GRID for d in DOMAINS[1:]}
-    rest = reduce(lambda a, b: a - b, cells.values(), F.lit(1.0))
-    return sums.select("row", "tokens", "copies", rest.alias(f"p_{DOMAINS[0]}"), *[c.alias(f"p_{d}") for d, c in cells.items()])
+    return sums.select("row", "tokens", "copies", *[(parts[d] / whole).alias(f"p_{d}") for d in DOMAINS])
 
 
 def cell_of() -> Column:
@@ -134,50 +132,52 @@ def row_of(key: str, text: str) -> Column:
     return F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`"))
 
 
-def rate_after(steps: list[list[float]], start: float, most: float | None) -> Column:
-    """A document's rate after the given residual steps, from its posterior."""
+def solve(posterior: np.ndarray, mass: np.ndarray, goal: np.ndarray, start: float, most: float | None) -> np.ndarray:
+    """Rate per cell, from the cells' mean posteriors and their mass per domain.
 
-    def move(rate: Column, step: Column) -> Column:
-        shift = reduce(lambda a, b: a + b, [step[i] * F.col(f"p_{d}") for i, d in enumerate(DOMAINS)])
-        moved = F.greatest(rate - shift, F.lit(0.0))
-        return moved if most is None else F.least(moved, F.lit(most))
-
-    first = F.lit(start if most is None else min(start, most))
-    if not steps:
-        return first
-    return F.aggregate(F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps]), first, move)
+    Steps are accelerated; where one would lead uphill, the acceleration starts anew.
+    """
+    whole = mass.sum(axis=0)
+    scale = np.divide(1.0, whole, out=np.zeros_like(whole), where=whole > 0)
+    most = np.inf if most is None else most
+    rate = ahead = np.full(len(posterior), min(start, most))
+    moved, speed = 1.0, 1.0
+    while moved > CLOSE:
+        new = np.clip(ahead - posterior @ ((ahead @ mass - goal) * scale), 0.0, most)
+        if (ahead - new) @ (mass.sum(axis=1) * (new - rate)) > 0 and speed > 1.0:
+            ahead, speed = rate, 1.0
+            continue
+        moved = float(np.abs(new - rate).max(initial=0.0))
+        after = (1.0 + (1.0 + 4.0 * speed * speed) ** 0.5) / 2.0
+        rate, ahead, speed = new, new + (speed - 1.0) / after * (new - rate), after
+    return rate
 
 
 def fit(scored: DataFrame, weights: dict[str, float] | None, budget: float, shares: dict[str, float] | None = None, most: float | None = None) -> Column:
     """The rate column for rows of ``scored`` (tokens, copies, posteriors).
 
     Targets are ``weights`` of ``budget`` x all tokens, or ``shares`` of each domain's own expected tokens. At most
-    (32 + 2 choose 2) cells are summed over; a step sends one row of domain totals to the driver. A domain
-    that no document belongs to has no step, as no rate can reach its target.
+    (32 + 2 choose 2) cells reach the driver. A domain that no document belongs to moves no rate, as none can reach
+    its target.
     """
-    names = [f"p_{d}" for d in DOMAINS]
-    cells = materialize(scored.groupBy(*names).agg(F.sum(F.col("tokens") * F.col("copies")).alias("mass")), "cells")
-
-    def totals(rate: Column) -> list[float]:
-        row = cells.agg(*[F.sum(F.col("mass") * rate * F.col(n)) for n in names]).first()
-        return [float(x or 0.0) for x in row]
-
-    mass = totals(F.lit(1.0))
-    everything = sum(mass)
+    tokens = F.col("tokens") * F.col("copies")
+    sums = [F.sum(tokens * F.col(f"p_{d}")).cast("double").alias(d) for d in DOMAINS]
+    cells = sorted(tuple(r) for r in scored.groupBy(cell_of().alias("cell")).agg(*sums).filter("cell IS NOT NULL").collect())
+    index = np.array([c[0] for c in cells], np.int64)
+    mass = np.array([c[1:] for c in cells], np.float64).reshape(-1, len(DOMAINS))
+    noisy, toxic = index // (GRID + 1) / GRID, index % (GRID + 1) / GRID
+    size = mass.sum(axis=1, keepdims=True)
+    # without tokens: the middle of the cell
+    posterior = np.where(size > 0, mass / np.where(size > 0, size, 1.0), np.stack((1.0 - noisy - toxic, noisy, toxic), axis=1))
+    own, everything = mass.sum(axis=0), float(mass.sum())
     if shares is not None:
-        goal = [shares[d] * m for d, m in zip(DOMAINS, mass, strict=True)]
+        goal = np.array([shares[d] for d in DOMAINS]) * own
     else:
-        goal = [weights[d] * budget * everything for d in DOMAINS]
-    start, steps = sum(goal) / everything if everything else 0.0, []
-    while everything and len(steps) < MOST_STEPS:
-        off = [t - g for t, g in zip(totals(rate_after(steps, start, most)), goal, strict=True)]
-        gap = max(map(abs, off))
-        # met, or at the least squares solution of targets that cannot be met
-        if gap <= CLOSE * everything or steps and abs(last - gap) <= CLOSE / 10 * everything:
-            break
-        last = gap
-        steps.append([o / m if m else 0.0 for o, m in zip(off, mass, strict=True)])
-    return rate_after(steps, start, most)
+        goal = np.array([weights[d] for d in DOMAINS]) * budget * everything
+    start = float(goal.sum()) / everything if everything else 0.0
+    rates = np.zeros((GRID + 1) ** 2)
+    rates[index] = solve(posterior, mass, goal, start, most)
+    return F.array(*[F.lit(float(x)) for x in rates])[cell_of()]
 
 
 def mix(

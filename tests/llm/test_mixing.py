@@ -69,3 +69,20 @@ def test_posteriors_of_labelled_documents_add_up_to_their_labels(spark, table):
     kinds = ["toxic" if x["toxic"] == 1 else "clean" if x["quality"] == 1 else "noisy" for x in known]
     for d in mx.DOMAINS:
         assert sum(rows[x["doc_id"]][f"p_{d}"] for x in known) == pytest.approx(kinds.count(d), rel=0.05)
+
+
+@pytest.mark.parametrize("clean, noisy, toxic", [(9992, 0, 8), (9990, 5, 5), (9900, 50, 50), (50, 50, 9900)])
+def test_rare_domains_are_fitted(spark, clean, noisy, toxic):
+    rows = [(0, clean, 1, 1.0, 0.0, 0.0), (1, noisy, 1, 0.0, 1.0, 0.0), (2, toxic, 1, 0.0, 0.0, 1.0)]
+    df = spark.createDataFrame([r for r in rows if r[1]], POSTERIORS)
+    rate = mx.fit(df, None, 0.0, {"clean": 1.0, "noisy": 0.25, "toxic": 0.0}, 1.0)
+    got = {r["row"]: r["rate"] for r in df.withColumn("rate", rate).collect()}
+    assert got == pytest.approx({r[0]: (1.0, 0.25, 0.0)[r[0]] for r in rows if r[1]}, abs=1e-6)
+
+
+def test_totals_hold_for_posteriors_between_the_steps_of_the_grid(spark):
+    rows = [(i, 100, 1, 1.0 - p - q, p, q) for i, (p, q) in enumerate([(0.001, 0.999), (0.01, 0.01), (0.9, 0.03), (0.49, 0.02), (0.02, 0.47)] * 20)]
+    df = spark.createDataFrame([tuple(abs(x) if isinstance(x, float) else x for x in r) for r in rows], POSTERIORS)
+    shares = {"clean": 0.5, "noisy": 0.4, "toxic": 0.3}
+    mass, got = totals(df, F.lit(1.0)), totals(df, mx.fit(df, None, 0.0, shares))
+    assert got == pytest.approx([m * s for m, s in zip(mass, shares.values(), strict=True)], rel=1e-4)
