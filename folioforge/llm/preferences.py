@@ -24,7 +24,7 @@ def format_pairs(turns: DataFrame, trained_role: str = "assistant") -> DataFrame
     characters of text and end mark that follow ``masked_chars`` masked ones.
 
     A null role or text renders as empty and equals another null only; a null turn comes first. Rows that
-    repeat a (side, turn) all stay and are compared as a bag. A pair with one side has no prompt. Equal sides
+    repeat a (side, turn) all stay and are compared as a bag, by count and sums of two hashes. A pair with one side has no prompt. Equal sides
     make a prompt without completions. An empty table gives no rows. Other columns are dropped. No row or
     task gathers a conversation, so its length has no bound.
     """
@@ -33,7 +33,7 @@ def format_pairs(turns: DataFrame, trained_role: str = "assistant") -> DataFrame
     per_side = []
     for side in (0, 1):
         here = F.col("side") == side
-        per_side.append([F.count(F.when(here, 1)), *[F.bit_xor(F.when(here, s)) for s in said]])
+        per_side.append([F.count(F.when(here, 1)), *[F.sum(F.when(here, s.cast("decimal(20,0)"))) for s in said]])
     same = F.lit(True)
     for a, b in zip(*per_side, strict=True):
         same = same & a.eqNullSafe(b)

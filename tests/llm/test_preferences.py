@@ -55,3 +55,13 @@ def test_nulls_repeats_and_empty(spark):
     assert preferences.format_pairs(spark.createDataFrame([], SCHEMA)).count() == 0
     turns = spark.createDataFrame([(None, 0, "user", "x"), (3, 0, "user", "y")], "conv_id long, turn long, role string, text string")
     assert [(r["pair_id"], r["side"]) for r in preferences.neighbours(turns).collect()] == [(1, 1)]
+
+
+def test_repeated_turns_are_compared_as_bags(spark):
+    sides = {1: ("AA", "BB"), 2: ("AA", "AA"), 3: ("AAB", "ABB"), 4: ("AAC", "BBC"), 5: ("ABAB", "BABA")}
+    rows = [(p, s, 0, "user", x, None) for p, xs in sides.items() for s in (0, 1) for x in xs[s]]
+    got = preferences.format_pairs(spark.createDataFrame(rows, SCHEMA)).collect()
+    want = []
+    for p, (a, b) in sides.items():
+        want += [(p, "prompt")] * len(a) if sorted(a) == sorted(b) else [(p, "chosen")] * len(a) + [(p, "rejected")] * len(b)
+    assert sorted((r["pair_id"], r["part"]) for r in got) == sorted(want)
