@@ -47,7 +47,7 @@ _BASE = 0x9E3779B97F4A7C15
 
 def _fields(kind: str) -> str:
     return {
-        "anchors": "gram long, doc long, at int",
+        "anchors": "gram long, row long, at int",
         "contexts": "gram long, c1 long, c2 long, doc long, row long, at int, reach int, starts int",
         "wanted": "gram long, many boolean, doc long, row long, low int, starts int, context binary",
         "late": "row long, low int, high int",
@@ -105,7 +105,7 @@ def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(
                 {
                     "gram": np.concatenate([h for h, _ in found]).view(np.int64),
-                    "doc": np.repeat(batch["doc"].to_numpy(), sizes),
+                    "row": np.repeat(batch["row"].to_numpy(), sizes),
                     "at": np.concatenate([p for _, p in found]).astype(np.int32),
                 }
             )
@@ -128,7 +128,7 @@ def _context_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for at in np.unique(places).tolist():
                 first, end = _span(data, at)
                 if at + GRAM > end or end - first < DEPTH:
-                    continue  # a place of another text with the same id
+                    continue  # a place of another text with the same hash
                 digest = xxhash.xxh3_128_intdigest(data[first:end], seed=at - first)
                 gram = xxhash.xxh64_intdigest(data[at : at + GRAM])
                 c1, c2 = _signed(digest >> 64), _signed(digest & ((1 << 64) - 1))
@@ -245,10 +245,11 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         own.alias("id"), F.coalesce(own, F.lit(LAST)).alias("doc"), F.xxhash64(own, whole).alias("row"), whole.alias("text")
     )
     long_enough = docs.filter(F.octet_length("text") >= DEPTH)
-    grams = long_enough.select("doc", "text").mapInPandas(_anchor_rows, _fields("anchors"))
+    grams = long_enough.select("row", "text").mapInPandas(_anchor_rows, _fields("anchors"))
     twice = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    places = written(grams.join(twice, "gram").groupBy("doc").agg(F.collect_list("at").alias("places")), "places")
-    touched = written(long_enough.join(places, "doc").select("doc", "row", "text", "places"), "touched")
+    # at most the places of one text
+    places = written(grams.join(twice, "gram").groupBy("row").agg(F.collect_set("at").alias("places")), "places")
+    touched = written(long_enough.join(places, "row").select("doc", "row", "text", "places"), "touched")
 
     contexts = written(touched.mapInPandas(_context_rows, _fields("contexts")), "contexts")
     place = F.struct("doc", "row", "at")

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from folioforge.llm import repeated_bytes as rb
 from folioforge.llm.plans import LLM_QUERIES
@@ -71,3 +72,19 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert by[5]["n_removed"] == 0 and by[6]["n_removed"] == by[6]["n_bytes"] > 0 and by[4]["n_removed"] > 0
     assert by[1]["kept_sha256"] == hashlib.sha256(b"").hexdigest()
     assert rb.remove_repeats(no_docs).count() == 0
+
+
+def test_anchors_of_rows_with_one_key_stay_apart(spark, monkeypatch):
+    rng, made, write = random.Random(3), {}, rb.written
+
+    def kept(df, label):
+        made[label] = write(df, label)
+        return made[label]
+
+    monkeypatch.setattr(rb, "written", kept)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(150))
+    docs = [(None, chr(33 + i) + passage) for i in range(60)] + [(None, "!" + passage)] * 60 + [(1, passage)]
+    rows = rb.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert made["touched"].filter(F.size("places") > F.octet_length("text")).count() == 0
+    assert made["touched"].count() == len(docs) == len(rows)
+    assert [r["n_removed"] for r in rows if r["doc_id"] is None] == [150] * 120
