@@ -13,6 +13,7 @@ from folioforge.llm import (
     line_windows,
     mixing,
     near_duplicates,
+    passage_repeats,
     preferences,
     quality_rules,
     repeated_bytes,
@@ -141,3 +142,8 @@ def op10_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
     rates = mixing.mix(docs, load(spark, folder, "labels"), weights=MIX, budget=BUDGET)
     own = docs.select("doc_id", mixing.row_of("doc_id", "text").alias("row"))
     return own.join(rates, "row").select("doc_id", "tokens", "p_clean", "p_noisy", "p_toxic", "rate")
+
+
+@query
+def op12_passage_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return passage_repeats.without_repeats(load(spark, folder, "documents"))
