@@ -15,6 +15,7 @@ from folioforge.llm import (
     near_duplicates,
     passage_repeats,
     preferences,
+    prefix_trie,
     quality_rules,
     repeated_bytes,
     sharding,
@@ -147,3 +148,8 @@ def op10_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op12_passage_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return passage_repeats.without_repeats(load(spark, folder, "documents"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(load(spark, folder, "conversations"))
