@@ -20,6 +20,7 @@ from folioforge.llm import (
     repeated_bytes,
     sharding,
     site_trees,
+    structure_repair,
 )
 from folioforge.llm.common import load
 from folioforge.session import materialize
@@ -153,3 +154,8 @@ def op12_passage_repeats(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.trie(load(spark, folder, "conversations"))
+
+
+@query
+def op13_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return structure_repair.damage_and_repair(load(spark, folder, "conversations"))
