@@ -70,23 +70,23 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Rolling:
-    """Hashes of any ranges of ``hashes``: differences of prefix sums, shifted back to the origin."""
+    """Hashes of any ranges of ``hashes``, along the last axis: differences of prefix sums, shifted back to the origin."""
 
     def __init__(self, hashes: np.ndarray, base: int = _BASES[0]):
-        n = len(hashes)
+        n = hashes.shape[-1]
         steps = np.full(n + 1, base, np.uint64)
         back = np.full(n + 1, pow(base, -1, 1 << 64), np.uint64)
         steps[0] = back[0] = 1
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(hashes * np.multiply.accumulate(steps)[:n], out=self.sums[1:])
+        self.sums = np.zeros((*hashes.shape[:-1], n + 1), np.uint64)
+        np.cumsum(hashes * np.multiply.accumulate(steps)[:n], axis=-1, out=self.sums[..., 1:])
         self.back = np.multiply.accumulate(back)
 
     def spans(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        return _mixed((self.sums[high] - self.sums[low]) * self.back[low])
+        return _mixed((self.sums[..., high] - self.sums[..., low]) * self.back[low])
 
     def every(self, width: int) -> np.ndarray:
-        low = np.arange(max(len(self.sums) - width, 0))
-        return self.spans(low, low + width)
+        n = max(self.sums.shape[-1] - width, 0)
+        return _mixed((self.sums[..., width:] - self.sums[..., :n]) * self.back[:n])
 
 
 def _extreme(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -152,42 +152,54 @@ def _context_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(out, columns=names)
 
 
-def matched(own: np.ndarray, left: int, lead: np.ndarray, lead_left: int) -> tuple[int, int]:
-    """The range of ``own`` around its gram, which starts at ``left``, that agrees with ``lead`` around its own."""
-    before = min(left, lead_left)
-    differ = np.flatnonzero(own[left - before : left] != lead[lead_left - before : lead_left])
-    low = left - before + (int(differ[-1]) + 1 if len(differ) else 0)
-    after = min(len(own) - left, len(lead) - lead_left)
-    differ = np.flatnonzero(own[left : left + after] != lead[lead_left : lead_left + after])
-    return low, left + (int(differ[0]) if len(differ) else after)
+def _aligned(contexts: list[bytes], lefts: np.ndarray, none: int) -> np.ndarray:
+    """Contexts as rows of one matrix, with their grams in the same columns; ``none`` stands for missing words."""
+    out = np.full((len(contexts), REACH + WINDOW), none, np.uint64)
+    for row, (words, left) in enumerate(zip(contexts, lefts.tolist(), strict=True)):
+        found = np.frombuffer(words, np.uint64)
+        out[row, REACH - left : REACH - left + len(found)] = found
+    return out
 
 
-def own_windows(words: np.ndarray, left: int) -> np.ndarray:
-    """Starts of the windows of a context whose leftmost smallest gram is the one at ``left``."""
-    grams = Rolling(words).every(GRAM)
-    starts = np.lib.stride_tricks.sliding_window_view(grams, REACH + 1)
-    return np.flatnonzero(starts.argmin(axis=1) + np.arange(len(starts)) == left)
+def matched(own: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row of two matrices: the columns, from low to before high, that agree around the gram."""
+    same = own == lead
+    low = REACH - np.logical_and.accumulate(same[:, :REACH][:, ::-1], axis=1).sum(axis=1)
+    return low, REACH + np.logical_and.accumulate(same[:, REACH:], axis=1).sum(axis=1)
+
+
+def own_windows(grams: np.ndarray) -> np.ndarray:
+    """Whether the gram in the middle is the leftmost smallest one of the window that starts in each column."""
+    middle, most = grams[:, REACH : REACH + 1], np.full((len(grams), 1), np.iinfo(np.uint64).max)
+    before = np.minimum.accumulate(grams[:, :REACH][:, ::-1], axis=1)[:, ::-1]
+    after = np.minimum.accumulate(grams[:, REACH + 1 :], axis=1)
+    earlier = np.concatenate((middle < before, np.ones_like(most, bool)), axis=1)
+    return earlier & (middle <= np.concatenate((most, after), axis=1))
 
 
 def _extended_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Maximal repeats (low, high), and hashes of the windows that reach beyond the match, per occurrence."""
+    starts = np.arange(REACH + 1)
     for batch in batches:
-        out = []
-        columns = ("doc", "row", "at", "left", "words", "lead_doc", "lead_left", "lead_words")
-        for doc, row, at, left, words, lead_doc, lead_left, lead_words in zip(*(batch[c] for c in columns), strict=True):
-            own, origin = np.frombuffer(words, np.uint64), at - left
-            low, high = matched(own, left, np.frombuffer(lead_words, np.uint64), lead_left)
-            if lead_doc < doc and high - low >= WINDOW:
-                out.append((doc, row, origin + low, origin + high, None, None))
-            starts = own_windows(own, left)
-            starts = starts[(starts < low) | (starts + WINDOW > high)]
-            if len(starts):
-                h, g = (Rolling(own, b).spans(starts, starts + WINDOW).view(np.int64) for b in _BASES)
-                places = (starts + origin).tolist()
-                out.extend((doc, row, s, s + WINDOW, a, b) for s, a, b in zip(places, h.tolist(), g.tolist(), strict=True))
-        if out:
-            found = pd.DataFrame(out, columns=["doc", "row", "low", "high", "h", "g"])
-            yield found.astype({"h": "Int64", "g": "Int64"})
+        if batch.empty:
+            continue
+        doc, row, left = (batch[c].to_numpy() for c in ("doc", "row", "left"))
+        own = _aligned(batch["words"], left, 0)
+        low, high = matched(own, _aligned(batch["lead_words"], batch["lead_left"].to_numpy(), 1))
+        # no match reaches beyond the words there are, and no window does
+        first, last = REACH - left, REACH - left + batch["words"].map(len).to_numpy() // 8
+        low, high = np.maximum(low, first), np.minimum(high, last)
+        origin = batch["at"].to_numpy() - REACH
+        long = (batch["lead_doc"].to_numpy() < doc) & (high - low >= WINDOW)
+        yield pd.DataFrame({"doc": doc[long], "row": row[long], "low": (origin + low)[long], "high": (origin + high)[long], "h": None, "g": None})
+
+        rolling = [Rolling(own, base) for base in _BASES]
+        beyond = (starts < low[:, None]) | (starts + WINDOW > high[:, None])
+        whole = (starts >= first[:, None]) & (starts + WINDOW <= last[:, None])
+        at, start = np.nonzero(own_windows(rolling[0].every(GRAM)) & beyond & whole)
+        h, g = (r.every(WINDOW)[at, start].view(np.int64) for r in rolling)
+        place = origin[at] + start
+        yield pd.DataFrame({"doc": doc[at], "row": row[at], "low": place, "high": place + WINDOW, "h": h, "g": g})
 
 
 def cut(words: list[bytes], spans: list[tuple[int, int]]) -> list[bytes]:
@@ -228,7 +240,8 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     seeds = written(long_enough.select("doc", "row", "text").mapInPandas(_anchor_rows, _ANCHORS), "seeds")
     first = F.min(F.struct("doc", "row", "at", "context")).alias("lead")
     leads = seeds.groupBy("gram").agg(first, F.max("doc").alias("last")).filter("last > lead.doc").drop("last")
-    others = seeds.join(leads, "gram").filter(F.struct("doc", "row", "at", "context") != F.col("lead"))
+    # written, so that a join with a hot gram is cut where rows are read
+    others = seeds.join(written(leads, "leads"), "gram").filter(F.struct("doc", "row", "at", "context") != F.col("lead"))
     others = written(others, "others")
 
     like_lead = F.col("context") == F.col("lead.context")
@@ -250,8 +263,8 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     extended = written(pairs.mapInPandas(_extended_rows, _FOUND), "extended")
 
     windows = extended.filter("h is not null")
-    held = windows.groupBy("h", "g").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("last > first")
-    rest = windows.join(held, ["h", "g"]).filter("doc > first")
+    held = windows.groupBy("h", "g").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("last > first").drop("last")
+    rest = windows.join(written(held, "held"), ["h", "g"]).filter("doc > first")
     spans = settled.unionByName(extended.filter("h is null").select("doc", "row", "low", "high"))
     spans = spans.unionByName(rest.select("doc", "row", "low", "high"))
     return spans.groupBy("doc", "row").agg(F.collect_set(F.struct(F.greatest("low", F.lit(0)).alias("low"), "high")).alias("spans"))
