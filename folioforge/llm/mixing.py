@@ -9,6 +9,7 @@ over these at most 561 cells, each domain scaled by its own mass, run until no r
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -19,8 +20,8 @@ from folioforge.llm.common import boxed, of, unboxed, words
 from folioforge.session import materialize
 
 DOMAINS = ("clean", "noisy", "toxic")
-#: Labelled documents that the classifier learns from, in expectation, and words it keeps.
-SAMPLE, VOCABULARY = 20_000, 4096
+#: Labelled documents that the classifier learns from, in expectation.
+SAMPLE = 20_000
 #: Least evidence for a word: twice the log likelihood ratio of its counts.
 LEAST_EVIDENCE = 30.0
 #: Steps of the grid, and the move of a rate at which the fit has ended.
@@ -30,16 +31,74 @@ GRID, CLOSE = 32, 1e-9
 _PARTS = r"[\x20\x09-\x0D.,;:!?]+|(?<=\p{L})(?=[^\p{L}\x20\x09-\x0D.,;:!?])"
 
 
-def vocabulary_of(text: Column) -> Column:
-    """Distinct words of a text, with the empty word, which every text has once."""
-    return F.array_union(F.array(F.lit("")), F.split(F.lower(F.coalesce(text, F.lit(""))), _PARTS))
+def features_of(text: Column) -> Column:
+    """64-bit hashes of the distinct words of a text."""
+    found = F.split(F.lower(F.coalesce(text, F.lit(""))), _PARTS)
+    return F.array_distinct(F.transform(found, lambda w: F.xxhash64(w)))
+
+
+class Weights:
+    """Log priors of the domains, and log weights of the words with evidence in a table where each has one of two slots.
+
+    As an array column it gives a word's weight by its hash alone, so documents meet no join and stay one row each.
+    """
+
+    def __init__(self, prior: list[float], words: dict[int, tuple[float, ...]]):
+        self.prior, self.size = prior, 8
+        while not self._placed(words):
+            self.size *= 2
+
+    def _slots(self, word: int) -> tuple[int, int]:
+        return word & (self.size - 1), (word >> 32) & (self.size - 1)
+
+    def _placed(self, words: dict[int, tuple[float, ...]]) -> bool:
+        """Each word in one of its slots; a word that finds both taken drives one out, which moves to its other slot."""
+        if self.size < 4 * len(words):
+            return False
+        held: list[int | None] = [None] * self.size
+        for word in sorted(words):
+            slot = self._slots(word)[0]
+            for _ in range(self.size):
+                word, held[slot] = held[slot], word
+                if word is None:
+                    break
+                one, other = self._slots(word)
+                slot = other if slot == one else one
+            else:
+                return False
+        none = (0.0,) * len(DOMAINS)
+        self.words = [0 if w is None else w for w in held]
+        self.table = [[words[w][d] if w is not None else none[d] for w in held] for d in range(len(DOMAINS))]
+        return True
+
+    def slots_of(self, features: Column) -> Column:
+        """Places in the table of those hashes that it holds."""
+        known, low = _constant(self.words, "bigint"), F.lit(self.size - 1).cast("long")
+
+        def place(h: Column) -> Column:
+            one, other = (x.bitwiseAND(low).cast("int") for x in (h, F.shiftright(h, 32)))
+            return F.when(F.get(known, one) == h, one).when(F.get(known, other) == h, other)
+
+        return F.array_compact(F.transform(features, place))
+
+    def score(self, slots: Column, domain: int) -> Column:
+        weights = _constant(self.table[domain], "double")
+        return F.aggregate(slots, F.lit(self.prior[domain]), lambda total, x: total + F.get(weights, x))
+
+
+def _constant(values: list, kind: str) -> Column:
+    """An array column of constants, folded to one literal when the plan is made."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
 
 
 def domain_of(labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, domain) of labels with quality and toxic flags; rows without key or flags are left out."""
-    toxic, good = F.col("toxic") == 1, F.col("quality") == 1
+    """(key, domain) of labels with quality and toxic flags, one row per key; rows without key or flags are left out.
+
+    A key with different labels counts as toxic if one of them says so, else as noisy if one does.
+    """
     known = labels.filter(F.col(key).isNotNull() & F.col("toxic").isNotNull() & F.col("quality").isNotNull())
-    return known.select(F.col(key).alias("_label_of"), F.when(toxic, "toxic").when(good, "clean").otherwise("noisy").alias("domain"))
+    flags = known.groupBy(F.col(key).alias("_label_of")).agg(F.max(F.col("toxic") == 1).alias("bad"), F.min(F.col("quality") == 1).alias("good"))
+    return flags.select("_label_of", F.when(F.col("bad"), "toxic").when(F.col("good"), "clean").otherwise("noisy").alias("domain"))
 
 
 def _sampled(df: DataFrame, labelled: DataFrame, key: str, text: str) -> DataFrame:
@@ -52,18 +111,18 @@ def _sampled(df: DataFrame, labelled: DataFrame, key: str, text: str) -> DataFra
     return rows.join(F.broadcast(taken), F.col("_key") == F.col("_label_of")).drop("_label_of")
 
 
-def learn(df: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(word, one log weight per domain), at most ``VOCABULARY`` rows; the empty word carries the priors.
+def learn(df: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text") -> Weights:
+    """Weights of all words with evidence for or against a domain, from about ``SAMPLE`` labelled documents.
 
-    About ``SAMPLE`` labelled documents are read, chosen by a hash of the key, so by no order of the data.
+    The documents are chosen by a hash of the key, so by no order of the data; they bound the number of words.
     """
-    rows = _sampled(df, labelled, key, text).select("domain", vocabulary_of(F.col("_text")).alias("vocabulary"))
-    counts = [F.count(F.when(F.col("domain") == d, 1)).alias(f"n_{d}") for d in DOMAINS]
-    found = rows.select("domain", F.explode_outer("vocabulary").alias("word")).groupBy("word").agg(*counts)
-    found = materialize(found, "words")
-    all_rows = found.filter("word = ''").first()
-    sizes = {d: (all_rows[f"n_{d}"] if all_rows else 0) for d in DOMAINS}
+    rows = _sampled(df, labelled, key, text).select("domain", features_of(F.col("_text")).alias("features"))
+    rows = materialize(rows, "learned")
+    # three rows at most
+    sizes = {d: 0 for d in DOMAINS} | {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}
     size = sum(sizes.values())
+    counts = [F.count(F.when(F.col("domain") == d, 1)).alias(f"n_{d}") for d in DOMAINS]
+    found = rows.select("domain", F.explode("features").alias("word")).groupBy("word").agg(*counts)
 
     def rate(d: str) -> Column:
         return (F.col(f"n_{d}") + 0.5) / F.lit(sizes[d] + 1.0)
@@ -74,28 +133,23 @@ def learn(df: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "
         for part, whole in ((F.col(f"n_{d}"), seen), (F.lit(sizes[d]) - F.col(f"n_{d}"), F.lit(size) - seen)):
             expected = whole * F.lit(sizes[d] / max(size, 1))
             evidence = evidence + F.when((part > 0) & (expected > 0), 2 * part * F.log(part / expected)).otherwise(0.0)
-    kept = found.filter("word <> ''").withColumn("_e", evidence).filter(F.col("_e") >= LEAST_EVIDENCE)
-    kept = kept.orderBy(F.col("_e").desc(), "word").limit(VOCABULARY - 1)
-    weights = kept.select("word", *[F.log(rate(d)).alias(f"w_{d}") for d in DOMAINS])
-    prior = [F.log(F.lit((sizes[d] + 1.0) / (size + len(DOMAINS)))).alias(f"w_{d}") for d in DOMAINS]
-    return weights.union(df.sparkSession.range(1).select(F.lit("").alias("word"), *prior))
+    # hash 0 stands for an empty slot
+    kept = found.filter((evidence >= LEAST_EVIDENCE) & (F.col("word") != 0)).select("word", *[F.log(rate(d)) for d in DOMAINS])
+    prior = [math.log((sizes[d] + 1.0) / (size + len(DOMAINS))) for d in DOMAINS]
+    # words of the sample
+    return Weights(prior, {word: tuple(weights) for word, *weights in kept.collect()})
 
 
-def posteriors(df: DataFrame, weights: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row, tokens, one posterior per domain) per distinct key and text."""
-    # columns beside an explode are computed for each of its rows, so they are made before it
-    whole = df.select(
+def posteriors(df: DataFrame, weights: Weights, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(row, tokens, copies, one posterior per domain) per distinct key and text; one row per document throughout."""
+    docs = df.select(
         row_of(key, text).alias("row"),
         F.size(words(F.col(f"`{text}`"))).cast("long").alias("tokens"),
-        vocabulary_of(F.col(f"`{text}`")).alias("vocabulary"),
+        weights.slots_of(features_of(F.col(f"`{text}`"))).alias("slots"),
     )
-    rows = whole.select("row", "tokens", F.explode_outer("vocabulary").alias("word"))
-    copies = F.sum((F.col("word") == "").cast("long"))
-    # at most VOCABULARY rows
-    sums = (
-        rows.join(F.broadcast(weights), "word")
-        .groupBy("row", "tokens")
-        .agg(copies.alias("copies"), *[(F.sum(f"w_{d}") / copies).alias(f"w_{d}") for d in DOMAINS])
+    scored = docs.select("row", "tokens", *[weights.score(F.col("slots"), i).alias(f"w_{d}") for i, d in enumerate(DOMAINS)])
+    sums = scored.groupBy("row").agg(
+        F.min("tokens").alias("tokens"), F.count(F.lit(1)).alias("copies"), *[F.min(f"w_{d}").alias(f"w_{d}") for d in DOMAINS]
     )
     top = F.greatest(*[F.col(f"w_{d}") for d in DOMAINS])
     parts = {d: F.exp(F.col(f"w_{d}") - top) for d in DOMAINS}

@@ -86,3 +86,23 @@ def test_totals_hold_for_posteriors_between_the_steps_of_the_grid(spark):
     shares = {"clean": 0.5, "noisy": 0.4, "toxic": 0.3}
     mass, got = totals(df, F.lit(1.0)), totals(df, mx.fit(df, None, 0.0, shares))
     assert got == pytest.approx([m * s for m, s in zip(mass, shares.values(), strict=True)], rel=1e-4)
+
+
+def test_weights_table_holds_every_word(spark):
+    import random
+
+    rng = random.Random(2)
+    words = {rng.randrange(-(1 << 63), 1 << 63): (float(i), 1.0, -1.0) for i in range(3000)}
+    # words whose slots are the same
+    words |= {k << 40: (0.5, 0.25, 0.125) for k in range(1, 3)}
+    table = mx.Weights([0.0, 0.0, 0.0], words)
+    some = [*list(words)[:50], *list(words)[-2:], 12345, 0]
+    df = spark.createDataFrame([(w,) for w in some], "w long")
+    got = df.select("w", *[table.score(table.slots_of(F.array("w")), d).alias(f"d{d}") for d in range(3)]).collect()
+    assert {r["w"]: tuple(r)[1:] for r in got} == {w: words.get(w, (0.0, 0.0, 0.0)) for w in some}
+
+
+def test_different_labels_of_one_document(spark):
+    rows = [(1, 1, 0), (1, 0, 0), (2, 1, 0), (2, 1, 1), (3, 1, 0), (3, 1, 0), (4, None, 1)]
+    known = mx.domain_of(spark.createDataFrame(rows, "doc_id long, quality int, toxic int"))
+    assert {tuple(r) for r in known.collect()} == {(1, "noisy"), (2, "toxic"), (3, "clean")}
