@@ -149,9 +149,10 @@ def publish_risk(spark: SparkSession, params: RunParams) -> None:
         _published(pnl, spark, params, "as_of_date"), "gold.risk_pnl_distribution", "position_yyyymm"
     )
     # The measures start from the facts again: the stored distribution is larger by the history length.
+    measures = materialize(risk.position_measures(positions, prices, params), "measures")
     for results, table in (
-        (risk.position_level_var(positions, prices, params), "risk_var_results"),
-        (risk.stressed_var(positions, prices, params), "risk_svar_results"),
+        (risk.measured_results(measures, params, "var"), "risk_var_results"),
+        (risk.stressed_results(measures, params), "risk_svar_results"),
     ):
         sinks.save_months(
             _published(results, spark, params, "as_of_date"), f"gold.{table}", "result_yyyymm"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ DAY = ["portfolio_id", "as_of_date"]
 # Rank error of the sketch that brackets a quantile, as one part in so many. What lies inside a bracket is at
 # most a few such parts of a day's values, and equal values are one row with a count.
 BRACKET_ACCURACY = 2000
+# Most values of a portfolio day that are sorted in one array.
+TOGETHER = 100_000
 
 
 def _in_stress_window(params: RunParams) -> Column:
@@ -82,25 +85,35 @@ def simulated_pnl(
 
 
 def _pnl_per_position(
-    positions: DataFrame, prices: DataFrame, params: RunParams, stressed: bool
+    positions: DataFrame, prices: DataFrame, params: RunParams, kinds: Sequence[str]
 ) -> DataFrame:
-    """One row per position with its simulated PnL as an array, at most one value per calendar day.
+    """One row per position; for each kind its simulated PnL as an array without nulls, and ``<kind>_rows``.
 
-    The same values as :func:`simulated_pnl`, but what is shuffled in the join is one row per position
-    instead of one per position and day.
+    The same values as :func:`simulated_pnl`, at most one per calendar day, but what is shuffled in the join is one
+    row per position instead of one per position and day. All kinds come from one join.
     """
     held = _held(positions, params)
+    only_stressed = tuple(kinds) == ("svar",)
     returns = (
-        _history(prices, params, stressed)
+        _history(prices, params, only_stressed)
         .groupBy("instrument_id")
-        .agg(F.collect_list(F.struct("historical_dt", "return_pct")).alias("_returns"))
+        .agg(
+            F.collect_list(
+                F.struct("historical_dt", "return_pct", _in_stress_window(params).alias("stressed"))
+            ).alias("_returns")
+        )
     )
     usable = F.filter("_returns", lambda r: _usable(r["historical_dt"], params))
-    return salted_join(held, returns, "instrument_id").select(
-        *DAY,
-        "market_value",
-        F.transform(usable, lambda r: F.col("market_value") * r["return_pct"]).alias("pnl"),
-    )
+    met = salted_join(held, returns, "instrument_id").select(*DAY, "market_value", usable.alias("_days"))
+    days = {
+        kind: F.col("_days") if kind == "var" or only_stressed else F.filter("_days", lambda r: r["stressed"])
+        for kind in kinds
+    }
+    simulated = [
+        F.array_compact(F.transform(d, lambda r: F.col("market_value") * r["return_pct"])).alias(k)
+        for k, d in days.items()
+    ]
+    return met.select(*DAY, "market_value", *simulated, *[F.size(d).alias(f"{k}_rows") for k, d in days.items()])
 
 
 def tail_rank(n: Column, permille: int) -> Column:
@@ -108,71 +121,111 @@ def tail_rank(n: Column, permille: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(n * permille / F.lit(1000)).cast("int"))
 
 
-def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, permilles: Sequence[int]) -> DataFrame:
-    """``by`` and ``_losses``: per group the value at :func:`tail_rank` for each of ``permilles``, in their order.
+def _bracketed(df: DataFrame, by: Sequence[str], values: str, permilles: Sequence[int]) -> DataFrame:
+    """Quantiles of groups of any size: no group's values are brought together.
 
-    ``value`` must not be null. A sketch bounds the rank of its answers by one part in
-    ``BRACKET_ACCURACY``; brackets are three parts wide on each side, and a rank outside its bracket stops
-    the job rather than giving another value.
+    A mergeable sketch gives a bracket around each rank. Arrays are reduced to the number of values below the bracket
+    and the values inside it, and only these become rows, equal ones as one. Where a rank turns out to lie outside,
+    the brackets of that group are widened, at last to all values.
     """
-    part, spans = 3.0 / BRACKET_ACCURACY, range(len(permilles))
-    ends = [p for m in permilles for p in (max(0.0, m / 1000 - part), min(1.0, m / 1000 + part))]
-    sketch = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"), F.percentile_approx(value, ends, BRACKET_ACCURACY).alias("_ends")
-    )
-    marked = df.join(sketch, list(by))
-    v = F.col(value)
-    # one row per group, level and value inside a bracket, and one (null value) for all that is below it
-    kinds = F.array(
-        *[
-            F.when(v < F.get("_ends", F.lit(2 * i)), F.struct(F.lit(i).alias("level"), F.lit(None).cast("double").alias("at")))
-            .when(v <= F.get("_ends", F.lit(2 * i + 1)), F.struct(F.lit(i).alias("level"), v.alias("at")))
-            for i in spans
-        ]
-    )
-    placed = marked.select(*by, "_n", F.explode(kinds).alias("_p")).where("_p is not null")
-    counted = placed.groupBy(*by, "_n", "_p.level", "_p.at").agg(F.count(F.lit(1)).alias("_c"))
-    upward = Window.partitionBy(*by, "level").orderBy(F.col("at").asc_nulls_first())
-    rank = F.element_at(F.array(*[tail_rank(F.col("_n"), m) for m in permilles]), F.col("level") + 1)
-    reached = counted.withColumn("_sum", F.sum("_c").over(upward)).withColumn("_rank", rank)
-    found = reached.where((F.col("_sum") >= F.col("_rank")) & (F.col("_sum") - F.col("_c") < F.col("_rank")))
-    missed = F.raise_error(F.lit("a rank lies outside its bracket"))
-    by_level = [
-        F.coalesce(F.max(F.when(F.col("level") == i, F.col("at"))), missed.cast("double")) for i in spans
+    spans, part, done = range(len(permilles)), 3.0 / BRACKET_ACCURACY, []
+    infinite = [F.lit(float("-inf")), F.lit(float("inf"))]
+    while True:
+        ends = [p for m in permilles for p in (max(0.0, m / 1000 - part), min(1.0, m / 1000 + part))]
+        bracket = F.percentile_approx("_v", ends, BRACKET_ACCURACY) if part < 1 else F.array(*infinite * len(permilles))
+        exploded = df.select(*by, F.explode(values).alias("_v"))
+        sketch = exploded.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), bracket.alias("_ends"))
+        met = df.join(sketch, list(by))
+        pieces = []
+        for i in spans:
+            low, high = F.get("_ends", F.lit(2 * i)), F.get("_ends", F.lit(2 * i + 1))
+            below = F.size(F.filter(values, lambda v: v < low))
+            inside = F.filter(values, lambda v: (v >= low) & (v <= high))
+            none = F.struct(F.lit(i).alias("level"), F.lit(None).cast("double").alias("at"), below.cast("long").alias("c"))
+            one = F.lit(1).cast("long")
+            pieces += [F.array(none), F.transform(inside, lambda v: F.struct(F.lit(i).alias("level"), v.alias("at"), one.alias("c")))]
+        placed = met.select(*by, "_n", F.explode(F.concat(*pieces)).alias("_p"))
+        counted = placed.groupBy(*by, "_n", "_p.level", "_p.at").agg(F.sum("_p.c").alias("_c"))
+        upward = Window.partitionBy(*by, "level").orderBy(F.col("at").asc_nulls_first())
+        rank = F.element_at(F.array(*[tail_rank(F.col("_n"), m) for m in permilles]), F.col("level") + 1)
+        reached = counted.withColumn("_sum", F.sum("_c").over(upward)).withColumn("_rank", rank)
+        hit = F.col("at").isNotNull() & (F.col("_sum") >= F.col("_rank")) & (F.col("_sum") - F.col("_c") < F.col("_rank"))
+        by_level = [F.max(F.when(hit & (F.col("level") == i), F.col("at"))) for i in spans]
+        found = materialize(reached.groupBy(*by).agg(F.array(*by_level).alias("_losses")), "quantiles")
+        missed = F.exists("_losses", lambda x: x.isNull())
+        done.append(found.where(~missed))
+        again = found.where(missed).select(*by)
+        if part >= 1 or again.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        df, part = materialize(df.join(again, list(by), "left_semi"), "missed"), part * 8
+
+
+def packed_quantiles(
+    df: DataFrame, by: Sequence[str], arrays: Sequence[str], permilles: Sequence[int], totals: Sequence[Column] = ()
+) -> DataFrame:
+    """Per group: for each array column ``<name>_losses``, the values at :func:`tail_rank` for each of ``permilles``.
+
+    Ranks are those of all values of a group, which come in arrays without nulls; without values a loss is null. A
+    group with at most ``TOGETHER`` values is sorted in one array, which is packed in one shuffle; larger ones go
+    through brackets and give the same values. ``totals`` are further aggregates of the group.
+    """
+    size = reduce(lambda a, b: a + b, [F.size(a) for a in arrays])
+    sizes = df.groupBy(*by).agg(F.sum(size).alias("_n")).where(F.col("_n") > TOGETHER)
+    large = materialize(sizes.select(*by), "large-groups")
+    some = not large.isEmpty()
+    small = df.join(large, list(by), "left_anti") if some else df
+    packed = small.groupBy(*by).agg(*totals, *[F.sort_array(F.flatten(F.collect_list(a))).alias(a) for a in arrays])
+    kept = [c for c in packed.columns if c not in arrays]
+    losses = [
+        F.array(*[F.get(a, tail_rank(F.size(a), m) - 1) for m in permilles]).alias(f"{a}_losses") for a in arrays
     ]
-    return found.groupBy(*by).agg(F.array(*by_level).alias("_losses"))
+    packed = packed.select(*kept, *losses)
+    if not some:
+        return packed
+    rest = materialize(df.join(large, list(by), "left_semi"), "large-rows")
+    measured = rest.groupBy(*by).agg(*totals) if totals else large
+    for a in arrays:
+        found = _bracketed(rest.select(*by, a), by, a, permilles).withColumnRenamed("_losses", f"{a}_losses")
+        measured = measured.join(found, list(by), "left")
+    none = F.array(*[F.lit(None).cast("double") for _ in permilles])
+    filled = [F.coalesce(f"{a}_losses", none).alias(f"{a}_losses") for a in arrays]
+    return packed.unionByName(measured.select(*kept, *filled))
 
 
-def position_level_var(
-    positions: DataFrame,
-    prices: DataFrame,
-    params: RunParams,
-    stressed: bool = False,
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, permilles: Sequence[int]) -> DataFrame:
+    """``by`` and ``_losses``: per group the value at :func:`tail_rank` for each of ``permilles``; nulls do not count."""
+    listed = df.select(*by, F.array_compact(F.array(value)).alias("_values"))
+    return packed_quantiles(listed, by, ["_values"], permilles).withColumnRenamed("_values_losses", "_losses")
+
+
+def position_measures(
+    positions: DataFrame, prices: DataFrame, params: RunParams, kinds: Sequence[str] = ("var", "svar")
 ) -> DataFrame:
-    """Loss quantiles over all position-level PnL of a portfolio day, all levels in one pass.
+    """Per portfolio day, for each kind (all history, stress window): losses, value and number of simulations.
 
-    Quantiles are exact for a day of any size, and no day's values are brought together: a mergeable sketch
-    gives a bracket around each rank, values below the bracket are counted, and only the values inside are
-    ranked. ``portfolio_market_value`` adds a position once per history day, as the published percentage
-    does.
+    One join and one pass serve all kinds and levels. As in the published measure, losses are quantiles of the PnL
+    that is known, while simulations and market value count every position and history day, also those without a
+    return.
     """
-    per_position = materialize(_pnl_per_position(positions, prices, params, stressed), "position-pnl")
-    values = per_position.select(*DAY, F.explode("pnl").alias("_value"))
-    totals = per_position.groupBy(*DAY).agg(
-        F.sum(F.col("market_value") * F.size("pnl")).alias("portfolio_market_value"),
-        F.sum(F.size("pnl")).alias("simulations_count"),
-    )
-    losses = exact_quantiles(values, DAY, "_value", [tail for _, tail in params.tails_permille])
-    tails = params.tails_permille
+    per_position = materialize(_pnl_per_position(positions, prices, params, kinds), "position-pnl")
+    totals = []
+    for k in kinds:
+        totals.append(F.sum(F.col("market_value") * F.col(f"{k}_rows")).alias(f"{k}_value"))
+        totals.append(F.sum(f"{k}_rows").alias(f"{k}_count"))
+    return packed_quantiles(per_position, DAY, kinds, [tail for _, tail in params.tails_permille], totals)
+
+
+def measured_results(measures: DataFrame, params: RunParams, kind: str) -> DataFrame:
+    """One row per portfolio day and level of one kind of :func:`position_measures`; days without simulations have none."""
     per_level = F.array(
         *(
-            F.struct(F.lit(level).alias("confidence_level"), F.col("_losses")[i].alias("_loss"))
-            for i, (level, _) in enumerate(tails)
+            F.struct(F.lit(level).alias("confidence_level"), F.get(f"{kind}_losses", F.lit(i)).alias("_loss"))
+            for i, (level, _) in enumerate(params.tails_permille)
         )
     )
     return (
-        losses.join(totals, DAY)
-        .select(*DAY, "portfolio_market_value", "simulations_count", F.inline(per_level))
+        measures.where(F.col(f"{kind}_count") > 0)
+        .select(*DAY, F.col(f"{kind}_value").alias("_value"), F.col(f"{kind}_count").alias("simulations_count"), F.inline(per_level))
         .select(
             *DAY,
             "confidence_level",
@@ -180,16 +233,14 @@ def position_level_var(
             F.date_format("as_of_date", "yyyyMM").alias("result_yyyymm"),
             "simulations_count",
             (-F.col("_loss")).alias("var_amount"),
-            F.try_divide(-F.col("_loss"), F.col("portfolio_market_value")).alias(
-                "var_pct_market_value"
-            ),
+            F.try_divide(-F.col("_loss"), "_value").alias("var_pct_market_value"),
         )
     )
 
 
-def stressed_var(positions: DataFrame, prices: DataFrame, params: RunParams) -> DataFrame:
-    """The same measure over the stress window; each result belongs to the month of its positions."""
-    return position_level_var(positions, prices, params, stressed=True).select(
+def stressed_results(measures: DataFrame, params: RunParams) -> DataFrame:
+    """Stressed form of :func:`measured_results`; each result belongs to the month of its positions."""
+    return measured_results(measures, params, "svar").select(
         *DAY,
         F.lit(params.stress_start).cast("date").alias("stress_window_start_dt"),
         F.lit(params.stress_end).cast("date").alias("stress_window_end_dt"),
@@ -201,6 +252,34 @@ def stressed_var(positions: DataFrame, prices: DataFrame, params: RunParams) ->
     )
 
 
+def position_level_var(positions: DataFrame, prices: DataFrame, params: RunParams) -> DataFrame:
+    """Loss quantiles over all position-level PnL of a portfolio day, exact for a day of any size."""
+    return measured_results(position_measures(positions, prices, params, ("var",)), params, "var")
+
+
+def stressed_var(positions: DataFrame, prices: DataFrame, params: RunParams) -> DataFrame:
+    """The same measure over the stress window."""
+    return stressed_results(position_measures(positions, prices, params, ("svar",)), params)
+
+
+def risk_summary(measures: DataFrame, params: RunParams) -> DataFrame:
+    """VaR and stressed VaR side by side, from one pass and without a join."""
+    per_level = F.array(
+        *(
+            F.struct(
+                F.lit(level).alias("confidence_level"),
+                (-F.get("var_losses", F.lit(i))).alias("var_amount"),
+                F.when(F.col("svar_count") > 0, -F.get("svar_losses", F.lit(i))).alias("svar_amount"),
+            )
+            for i, (level, _) in enumerate(params.tails_permille)
+        )
+    )
+    months = measures.where("var_count > 0").withColumn("result_yyyymm", F.date_format("as_of_date", "yyyyMM"))
+    return months.select(*DAY, "result_yyyymm", F.inline(per_level)).select(
+        *DAY, "confidence_level", "result_yyyymm", "var_amount", "svar_amount"
+    )
+
+
 def daily_pnl(pnl: DataFrame) -> DataFrame:
     """Portfolio PnL on each historical day."""
     return pnl.groupBy(*DAY, "historical_dt").agg(F.sum("simulated_pnl").alias("pnl"))

@@ -145,7 +145,8 @@ def svar(spark: SparkSession, folder: str) -> DataFrame:
     FROM var_results v LEFT JOIN svar_results s USING (portfolio_id, as_of_date, confidence_level, result_yyyymm)""",
 )
 def vw_portfolio_risk_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return present(reports.risk_summary(_position_var(spark, folder), _stressed(spark, folder)))
+    held, quotes = _facts(spark, folder)
+    return present(risk.risk_summary(risk.position_measures(held, quotes, PARAMS), PARAMS))
 
 
 @query(

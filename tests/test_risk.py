@@ -121,3 +121,62 @@ def test_returns_volatility_beta(spark):
     assert v.return_count == 2 and v.volatility == pytest.approx(math.sqrt(0.02))
     betas = {r.instrument_id: r.beta for r in risk.beta(prices).collect()}
     assert betas["A"] == pytest.approx(1.0) and betas["B"] == pytest.approx(1.0)
+
+
+@pytest.fixture(params=[risk.TOGETHER, 0])
+def either_way(request, monkeypatch):
+    """Values of a group together, and every group through brackets."""
+    monkeypatch.setattr(risk, "TOGETHER", request.param)
+
+
+def plain_losses(values, permilles=(50, 10)):
+    ordered = sorted(v for v in values if v is not None)
+    return [ordered[max(1, -(-len(ordered) * m // 1000)) - 1] if ordered else None for m in permilles]
+
+
+def test_one_null_among_many_values(spark, either_way):
+    values = [float(v) for v in range(20_000)] + [None]
+    df = spark.createDataFrame([("P", v) for v in values], "k string, v double")
+    [row] = risk.exact_quantiles(df, ["k"], "v", [50, 10]).collect()
+    assert row._losses == [999.0, 199.0]
+
+
+def test_null_returns_and_market_values(spark, either_way):
+    positions, prices, raw = book(spark, 200, instruments=3, portfolios=("P", "Q"))
+    holes = [(i, d, None if n % 3 == 0 else r) for n, (i, d, r) in enumerate(raw)]
+    prices = spark.createDataFrame(holes, prices.schema)
+    rows = [tuple(r) for r in positions.collect()]
+    rows = [(*r[:3], None if r[0] == "Q" and r[1] == "I1" else r[3], r[4]) for r in rows]
+    rows += [("R", "I0", rows[0][2], None, rows[0][4])]
+    positions = spark.createDataFrame(rows, positions.schema)
+    params = RunParams(as_of_ts="2026-01-01 00:00:00", stress_start="2024-02-01", stress_end="2024-03-01")
+    measures = risk.position_measures(positions, prices, params)
+    for kind, results in (("var", risk.measured_results(measures, params, "var")), ("svar", risk.stressed_results(measures, params))):
+        used = [h for h in holes if kind == "var" or date(2024, 2, 1) <= h[1] <= date(2024, 3, 1)]
+        found = {(r.portfolio_id, r.confidence_level): r for r in results.collect()}
+        for portfolio in "PQR":
+            held = {r[1]: r[3] for r in rows if r[0] == portfolio}
+            pnl = [None if held[i] is None or r is None else held[i] * r for i, _, r in used if i in held]
+            for level, loss in zip((0.95, 0.99), plain_losses(pnl), strict=True):
+                r = found[portfolio, level]
+                assert r.simulations_count == len(pnl)
+                amount = r[f"{kind}_amount"]
+                assert amount == (None if loss is None else pytest.approx(-loss))
+                whole = sum(v for i, v in held.items() for h in used if h[0] == i and v is not None)
+                assert r[f"{kind}_pct_market_value"] == (None if loss is None else pytest.approx(-loss / whole))
+    both = {(r.portfolio_id, r.confidence_level): (r.var_amount, r.svar_amount) for r in risk.risk_summary(measures, params).collect()}
+    alone = {(r.portfolio_id, r.confidence_level): r.svar_amount for r in risk.stressed_var(positions, prices, params).collect()}
+    assert {k: v[1] for k, v in both.items()} == alone
+
+
+def test_brackets_that_miss_are_widened(spark, monkeypatch):
+    """A sketch of almost no accuracy, and brackets of no width at first."""
+    monkeypatch.setattr(risk, "TOGETHER", 0)
+    monkeypatch.setattr(risk, "BRACKET_ACCURACY", 3000)
+    rng = random.Random(8)
+    groups = {k: [rng.gauss(0, 1) for _ in range(997 + k)] for k in range(4)}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k int, v double")
+    real = risk.F.percentile_approx
+    monkeypatch.setattr(risk.F, "percentile_approx", lambda c, ends, accuracy: real(c, [min(1.0, e + 0.2) for e in ends], accuracy))
+    got = {r.k: r._losses for r in risk.exact_quantiles(df, ["k"], "v", [50, 10]).collect()}
+    assert got == {k: plain_losses(vs) for k, vs in groups.items()}
