@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from folioforge.params import DAYS_PER_YEAR, SolverParams
 
-_SEARCHING, _FOUND, _FAILED = 0, 1, 2
+SEARCHING, FOUND, _FAILED = 0, 1, 2
 
 
 def _state(rate: Column, status: int | Column) -> Column:
@@ -30,9 +30,9 @@ def _next_state(rate: Column, value: Column, slope: Column, broken: Column, p: S
     lost = broken | value.isNull() | F.isnan(value)
     return (
         F.when(lost, _state(rate, _FAILED))
-        .when(F.abs(value) < p.tolerance, _state(rate, _FOUND))
+        .when(F.abs(value) < p.tolerance, _state(rate, FOUND))
         .when(flat, _state(rate, _FAILED))
-        .otherwise(_state(rate - capped, _SEARCHING))
+        .otherwise(_state(rate - capped, SEARCHING))
     )
 
 
@@ -43,48 +43,51 @@ def _search(step: Callable[[Column], Column], p: SolverParams) -> Column:
         rate = state["rate"]
         outside = (rate < p.min_rate) | (rate > p.max_rate)
         return (
-            F.when(state["status"] != _SEARCHING, state)
+            F.when(state["status"] != SEARCHING, state)
             .when(outside, _state(rate, _FAILED))
             .otherwise(step(rate))
         )
 
     rounds = F.sequence(F.lit(1), F.lit(p.max_iterations))
-    start = _state(F.lit(p.guess), _SEARCHING)
+    start = _state(F.lit(p.guess), SEARCHING)
     return F.aggregate(
-        rounds, start, advance, lambda end: F.when(end["status"] == _FOUND, end["rate"])
+        rounds, start, advance, lambda end: F.when(end["status"] == FOUND, end["rate"])
     )
 
 
-def irr(amounts: Column, p: SolverParams = SolverParams()) -> Column:
-    """Rate per period of evenly spaced flows; null where it is undefined or not found.
+def discounted(amounts: Column, growth: Column, first_period: Column) -> Column:
+    """Struct (value, slope) of evenly spaced flows, the first of which has the period ``first_period``.
 
-    Value and slope are added up term by term in flow order: whether the value comes within the absolute
-    tolerance can hang on the last digits, and another summation would end some searches differently. A
-    discount factor that leaves the range of doubles ends the search.
+    Terms are added in flow order: whether the value comes within the absolute tolerance can hang on the last digits,
+    and another summation would end some searches differently. A flow whose discount factor is beyond the range of
+    doubles is worth nothing.
     """
-
-    def step(rate: Column) -> Column:
-        growth = rate + 1
-        zero = F.struct(
-            F.lit(0.0).alias("value"), F.lit(0.0).alias("slope"), F.lit(0).alias("period")
+    zero = F.struct(F.lit(0.0).alias("value"), F.lit(0.0).alias("slope"), first_period.cast("long").alias("period"))
+
+    def add(acc: Column, amount: Column) -> Column:
+        period = acc["period"]
+        return F.struct(
+            (acc["value"] + F.try_divide(amount, F.pow(growth, period))).alias("value"),
+            (acc["slope"] - F.try_divide(period * amount, F.pow(growth, period + 1))).alias("slope"),
+            (period + 1).alias("period"),
         )
 
-        def add(acc: Column, amount: Column) -> Column:
-            period = acc["period"]
-            return F.struct(
-                (acc["value"] + F.try_divide(amount, F.pow(growth, period))).alias("value"),
-                (
-                    acc["slope"] - F.try_divide(period * amount, F.pow(growth, period + 1))
-                ).alias("slope"),
-                (period + 1).alias("period"),
-            )
+    return F.aggregate(amounts, zero, add, lambda acc: F.struct(acc["value"].alias("value"), acc["slope"].alias("slope")))
+
+
+def irr_step(rate: Column, value: Column, slope: Column, p: SolverParams = SolverParams()) -> Column:
+    """State (rate, status) after one step of a search that still goes on, from value and slope at ``rate``."""
+    outside = (rate < p.min_rate) | (rate > p.max_rate)
+    return F.when(outside, _state(rate, _FAILED)).otherwise(_next_state(rate, value, slope, F.lit(False), p))
 
-        def finish(acc: Column) -> Column:
-            last = F.pow(growth, acc["period"])
-            overflow = (last == 0) | (last == float("inf"))
-            return _next_state(rate, acc["value"], acc["slope"], overflow, p)
 
-        return F.aggregate(amounts, zero, add, finish)
+def irr(amounts: Column, p: SolverParams = SolverParams()) -> Column:
+    """Rate per period of evenly spaced flows; null where it is undefined or not found."""
+
+    def step(rate: Column) -> Column:
+        # an array of one, so that both sums are made once
+        sums = F.array(discounted(amounts, rate + 1, F.lit(0)))
+        return F.transform(sums, lambda s: _next_state(rate, s["value"], s["slope"], F.lit(False), p))[0]
 
     solvable = (
         (F.size(amounts) >= 2)

@@ -48,6 +48,28 @@ def add_surrogate_key(
     )
 
 
+def number_within(df: DataFrame, by: Sequence[str], order_by: Sequence[str], number: str) -> DataFrame:
+    """Number the rows of each group 1..n in ``order_by`` order; no group has to fit into one task.
+
+    Two levels of counts: rows are range-partitioned by group and order and written once with their place, so a group
+    is a run of rows in one partition, or in several that follow each other. A row's number is its place in the run
+    plus the group's rows in earlier partitions. Group columns must not be null.
+    """
+    placed = materialize(
+        df.repartitionByRange(*by, *order_by)
+        .sortWithinPartitions(*by, *order_by)
+        .withColumn("_pos", F.monotonically_increasing_id()),
+        "numbered",
+    )
+    placed = placed.withColumn("_part", F.shiftright("_pos", _ROW_BITS))
+    runs = placed.groupBy(*by, "_part").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    # At most one row per partition in each window.
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    numbered = placed.join(runs, [*by, "_part"])
+    return numbered.withColumn(number, F.col("_pos") - F.col("_first") + F.col("_before") + 1).select(*df.columns, number)
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
     """One surviving row per business key: the greatest by ``latest_by``, then by all other columns.
 

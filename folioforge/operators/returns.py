@@ -7,15 +7,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.functions.rates import irr, xirr, year_fraction
+from folioforge.functions.rates import FOUND, SEARCHING, discounted, irr, irr_step, xirr, year_fraction
+from folioforge.operators.keys import number_within
 from folioforge.params import SolverParams
+from folioforge.session import materialize
 
 MONTHLY = ("portfolio_id", "result_yyyymm")
 SINCE_INCEPTION = ("portfolio_id",)
+# Most flows of a series that lie in one array.
+CHUNK = 4096
 
 
 def daily_values(positions: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -73,35 +78,73 @@ def _spread(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.repartition(count, *by)
 
 
-def flow_series(
-    flows: DataFrame, by: Sequence[str], solver: SolverParams = SolverParams()
-) -> DataFrame:
-    """Flows of a portfolio in order of date and amount.
+def flow_series(flows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Flows numbered within their portfolio by date and amount, one row each, for series of any length."""
+    return number_within(flows.select(*by, "cashflow_dt", "cashflow_amount"), by, ["cashflow_dt", "cashflow_amount"], "period")
+
+
+def _long_irr(flows: DataFrame, by: Sequence[str], solver: SolverParams) -> DataFrame:
+    """IRR of series of any length: all portfolios take a step of the search together.
 
-    A series longer than ``solver.max_periods`` has no rate (its discount factors overflow at the first
-    step), so its flows are counted and added up but never brought together.
+    Flows are packed once into chunks of ``CHUNK``. Each step joins the rates of portfolios whose search goes on with
+    their chunks and adds up two numbers per chunk, in order, so it shuffles one small row per chunk.
     """
-    totals = (F.count("*").alias("flow_count"), F.sum("cashflow_amount").alias("net_cashflow"))
-    too_long = flows.groupBy(*by).agg(*totals).where(F.col("flow_count") > solver.max_periods)
-    short = flows.join(too_long.select(*by), list(by), "left_anti")
-    # The search is heavy for its input size: without a fixed number, few partitions would be left of it.
-    series = _spread(short, by).groupBy(*by).agg(
-        *totals,
-        F.sort_array(F.collect_list(F.struct("cashflow_dt", "cashflow_amount"))).alias("cashflow_series"),
+    chunk = F.floor((F.col("period") - 1) / CHUNK).alias("_chunk")
+    chunks = flow_series(flows, by).groupBy(*by, chunk).agg(
+        F.sort_array(F.collect_list(F.struct("period", "cashflow_amount"))).alias("_flows")
+    )
+    amounts = F.transform("_flows", lambda f: f["cashflow_amount"]).alias("_amounts")
+    chunks = materialize(chunks.select(*by, "_chunk", amounts), "flow-chunks")
+    counted = chunks.groupBy(*by).agg(
+        F.sum(F.size("_amounts")).alias("flow_count"),
+        F.max(F.array_max("_amounts")).alias("_high"),
+        F.min(F.array_min("_amounts")).alias("_low"),
     )
-    return series.unionByName(too_long, allowMissingColumns=True)
+    counted = materialize(counted, "flow-counts")
+    going = counted.where((F.col("_high") > 0) & (F.col("_low") < 0)).select(*by, F.lit(solver.guess).alias("rate"))
+    found = []
+    for _ in range(solver.max_iterations):
+        first = F.col("_chunk") * CHUNK
+        parts = chunks.join(going, list(by)).select(
+            *by, "rate", F.struct("_chunk", discounted(F.col("_amounts"), F.col("rate") + 1, first).alias("s")).alias("_part")
+        )
+        ordered = parts.groupBy(*by, "rate").agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
+        sums = [
+            F.aggregate("_parts", F.lit(0.0), lambda total, part: total + part["s"][name]).alias(name)
+            for name in ("value", "slope")
+        ]
+        stepped = ordered.select(*by, "rate", *sums).select(*by, irr_step(F.col("rate"), F.col("value"), F.col("slope"), solver).alias("_s"))
+        # One row per portfolio whose search goes on.
+        stepped = materialize(stepped.select(*by, "_s.rate", "_s.status"), "rates")
+        found.append(stepped.where(F.col("status") == FOUND).select(*by, F.col("rate").alias("irr")))
+        going = stepped.where(F.col("status") == SEARCHING).select(*by, "rate")
+        if going.isEmpty():
+            break
+    return counted.select(*by, "flow_count").join(reduce(DataFrame.unionByName, found), list(by), "left")
 
 
 def irr_results(
     flows: DataFrame, by: Sequence[str], solver: SolverParams = SolverParams()
 ) -> DataFrame:
-    """IRR with one period per flow."""
-    ordered = flow_series(flows, by, solver).select(
-        *by,
-        "flow_count",
-        F.transform("cashflow_series", lambda flow: flow["cashflow_amount"]).alias("_amounts"),
+    """IRR with one period per flow, for series of any length.
+
+    A series of at most ``CHUNK`` flows is one array and is solved where it is; longer ones are solved step by step
+    over their chunks.
+    """
+    long = flows.groupBy(*by).agg(F.count(F.lit(1)).alias("flow_count")).where(F.col("flow_count") > CHUNK)
+    long = materialize(long.select(*by), "long-series")
+    some = not long.isEmpty()
+    short = flows.join(long, list(by), "left_anti") if some else flows
+    # The search is heavy for its input size: without a fixed number, few partitions would be left of it.
+    series = _spread(short, by).groupBy(*by).agg(
+        F.count("*").alias("flow_count"),
+        F.sort_array(F.collect_list(F.struct("cashflow_dt", "cashflow_amount"))).alias("_flows"),
     )
-    return ordered.select(*by, "flow_count", irr(F.col("_amounts"), solver).alias("irr"))
+    amounts = F.transform("_flows", lambda flow: flow["cashflow_amount"]).alias("_amounts")
+    solved = series.select(*by, "flow_count", amounts).select(*by, "flow_count", irr(F.col("_amounts"), solver).alias("irr"))
+    if not some:
+        return solved
+    return solved.unionByName(_long_irr(flows.join(long, list(by), "left_semi"), by, solver))
 
 
 def xirr_results(

@@ -26,19 +26,6 @@ class SolverParams:
     max_magnitude: float = 1e15
     max_exponent: float = 50.0
 
-    @property
-    def max_periods(self) -> int:
-        """Most flows whose discount factors at the first guess are finite doubles.
-
-        The derivative needs (1 + guess) ** n. Beyond this n it overflows, the first step
-        fails and the rate is null, so no series longer than this is ever collected.
-        """
-        n, factor = 0, 1.0
-        while factor * (1.0 + self.guess) != float("inf"):
-            factor *= 1.0 + self.guess
-            n += 1
-        return n
-
 
 @dataclass(frozen=True)
 class RunParams:

@@ -49,13 +49,12 @@ series AS (
   FROM flows GROUP BY ALL),
 dated AS (SELECT *, [(x - d[1]) / 365.25::DOUBLE for x in d] AS t FROM series),
 irr_steps({by}, a, rate, status, i) AS (
-  SELECT {by}, a, 0.1::DOUBLE, 0, 0 FROM dated WHERE solvable AND flow_count <= 7447
+  SELECT {by}, a, 0.1::DOUBLE, 0, 0 FROM dated WHERE solvable
   UNION ALL
   SELECT {by}, a,
     CASE WHEN next_status = 0 THEN rate - greatest(-0.5::DOUBLE, least(0.5::DOUBLE, npv / slope)) ELSE rate END,
     next_status, i + 1
-  FROM (SELECT *, CASE WHEN rate < -0.99 OR rate > 100 OR npv IS NULL OR isnan(npv)
-      OR pow(1 + rate, len(a)) = 0 OR isinf(pow(1 + rate, len(a))) THEN 2
+  FROM (SELECT *, CASE WHEN rate < -0.99 OR rate > 100 OR npv IS NULL OR isnan(npv) THEN 2
       WHEN abs(npv) < 1e-7 THEN 1 WHEN slope IS NULL OR isnan(slope) OR abs(slope) < 1e-10 THEN 2
       ELSE 0 END AS next_status
     FROM (SELECT *,
@@ -144,25 +143,12 @@ def cashflow_union(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "cashflow_series",
-    f"""WITH {_bounds_sql('customer')} SELECT portfolio_id, count(*) AS flow_count,
-    {rounded('sum(cashflow_amount)', 2)} AS net_cashflow,
-    string_agg(strftime(cashflow_dt, '%Y-%m-%d') || ':' || CAST(CAST(cashflow_amount AS DECIMAL(18, 2)) AS VARCHAR),
-      ';' ORDER BY cashflow_dt, cashflow_amount) AS series FROM flows GROUP BY portfolio_id""",
+    f"""WITH {_bounds_sql('customer')} SELECT portfolio_id,
+    row_number() OVER (PARTITION BY portfolio_id ORDER BY flows.cashflow_dt, cashflow_amount) AS period,
+    {day('cashflow_dt')} AS cashflow_dt, {rounded('cashflow_amount')} AS cashflow_amount FROM flows""",
 )
 def cashflow_series(spark: SparkSession, folder: str) -> DataFrame:
-    series = returns.flow_series(_flows(spark, folder, "customer", INCEPTION), INCEPTION)
-    text = F.transform(
-        "cashflow_series",
-        lambda f: F.concat_ws(
-            ":",
-            F.date_format(f["cashflow_dt"], "yyyy-MM-dd"),
-            f["cashflow_amount"].cast("decimal(18,2)").cast("string"),
-        ),
-    )
-    return present(
-        series.select("portfolio_id", "flow_count", "net_cashflow", F.array_join(text, ";").alias("series")),
-        2,
-    )
+    return present(returns.flow_series(_flows(spark, folder, "customer", INCEPTION), INCEPTION))
 
 
 @query(

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioforge.operators import returns
+from folioforge.operators.keys import number_within
 from folioforge.params import SolverParams
 
 P = SolverParams()
@@ -124,18 +125,45 @@ def test_flows_without_amount_or_date_are_left_out(spark):
     assert returns.irr_results(united, BY).first().irr == pytest.approx(0.10)
 
 
-def test_series_beyond_the_range_of_doubles_has_no_irr_and_is_not_collected(spark):
-    assert P.max_periods == 7447
-    n = P.max_periods + 1
-    flows = spark.range(n).select(
+def long_flows(spark, n, first):
+    return spark.range(n).select(
         F.lit("long").alias("portfolio_id"),
         F.date_add(F.lit(date(2000, 1, 1)), F.col("id").cast("int")).alias("cashflow_dt"),
-        F.when(F.col("id") == 0, -1000.0).otherwise(1.0).alias("cashflow_amount"),
+        F.when(F.col("id") == 0, first).otherwise(1.0).alias("cashflow_amount"),
     )
-    row = returns.flow_series(flows, BY).first()
-    assert row.flow_count == n and row.cashflow_series is None and row.net_cashflow == n - 1 - 1000.0
-    assert returns.irr_results(flows, BY).first().irr is None
-    assert returns.xirr_results(flows, BY).first().xirr is not None
+
+
+def test_series_of_ten_thousand_flows(spark, flows):
+    united = long_flows(spark, 10_000, -9.0).unionByName(flows.where("portfolio_id = 'doubling'"))
+    numbered = returns.flow_series(united, BY)
+    assert {tuple(r) for r in numbered.groupBy("portfolio_id").agg(F.max("period"), F.countDistinct("period")).collect()} == {
+        ("long", 10_000, 10_000), ("doubling", 2, 2)
+    }
+    assert numbered.where("portfolio_id = 'long' and period = datediff(cashflow_dt, date'2000-01-01') + 1").count() == 10_000
+    found = {r.portfolio_id: r for r in returns.irr_results(united, BY).collect()}
+    # the value of 1 a period for ever is 1 / rate
+    assert found["long"].irr == pytest.approx(1 / 9) and found["long"].flow_count == 10_000
+    assert found["doubling"].irr == pytest.approx(1.0)
+    assert returns.xirr_results(long_flows(spark, 10_000, -1000.0), BY).first().xirr is not None
+
+
+def test_long_series_step_by_step_equal_the_search_in_one_array(spark, flows, series, monkeypatch):
+    together = {r.portfolio_id: (r.flow_count, r.irr) for r in returns.irr_results(flows, BY).collect()}
+    monkeypatch.setattr(returns, "CHUNK", 4)
+    apart = {r.portfolio_id: (r.flow_count, r.irr) for r in returns.irr_results(flows, BY).collect()}
+    assert set(apart) == set(together) == set(series)
+    for key, (n, rate) in together.items():
+        assert apart[key][0] == n and close(apart[key][1], rate), key
+
+
+def test_a_group_over_many_partitions_is_numbered(spark):
+    df = spark.range(5000).select(
+        F.when(F.col("id") < 4000, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("k"), (F.col("id") % 50).alias("v")
+    )
+    rows = number_within(df, ["k"], ["v"], "n").collect()
+    for key in {r.k for r in rows}:
+        own = sorted((r.n, r.v) for r in rows if r.k == key)
+        assert [n for n, _ in own] == list(range(1, len(own) + 1)) and [v for _, v in own] == sorted(v for _, v in own)
 
 
 def test_one_day_has_no_growth_rate(spark):
