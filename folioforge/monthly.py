@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.temporal import ts
 from folioforge.operators import bronze, dimensions, facts, quality, reports, returns, risk
-from folioforge.params import RunParams
+from folioforge.params import OPEN_END_TS, RunParams
 from folioforge.schemas import (
     DIMENSION_DATASETS, DIMENSIONS, EVENT_DATASETS, FACTS, GRAIN, LANDED, DimensionSpec, FactSpec,
 )
@@ -106,14 +106,16 @@ def load_fact(
         for d in DIMENSIONS
         if d.table in spec.dimensions
     }
-    fact = facts.build_fact(accepted, spec, references, params.as_of_ts)
+    # Written once: the log and the current table are both made from it.
+    fact = materialize(facts.build_fact(accepted, spec, references, params.as_of_ts), spec.table)
+    keys, latest_by = [spec.key, spec.month], ["system_from_ts", "source_yyyymm"]
+    sinks.save_versions(
+        fact, f"silver.{spec.table}_versions", spec.month, keys, latest_by, params.as_of_ts, replace
+    )
     if replace:
         sinks.save_months(fact, f"silver.{spec.table}", spec.month)
         return
-    sinks.save_corrections(
-        fact, f"silver.{spec.table}", spec.month, [spec.key, spec.month],
-        ["system_from_ts", "source_yyyymm"],
-    )
+    sinks.save_corrections(fact, f"silver.{spec.table}", spec.month, keys, latest_by)
 
 
 def transform_month(spark: SparkSession, params: RunParams, replace: bool = False) -> None:
@@ -141,6 +143,13 @@ def _published(results: DataFrame, spark: SparkSession, params: RunParams, day:
     )
 
 
+def _save_results(results: DataFrame, table: str, month: str, params: RunParams) -> None:
+    """The last results of each month, and those of every run beside them."""
+    written = materialize(results, table)
+    sinks.save_months(written, f"gold.{table}", month)
+    sinks.save_run(written, f"gold.{table}_runs", month, params.as_of_ts)
+
+
 def publish_risk(spark: SparkSession, params: RunParams) -> None:
     positions = spark.table("silver.fact_positions_daily")
     prices = spark.table("silver.fact_market_prices_daily")
@@ -154,9 +163,7 @@ def publish_risk(spark: SparkSession, params: RunParams) -> None:
         (risk.measured_results(measures, params, "var"), "risk_var_results"),
         (risk.stressed_results(measures, params), "risk_svar_results"),
     ):
-        sinks.save_months(
-            _published(results, spark, params, "as_of_date"), f"gold.{table}", "result_yyyymm"
-        )
+        _save_results(_published(results, spark, params, "as_of_date"), table, "result_yyyymm", params)
 
 
 def publish_returns(spark: SparkSession, params: RunParams) -> None:
@@ -175,13 +182,16 @@ def publish_returns(spark: SparkSession, params: RunParams) -> None:
         (returns.irr_results(flows, by, params.solver).join(valued, by, "left"), "performance_irr_results"),
         (returns.xirr_results(flows, by, params.solver).join(valued, by, "left"), "performance_xirr_results"),
     ):
-        sinks.save_months(
-            _published(results, spark, params, "valuation_dt"), f"gold.{table}", "result_yyyymm"
-        )
+        _save_results(_published(results, spark, params, "valuation_dt"), table, "result_yyyymm", params)
 
 
 def create_views(spark: SparkSession) -> None:
-    """The four serving views. Filter the as-of views on their two as-of columns."""
+    """The four serving views, and one history per fact.
+
+    The as-of views hold the results of every run. What was known at a moment t about business up to a moment b has
+    ``system_as_of_ts <= t AND t < known_to_ts AND business_as_of_ts <= b``. A fact's history is asked with
+    ``system_from_ts <= t AND t < system_to_ts AND NOT is_deleted``.
+    """
     spark.sql("""
         CREATE OR REPLACE VIEW gold.vw_portfolio_risk_summary AS
         SELECT portfolio_id, v.portfolio_sk, as_of_date, v.business_as_of_ts, v.system_as_of_ts,
@@ -196,11 +206,44 @@ def create_views(spark: SparkSession) -> None:
         FROM gold.performance_cagr_results c
         LEFT JOIN gold.performance_irr_results i USING (portfolio_id, result_yyyymm)
         LEFT JOIN gold.performance_xirr_results x USING (portfolio_id, result_yyyymm)""")
-    for view, table in (
-        ("vw_portfolio_risk_asof", "risk_var_results"),
-        ("vw_portfolio_performance_asof", "performance_cagr_results"),
-    ):
-        spark.sql(f"CREATE OR REPLACE VIEW gold.{view} AS SELECT * FROM gold.{table}")
+    spark.sql(f"""
+        CREATE OR REPLACE VIEW gold.vw_portfolio_risk_asof AS
+        WITH {_known_spans('risk_var_results')}
+        SELECT v.*, s.svar_amount, s.svar_pct_market_value, known_to_ts
+        FROM gold.risk_var_results_runs v
+        JOIN spans USING (result_yyyymm, run)
+        LEFT JOIN (SELECT portfolio_id, as_of_date, confidence_level, result_yyyymm, run, svar_amount,
+                     svar_pct_market_value FROM gold.risk_svar_results_runs) s
+        USING (portfolio_id, as_of_date, confidence_level, result_yyyymm, run)""")
+    spark.sql(f"""
+        CREATE OR REPLACE VIEW gold.vw_portfolio_performance_asof AS
+        WITH {_known_spans('performance_cagr_results')}
+        SELECT c.*, i.irr, x.xirr, known_to_ts
+        FROM gold.performance_cagr_results_runs c
+        JOIN spans USING (result_yyyymm, run)
+        LEFT JOIN (SELECT portfolio_id, result_yyyymm, run, irr FROM gold.performance_irr_results_runs) i
+        USING (portfolio_id, result_yyyymm, run)
+        LEFT JOIN (SELECT portfolio_id, result_yyyymm, run, xirr FROM gold.performance_xirr_results_runs) x
+        USING (portfolio_id, result_yyyymm, run)""")
+    for fact in FACTS:
+        spark.sql(f"""
+            CREATE OR REPLACE VIEW silver.vw_{fact.table}_history AS
+            SELECT * EXCEPT (system_to_ts, is_current_system, record_version, change_type),
+                   lead(system_from_ts, 1, TIMESTAMP '{OPEN_END_TS}') OVER w AS system_to_ts,
+                   lead(system_from_ts) OVER w IS NULL AS is_current_system,
+                   CAST(row_number() OVER w AS INT) AS record_version,
+                   CASE WHEN is_deleted THEN 'DELETE' WHEN row_number() OVER w = 1 THEN 'INSERT' ELSE 'UPDATE' END
+                     AS change_type
+            FROM silver.{fact.table}_versions
+            WINDOW w AS (PARTITION BY {fact.key}, {fact.month} ORDER BY system_from_ts)""")
+
+
+def _known_spans(table: str) -> str:
+    """For every run of a month, from when to when it was the last one; one row per month and run."""
+    return f"""runs AS (SELECT DISTINCT result_yyyymm, run, system_as_of_ts FROM gold.{table}_runs),
+        spans AS (SELECT result_yyyymm, run,
+            lead(system_as_of_ts, 1, TIMESTAMP '{OPEN_END_TS}')
+              OVER (PARTITION BY result_yyyymm ORDER BY system_as_of_ts) AS known_to_ts FROM runs)"""
 
 
 def event_months(spark: SparkSession) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.functions.temporal import open_end, stamp
+from folioforge.functions.temporal import known_at, open_end, stamp, ts, valid_at
 from folioforge.operators.keys import latest_per_key, version_chain
 from folioforge.schemas import DIMENSION, FactSpec
 from folioforge.sources.tables import month_of
@@ -92,6 +92,39 @@ def restate(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> Da
     ).drop("next_from", "version_no")
 
 
+def changed_versions(
+    log: DataFrame, arrived: DataFrame, keys: Sequence[str], recorded_at: str, replace: bool = False
+) -> DataFrame:
+    """Rows of ``arrived`` that say something new against what ``log`` holds from before ``recorded_at``.
+
+    Both carry ``content_hash`` and ``is_deleted``. With ``replace``, keys of the log that did not arrive get a version
+    that says they are gone.
+    """
+    before = log.where(F.col("system_from_ts") < ts(recorded_at))
+    last = latest_per_key(before, list(keys), ["system_from_ts"])
+    named = last.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("content_hash").alias("_hash"), F.col("is_deleted").alias("_gone"))
+    same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    new = F.col("_hash").isNull() | F.col("_gone") | (F.col("_hash") != F.col("content_hash"))
+    added = arrived.join(named, same_key, "left").where(new).select(*arrived.columns)
+    if not replace:
+        return added
+    here = arrived.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    gone = last.where(~F.col("is_deleted")).join(here, same_key, "left_anti")
+    gone = gone.withColumns({"system_from_ts": ts(recorded_at), "is_deleted": F.lit(True)})
+    return added.unionByName(gone.select(*arrived.columns))
+
+
+def fact_history(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All versions of a fact log, each closed in system time by the next one of its key."""
+    return restate(log, keys, ["system_from_ts"])
+
+
+def facts_known_at(log: DataFrame, keys: Sequence[str], system_ts: str, valid_ts: str | None = None) -> DataFrame:
+    """Facts as they were on record at a moment, optionally only those valid at a business moment."""
+    known = known_at(fact_history(log, keys), system_ts).where(~F.col("is_deleted"))
+    return known if valid_ts is None else valid_at(known, valid_ts)
+
+
 def replayed(batches: DataFrame, month: str, batch: str) -> DataFrame:
     """State after loading all batches in order when each batch replaces the event months it touches.
 

@@ -6,9 +6,12 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from folioforge.functions.hashing import record_hash
+from folioforge.functions.temporal import ts
 from folioforge.operators.bronze import align
-from folioforge.operators.facts import merge_corrections
+from folioforge.operators.facts import affected_months, changed_versions, merge_corrections
 from folioforge.operators.keys import latest_per_key
 from folioforge.operators.quality import schema_violations
 from folioforge.session import materialize
@@ -118,6 +121,60 @@ def save_corrections(
     save_months(materialize(merged, "corrections"), table, month)
 
 
+#: Columns that say when a fact was recorded, not what it says.
+_RECORDING = (
+    "source_yyyymm", "system_from_ts", "system_to_ts", "is_current_valid", "is_current_system", "record_version",
+    "change_type",
+)
+
+
+def save_versions(
+    batch: DataFrame, table: str, month: str, keys: Sequence[str], latest_by: Sequence[str], recorded_at: str,
+    replace: bool = False,
+) -> None:
+    """Append what a batch changes to the log of a fact, so that no earlier answer is lost.
+
+    A load is known by ``recorded_at``, the ``system_from_ts`` of its rows: loading it again replaces its own rows and
+    leaves those of other loads. ``replace`` takes the batch as all there is in the months it touches.
+    """
+    spark = batch.sparkSession
+    content = [c for c in batch.columns if c not in _RECORDING]
+    arrived = latest_per_key(batch, list(keys), list(latest_by)).withColumns(
+        {"content_hash": record_hash(content), "is_deleted": F.lit(False)}
+    )
+    if not spark.catalog.tableExists(table):
+        save_months(arrived, table, month)
+        return
+    check_schema(arrived, table)
+    # One row per month.
+    months = F.broadcast(affected_months(batch, month))
+    log = spark.table(table).join(months, month, "left_semi")
+    added = materialize(changed_versions(log, arrived, keys, recorded_at, replace), "versions")
+    others = F.col("system_from_ts") != ts(recorded_at)
+    if log.where(~others).isEmpty():
+        save_append(added, table)
+    else:
+        save_months(materialize(log.where(others).unionByName(added), "versions"), table, month)
+
+
+def compact_months(spark: SparkSession, table: str, month: str, months: Sequence[str]) -> None:
+    """Rewrite months of a log that many appends have left in many files; its rows stay as they are."""
+    rows = spark.table(table).where(F.col(month).isin(*months))
+    save_months(materialize(rows, "compacted"), table, month)
+
+
+def save_run(df: DataFrame, table: str, month: str, run: str) -> None:
+    """Results of one run beside those of earlier runs; a run that is repeated replaces its own results."""
+    spark = df.sparkSession
+    ordered = df.withColumn("run", F.lit(run)).select(*[c for c in df.columns if c != month], month, "run")
+    if not spark.catalog.tableExists(table):
+        ordered.hint("rebalance", month).write.partitionBy(month, "run").saveAsTable(table)
+        return
+    check_schema(ordered, table)
+    with _only_touched_partitions(spark):
+        ordered.select(*spark.table(table).columns).hint("rebalance", month).write.insertInto(table, overwrite=True)
+
+
 def save_append(df: DataFrame, table: str) -> None:
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):

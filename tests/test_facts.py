@@ -3,8 +3,9 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
-from folioforge.functions.temporal import valid_at
+from folioforge.functions.temporal import stamp, valid_at
 from folioforge.operators import facts
 from folioforge.schemas import FACT
 from folioforge.session import work_path
@@ -165,3 +166,36 @@ def test_raw_table_takes_new_columns(spark, rows):
     sinks.save_append(spark.table("guard.raw"), "guard.raw_copy")
     sinks.save_append(spark.table("guard.raw"), "guard.raw_copy")
     assert spark.table("guard.raw_copy").count() == 4
+
+
+def test_log_keeps_every_answer(spark, rows):
+    def load(table, moment, batch, replace=False):
+        df = spark.createDataFrame([(*r, "s") for r in batch], "k string, m string, v long, source_yyyymm string")
+        df = stamp(df.withColumn("d", F.lit("2026-01-01").cast("date")), "d", moment).drop("d")
+        sinks.save_versions(df, table, "m", ["k", "m"], ["system_from_ts", "source_yyyymm"], moment, replace)
+        spark.catalog.refreshTable(table)
+
+    def known(table, moment):
+        return rows(facts.facts_known_at(spark.table(table), ["k", "m"], moment), "k", "m", "v")
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS logs")
+    t = "logs.fact_versions"
+    load(t, "2026-02-01 00:00:00", [("a", "1", 1), ("b", "1", 2), ("c", "2", 3)])
+    load(t, "2026-03-01 00:00:00", [("a", "1", 10), ("b", "1", 2), ("d", "1", 4)])
+    load(t, "2026-04-01 00:00:00", [("a", "1", 10)], replace=True)
+    first = [("a", "1", 1), ("b", "1", 2), ("c", "2", 3)]
+    second = [("a", "1", 10), ("b", "1", 2), ("c", "2", 3), ("d", "1", 4)]
+    third = [("a", "1", 10), ("c", "2", 3)]
+    answers = {"2026-01-15": [], "2026-02-01": first, "2026-02-15": first, "2026-03-15": second, "2026-05-01": third}
+    assert {m: known(t, m + " 00:00:00") for m in answers} == answers
+    # unchanged rows make no version
+    assert spark.table(t).count() == 3 + 2 + 2
+    # the second load again, then with another content
+    load(t, "2026-03-01 00:00:00", [("a", "1", 10), ("b", "1", 2), ("d", "1", 4)])
+    assert {m: known(t, m + " 00:00:00") for m in answers} == answers and spark.table(t).count() == 7
+    sinks.compact_months(spark, t, "m", ["1", "2"])
+    spark.catalog.refreshTable(t)
+    assert {m: known(t, m + " 00:00:00") for m in answers} == answers and spark.table(t).count() == 7
+    load(t, "2026-05-01 00:00:00", [("b", "1", 7)])
+    assert known(t, "2026-06-01 00:00:00") == [("a", "1", 10), ("b", "1", 7), ("c", "2", 3)]
+    assert known(t, "2026-04-15 00:00:00") == third

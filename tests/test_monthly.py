@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioforge import monthly
+from folioforge.operators import facts
 from folioforge.params import RunParams
+from folioforge.session import materialize
+from folioforge.sinks import tables as sinks
 from tests.landing_files import land_month
 
 JAN = RunParams(as_of_ts="2026-02-01 06:00:00", month="202601", load_id="jan",
@@ -83,6 +86,51 @@ def test_replaying_a_month_changes_nothing(spark, published, rows):
         assert rows(spark.table(n)) == before[n], n
 
 
+def test_facts_as_they_were_known_before_a_later_load(spark, published):
+    history = spark.table("silver.vw_fact_transactions_history")
+    known = "system_from_ts <= timestamp'{0}' and timestamp'{0}' < system_to_ts and not is_deleted"
+    assert history.where(known.format("2026-02-15 00:00:00")).count() == 28
+    assert history.where(known.format("2026-03-15 00:00:00")).count() == 58
+    assert history.where(known.format("2026-01-15 00:00:00")).count() == 0
+    log = spark.table("silver.fact_transactions_versions")
+    keys = ["transaction_id", "trade_yyyymm"]
+    assert facts.facts_known_at(log, keys, "2026-02-15 00:00:00").count() == 28
+    assert spark.table("silver.fact_transactions").count() == 58
+
+
+def test_results_of_an_earlier_run_are_kept(spark, published):
+    """January is published again after its facts were corrected; both answers can be asked for."""
+    again = RunParams(as_of_ts="2026-03-05 06:00:00", month="202601", load_id="again",
+                      stress_start="2026-01-05", stress_end="2026-01-20")
+    question = ("system_as_of_ts <= timestamp'{0}' and timestamp'{0}' < known_to_ts "
+                "and business_as_of_ts <= timestamp'2026-01-20'")
+    risk_asof = "gold.vw_portfolio_risk_asof"
+
+    def answer(view, moment, *columns):
+        spark.catalog.refreshTable(view)
+        found = spark.table(view).where(question.format(moment)) if view == risk_asof else spark.table(view).where(
+            question.format(moment).replace("2026-01-20", "2026-12-31"))
+        return sorted(tuple(r) for r in found.where("result_yyyymm = '202601'").select(*columns).collect())
+
+    risk_columns = ("portfolio_id", "as_of_date", "confidence_level", "var_amount", "svar_amount")
+    performance = ("portfolio_id", "ending_value", "cagr", "irr", "xirr")
+    old = answer(risk_asof, "2026-03-10", *risk_columns)
+    old_growth = answer("gold.vw_portfolio_performance_asof", "2026-03-10", *performance)
+    assert len(old) == 2 * 2 * 20 and len(old_growth) == 2
+    doubled = spark.table("silver.fact_positions_daily").where("position_yyyymm = '202601'").withColumn(
+        "market_value", F.col("market_value") * 2)
+    sinks.save_months(materialize(doubled, "doubled"), "silver.fact_positions_daily", "position_yyyymm")
+    spark.catalog.refreshTable("silver.fact_positions_daily")
+    monthly.publish_risk(spark, again)
+    monthly.publish_returns(spark, again)
+    assert answer(risk_asof, "2026-03-04", *risk_columns) == old
+    assert answer("gold.vw_portfolio_performance_asof", "2026-03-04", *performance) == old_growth
+    new = answer(risk_asof, "2026-03-10", *risk_columns)
+    assert [r[3] for r in new] == pytest.approx([2 * r[3] for r in old])
+    assert [r[1] for r in answer("gold.vw_portfolio_performance_asof", "2026-03-10", *performance)] == pytest.approx(
+        [2 * r[1] for r in old_growth])
+
+
 def test_raw_counts(spark, published, rows):
     counts = dict(rows(monthly.raw_counts(spark)))
     assert counts["positions_daily_raw"] == 2 * 6 * 28
