@@ -13,6 +13,7 @@ from folioforge.llm import (
     line_windows,
     mixing,
     near_duplicates,
+    oracles,
     passage_repeats,
     preferences,
     prefix_trie,
@@ -153,9 +154,16 @@ def op12_passage_repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
-    return prefix_trie.trie(load(spark, folder, "conversations"))
+    return prefix_trie.trie(load(spark, folder, "conversations")).drop("turn_conv", "turn_pos")
 
 
 @query
 def op13_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
     return structure_repair.damage_and_repair(load(spark, folder, "conversations"))
+
+
+LLM_ORACLES |= {
+    "op11_prefix_trie": oracles.PREFIX_TRIE,
+    "op12_passage_repeats": oracles.PASSAGE_REPEATS,
+    "op13_structure_repair": oracles.STRUCTURE_REPAIR,
+}
