@@ -258,7 +258,7 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     )
     # rows equal in key and text are one document
     leading = contexts.filter("leads").groupBy("gram").agg(F.min(F.struct("doc", "left", "words")).alias("lead"))
-    pairs = contexts.filter("not leads").join(leading, "gram")
+    pairs = contexts.filter("not leads").join(written(leading, "leading"), "gram")
     pairs = pairs.select("doc", "row", "at", "left", "words", *[F.col(f"lead.{c}").alias(f"lead_{c}") for c in ("doc", "left", "words")])
     extended = written(pairs.mapInPandas(_extended_rows, _FOUND), "extended")
 
