@@ -6,17 +6,19 @@ in 100 bytes stand next to each other in suffix order; the previous smaller posi
 the earliest lies among them. So the suffix order is needed only to depth 100, and only for suffixes that can
 have an equal: these are found first.
 
-1. Anchors. In every 100-byte string the 48-byte grams with the smallest hash are anchors; equal strings have
-   equal anchors at equal places. Strings without an anchor that occurs twice have no equal.
-2. Contexts. The bytes around a repeated anchor that its 100-byte strings can reach are its context. Of equal
-   contexts, all but the earliest have only strings that occurred before.
-3. Suffixes. Where an anchor has different contexts, the suffixes that start in the earliest of each are sorted
-   to depth 100, equal ones by place; one whose predecessor agrees with it in 100 bytes has that as its
-   previous smaller position. The contexts of an anchor come to one task if they are at most ``BUCKET``;
-   the suffixes of an anchor with more are spread by a hash of their 100 bytes instead.
-
-Every step names an earliest member by a minimum that is taken before rows are shuffled, so an anchor, context
-or suffix that a third of all documents share is one row per task.
+1. Anchors. Every 100-byte string has one anchor, the leftmost of its 48-byte grams with the smallest hash; equal
+   strings have equal anchors at equal places. Strings whose anchor occurs once have no equal.
+2. Contexts. Neighbouring strings with the same anchor are one context. Of equal contexts, all but the earliest
+   have only strings that occurred before.
+3. Suffixes. Where an anchor has different contexts, the earliest of each are range-partitioned by anchor and
+   place, so an anchor with many contexts is spread over tasks. A piece of up to ``PIECE`` contexts is put in
+   suffix order, equal suffixes by place; a suffix whose predecessor agrees with it in 100 bytes has that as its
+   previous smaller position, and the next smaller one never lies among its equals. An anchor whose contexts came
+   in more than one piece hands on the earliest suffix of each kind from each piece; these are range-partitioned
+   by their 100 bytes and judged in the same way.
+
+Every string stands in one context, so each place is one suffix. Equal contexts are reduced to their earliest
+before rows are shuffled, and of a suffix that crosses pieces one row a piece is left.
 """
 
 from __future__ import annotations
@@ -35,8 +37,8 @@ from folioforge.llm.common import written
 #: Bytes of a repeated string, and of an anchor gram.
 DEPTH, GRAM = 100, 48
 REACH = DEPTH - GRAM
-#: Different contexts of an anchor that are compared in one task.
-BUCKET = 5_000
+#: Contexts that are put in suffix order at once. It bounds memory; results are the same for every value.
+PIECE = 2_000
 #: Bytes of a long document that are looked at in one step.
 STEP = 1 << 20
 #: The order key of documents without an id: after all others.
@@ -47,9 +49,10 @@ _BASE = 0x9E3779B97F4A7C15
 
 def _fields(kind: str) -> str:
     return {
-        "anchors": "gram long, row long, at int",
-        "contexts": "gram long, c1 long, c2 long, doc long, row long, at int, reach int, starts int",
-        "wanted": "gram long, many boolean, doc long, row long, low int, starts int, context binary",
+        "anchors": "gram long, row long, span long",
+        "contexts": "gram long, c1 long, c2 long, doc long, row long, low int, starts int",
+        "wanted": "gram long, doc long, row long, low int, starts int, context binary",
+        "judged": "row long, low int, high int, doc long, suffix binary",
         "late": "row long, low int, high int",
         "results": "row long, n_removed long, n_spans long, kept_sha256 string",
     }[kind]
@@ -77,20 +80,42 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(values[: len(values) - (width - done)], values[width - done :]) if width > done else values
 
 
-def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and places of the grams that are smallest in some 100-byte string."""
-    hashes, places = [], []
+def _owned(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, first string, last string) of every anchor of a block with gram hashes ``h``, by place."""
+    least = _sliding(h, REACH + 1, np.minimum)
+    pad = np.zeros(REACH, np.uint64)
+    places = np.flatnonzero(_sliding(np.concatenate((pad, least, pad)), REACH + 1, np.maximum) == h)
+    # runs of strings with one smallest hash; a gram that has it belongs to the last such run that starts at or before it
+    first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+    last = np.append(first[1:], len(least)) - 1
+    kinds = np.unique(least[first])
+    wide = len(h) + 1
+    of_run = np.searchsorted(kinds, least[first]) * wide + first
+    of_place = np.searchsorted(kinds, h[places]) * wide + places
+    by_run, by_place = np.argsort(of_run), np.argsort(of_place)
+    ranked, of_place = places[by_place], of_place[by_place]
+    run = by_run[np.searchsorted(of_run[by_run], of_place, "right") - 1]
+    # strings up to the gram before with the same hash are that one's
+    same = np.concatenate(([False], of_place[1:] // wide == of_place[:-1] // wide))
+    low = np.maximum(first[run], np.where(same, np.concatenate(([0], ranked[:-1])) + 1, 0))
+    high = np.minimum(last[run], ranked)
+    keep = np.argsort(ranked)
+    keep = keep[low[keep] <= high[keep]]
+    return ranked[keep], low[keep], high[keep]
+
+
+def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of a text: (hash, place, first string, number of strings).
+
+    The anchor of a string is the leftmost of its grams with the smallest hash. Strings of one anchor are neighbours.
+    """
+    found = [(np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 3)]
     whole = np.frombuffer(data, np.uint8)
     for start in range(0, max(len(whole) - DEPTH + 1, 0), STEP):
         h = gram_hashes(whole[start : start + STEP + DEPTH - 1])
-        least = _sliding(h, REACH + 1, np.minimum)
-        pad = np.zeros(REACH, np.uint64)
-        chosen = np.flatnonzero(_sliding(np.concatenate((pad, least, pad)), REACH + 1, np.maximum) == h)
-        hashes.append(h[chosen])
-        places.append(chosen + start)
-    if not hashes:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return np.concatenate(hashes), np.concatenate(places)
+        place, low, high = _owned(h)
+        found.append((h[place], place + start, low + start, high - low + 1))
+    return tuple(np.concatenate(column) for column in zip(*found, strict=True))
 
 
 def _bytes(text: str | None) -> bytes:
@@ -98,15 +123,17 @@ def _bytes(text: str | None) -> bytes:
 
 
 def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Anchors as (gram, row, span); a span packs the first string, the way from it to the anchor, and the strings."""
     for batch in batches:
         found = [anchors(_bytes(t)) for t in batch["text"]]
-        sizes = [len(places) for _, places in found]
+        sizes = [len(f[0]) for f in found]
         if sum(sizes):
+            hashes, places, firsts, counts = (np.concatenate(column) for column in zip(*found, strict=True))
             yield pd.DataFrame(
                 {
-                    "gram": np.concatenate([h for h, _ in found]).view(np.int64),
+                    "gram": hashes.view(np.int64),
                     "row": np.repeat(batch["row"].to_numpy(), sizes),
-                    "at": np.concatenate([p for _, p in found]).astype(np.int32),
+                    "span": firsts << 16 | (places - firsts) << 8 | counts,
                 }
             )
 
@@ -115,93 +142,112 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _span(data: bytes, at: int) -> tuple[int, int]:
-    return max(0, at - REACH), min(len(data), at + DEPTH)
-
-
 def _context_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ["gram", "c1", "c2", "doc", "row", "at", "reach", "starts"]
+    names = ["gram", "c1", "c2", "doc", "row", "low", "starts"]
     for batch in batches:
         out = []
-        for doc, row, text, places in zip(batch["doc"], batch["row"], batch["text"], batch["places"], strict=True):
+        for doc, row, text, spans in zip(batch["doc"], batch["row"], batch["text"], batch["places"], strict=True):
             data = _bytes(text)
-            for at in np.unique(places).tolist():
-                first, end = _span(data, at)
-                if at + GRAM > end or end - first < DEPTH:
+            for span in np.unique(spans).tolist():
+                low, ahead, starts = span >> 16, span >> 8 & 255, span & 255
+                end = low + starts + DEPTH - 1
+                if end > len(data):
                     continue  # a place of another text with the same hash
-                digest = xxhash.xxh3_128_intdigest(data[first:end], seed=at - first)
-                gram = xxhash.xxh64_intdigest(data[at : at + GRAM])
+                digest = xxhash.xxh3_128_intdigest(data[low:end], seed=ahead)
+                gram = xxhash.xxh64_intdigest(data[low + ahead : low + ahead + GRAM])
                 c1, c2 = _signed(digest >> 64), _signed(digest & ((1 << 64) - 1))
-                out.append((_signed(gram), c1, c2, doc, row, at, at - first, end - first - DEPTH + 1))
+                out.append((_signed(gram), c1, c2, doc, row, low, starts))
         if out:
             yield pd.DataFrame(out, columns=names)
 
 
 def _wanted_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ["gram", "many", "doc", "row", "low", "starts", "context"]
+    names = ["gram", "doc", "row", "low", "starts", "context"]
     for batch in batches:
         out = []
         for doc, row, text, wanted in zip(batch["doc"], batch["row"], batch["text"], batch["wanted"], strict=True):
             data = _bytes(text)
             for place in wanted:
-                first, end = _span(data, place["at"])
-                out.append((place["gram"], place["many"], doc, row, first, end - first - DEPTH + 1, data[first:end]))
+                low, starts = place["low"], place["starts"]
+                out.append((place["gram"], doc, row, low, starts, data[low : low + starts + DEPTH - 1]))
         if out:
             yield pd.DataFrame(out, columns=names)
 
 
-def longest_previous(contexts: pd.DataFrame) -> np.ndarray:
-    """(row, place) of the suffixes of ``contexts`` that agree in 100 bytes with one that starts earlier.
+def longest_previous(suffixes: np.ndarray) -> np.ndarray:
+    """For each suffix the earliest one that agrees with it in 100 bytes: its own index if there is none before.
 
-    Suffixes that agree in 100 bytes are brought together, by a hash of these bytes, and sorted by place, so
-    the previous smaller position of each is its predecessor, if it has one. No decision needs the order of
-    the others; only if two that differ share a hash, all are sorted by their bytes instead.
+    ``suffixes`` are 100-byte strings; equal ones stand in the order of their places. They are put in suffix order
+    by a stable sort, so equal ones stay in that order. The previous smaller position of a suffix agrees with it in
+    100 bytes exactly if its predecessor does, and a next smaller position never does: the longest previous factor
+    reaches 100 bytes where the predecessor agrees. Following predecessors to the first gives the earliest.
     """
+    order = np.argsort(suffixes, kind="stable")
+    ranked = suffixes[order]
+    fresh = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+    earliest = np.empty(len(order), np.int64)
+    earliest[order] = order[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
+    return earliest
+
+
+def _judged(contexts: pd.DataFrame, opened: set[int]) -> pd.DataFrame:
+    """Runs of late starts of ``contexts``, and the earliest suffix of each kind of the anchors in ``opened``."""
     counts = contexts["starts"].to_numpy()
     flat = np.frombuffer(b"".join(contexts["context"]), np.uint8)
-    offsets = np.concatenate(([0], np.cumsum([len(c) for c in contexts["context"]])[:-1]))
+    offsets = np.concatenate(([0], np.cumsum(counts + DEPTH - 1)[:-1]))
+    which = np.repeat(np.arange(len(counts)), counts)
     inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    starts = np.repeat(offsets, counts) + inner
-    windows = np.lib.stride_tricks.sliding_window_view(flat, DEPTH)[starts]
-    padded = np.zeros((len(windows), DEPTH + 4), np.uint8)
-    padded[:, :DEPTH] = windows
-    parts = padded.view(">u8").astype(np.uint64)
-    doc, row = (np.repeat(contexts[c].to_numpy(), counts) for c in ("doc", "row"))
-    at = np.repeat(contexts["low"].to_numpy(), counts) + inner
-    key = np.zeros(len(parts), np.uint64)
-    for column in parts.T:
-        key = (key ^ column) * np.uint64(_BASE)
-        key ^= key >> np.uint64(29)
-    order = np.lexsort((at, row, doc, key))
-    agree = (parts[order[1:]] == parts[order[:-1]]).all(axis=1)
-    if ((key[order[1:]] == key[order[:-1]]) & ~agree).any():
-        order = np.lexsort((at, row, doc, *parts.T[::-1]))
-        agree = (parts[order[1:]] == parts[order[:-1]]).all(axis=1)
-    # a start that two contexts hold is one suffix
-    places = np.stack((doc, row, at), axis=1)[order]
-    fresh = np.concatenate(([True], ~agree | (places[1:] != places[:-1]).any(axis=1)))
-    places, agree = places[fresh], np.concatenate(([False], agree))[fresh]
-    return places[agree][:, 1:]
-
-
-def _suffix_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Late starts from contexts that come sorted by gram; all contexts of a gram are looked at together."""
-    held: list[pd.DataFrame] = []
-
-    def found(rows: pd.DataFrame) -> pd.DataFrame:
-        late = longest_previous(rows)
-        return pd.DataFrame({"row": late[:, 0], "low": late[:, 1], "high": late[:, 1]})
-
+    windows = np.lib.stride_tricks.sliding_window_view(flat, DEPTH)[offsets[which] + inner]
+    suffixes = windows.view(f"S{DEPTH}").ravel()
+    row, at = contexts["row"].to_numpy()[which], contexts["low"].to_numpy()[which] + inner
+    earliest = longest_previous(suffixes)
+    # the same place can come twice, from rows that are equal as a whole
+    late = (row[earliest] != row) | (at[earliest] != at)
+    places = np.flatnonzero(late)
+    breaks = np.ones(len(places) + 1, bool)
+    breaks[1:-1] = (np.diff(places) != 1) | (np.diff(which[places]) != 0)
+    starts, ends = places[np.flatnonzero(breaks[:-1])], places[np.flatnonzero(breaks[1:])]
+    runs = pd.DataFrame({"row": row[starts], "low": at[starts], "high": at[ends], "doc": None, "suffix": None})
+    split = contexts["gram"].isin(opened).to_numpy()[which] & (earliest == np.arange(len(earliest)))
+    if not split.any():
+        return runs
+    firsts = pd.DataFrame({"row": row[split], "low": at[split], "high": at[split]})
+    firsts["doc"] = contexts["doc"].to_numpy()[which][split]
+    firsts["suffix"] = [w.tobytes() for w in windows[split]]
+    return firsts if runs.empty else pd.concat([runs.astype({"doc": "Int64"}), firsts.astype({"doc": "Int64"})])
+
+
+def _judged_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Contexts come sorted by gram and place. Grams at the ends of the partition or of a full piece stay open."""
+    held, opened = pd.DataFrame(), None
     for batch in batches:
-        for first in range(0, len(batch), 2000):
-            held.append(batch.iloc[first : first + 2000])
-            rows = pd.concat(held)
-            whole = rows["gram"] != rows["gram"].iloc[-1]
-            held = [rows[~whole]]
+        for first in range(0, len(batch), PIECE):
+            held = pd.concat([held, batch.iloc[first : first + PIECE]])
+            opened = {held["gram"].iloc[0]} if opened is None else opened
+            if len(held) < PIECE:
+                continue
+            last = held["gram"].iloc[-1]
+            whole = held["gram"] != last
             if whole.any():
-                yield found(rows[whole])
-    if held:
-        yield found(pd.concat(held))
+                yield _judged(held[whole], opened)
+                held = held[~whole]
+            if len(held) >= PIECE:
+                opened.add(last)
+                yield _judged(held, opened)
+                held = held.iloc[:0]
+    if len(held):
+        yield _judged(held, opened | {held["gram"].iloc[-1]})
+
+
+def _late_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Suffixes come in suffix order, equal ones by place; all but the earliest place of each are late."""
+    before = None
+    for batch in batches:
+        rows = batch if before is None else pd.concat([before, batch])
+        earliest = longest_previous(np.array(rows["suffix"].tolist(), f"S{DEPTH}"))
+        late = (rows["row"].to_numpy()[earliest] != rows["row"]) | (rows["low"].to_numpy()[earliest] != rows["low"])
+        yield rows.loc[late.to_numpy(), ["row", "low", "high"]]
+        before = rows.iloc[[earliest[-1]]]
 
 
 def _cut_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -223,12 +269,6 @@ def _cut_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["row", "n_removed", "n_spans", "kept_sha256"])
 
 
-def _with_first(rows: DataFrame, keys: list[str], place: Column) -> DataFrame:
-    """``rows`` of keys that occur more than once, with ``first``, the smallest place of the key."""
-    firsts = rows.groupBy(*keys).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return rows.join(firsts.drop("n"), keys)
-
-
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``df``: doc_id (its key), n_bytes, n_removed, n_spans and kept_sha256.
 
@@ -248,32 +288,25 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     grams = long_enough.select("row", "text").mapInPandas(_anchor_rows, _fields("anchors"))
     twice = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
     # at most the places of one text
-    places = written(grams.join(twice, "gram").groupBy("row").agg(F.collect_set("at").alias("places")), "places")
+    places = written(grams.join(twice, "gram").groupBy("row").agg(F.collect_set("span").alias("places")), "places")
     touched = written(long_enough.join(places, "row").select("doc", "row", "text", "places"), "touched")
 
     contexts = written(touched.mapInPandas(_context_rows, _fields("contexts")), "contexts")
-    place = F.struct("doc", "row", "at")
+    place = F.struct("doc", "row", "low", "starts")
     firsts = written(contexts.groupBy("gram", "c1", "c2").agg(F.min(place).alias("first")), "firsts")
-    start = F.col("at") - F.col("reach")
     again = contexts.join(firsts, ["gram", "c1", "c2"]).filter(place != F.col("first"))
-    again = written(again.select("row", start.alias("low"), (start + F.col("starts") - 1).alias("high")), "again")
+    again = written(again.select("row", "low", (F.col("low") + F.col("starts") - 1).alias("high")), "again")
 
     varied = firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    wanted = firsts.join(varied, "gram").select("first.row", F.struct("gram", "first.at", (F.col("n") > BUCKET).alias("many")).alias("w"))
+    wanted = firsts.join(varied, "gram").select("first.row", F.struct("gram", "first.low", "first.starts").alias("w"))
     wanted = wanted.groupBy("row").agg(F.collect_list("w").alias("wanted"))
     sources = written(touched.drop("places").join(wanted, "row").mapInPandas(_wanted_rows, _fields("wanted")), "sources")
-    few = sources.filter("not many").repartition("gram").sortWithinPartitions("gram")
-    late = few.mapInPandas(_suffix_rows, _fields("late"))
-
-    spread = (
-        sources.filter("many")
-        .select("doc", "row", "low", "context", F.explode(F.sequence(F.lit(0), F.col("starts") - 1)).alias("o"))
-        .select("doc", "row", (F.col("low") + F.col("o")).alias("at"), F.substring("context", F.col("o") + 1, F.lit(DEPTH)).alias("s"))
-        .select("doc", "row", "at", F.xxhash64("s").alias("h"), F.xxhash64(F.lit(1), "s").alias("g"))
-    )
-    rest = _with_first(spread, ["h", "g"], place).filter(place != F.col("first"))
-    rest = rest.select("row", F.col("at").alias("low"), F.col("at").alias("high"))
-    runs = again.union(late).union(rest)
+    ordered = ["gram", "doc", "row", "low"]
+    pieces = sources.repartitionByRange(*ordered).sortWithinPartitions(*ordered)
+    judged = written(pieces.mapInPandas(_judged_rows, _fields("judged")), "judged")
+    crossing = judged.filter("suffix is not null").repartitionByRange("suffix").sortWithinPartitions("suffix", "doc", "row", "low")
+    late = judged.filter("suffix is null").select("row", "low", "high")
+    runs = again.union(late).union(crossing.mapInPandas(_late_rows, _fields("late")))
     runs = written(runs.groupBy("row").agg(F.collect_set(F.struct("low", "high")).alias("runs")), "runs")
     texts = touched.select("row", "text").dropDuplicates(["row"])
     cut = texts.join(runs, "row").mapInPandas(_cut_rows, _fields("results"))

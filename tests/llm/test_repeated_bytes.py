@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,9 +34,9 @@ def test_query_against_plain_search(spark, table):
     assert result(LLM_QUERIES["op9_repeated_bytes"](spark, "/root/testdata/sf0.001")) == reference(docs)
 
 
-@pytest.mark.parametrize("bucket,step", [(rb.BUCKET, rb.STEP), (1, 64)])
-def test_edges_runs_and_overlaps(spark, monkeypatch, bucket, step):
-    monkeypatch.setattr(rb, "BUCKET", bucket)
+@pytest.mark.parametrize("piece,step", [(rb.PIECE, rb.STEP), (1, 64)])
+def test_edges_runs_and_overlaps(spark, monkeypatch, piece, step):
+    monkeypatch.setattr(rb, "PIECE", piece)
     monkeypatch.setattr(rb, "STEP", step)
     rng = random.Random(1)
 
@@ -65,6 +66,58 @@ def test_anchors_stand_at_equal_places_of_equal_strings():
     assert inside[0] == inside[1] and inside[0]
 
 
+@pytest.mark.parametrize("step", [rb.STEP, 128])
+def test_each_string_has_its_leftmost_smallest_gram_as_anchor(monkeypatch, step):
+    monkeypatch.setattr(rb, "STEP", step)
+    rng = random.Random(4)
+    noise = bytes(rng.randrange(97, 101) for _ in range(900))
+    for data in (noise, noise[:200] * 4, b"z" * 400, b"ab" * 150 + noise[:150] + b"ab" * 90, noise[:100], noise[:99], b""):
+        hashes = rb.gram_hashes(np.frombuffer(data, np.uint8)).tolist() if len(data) >= rb.GRAM else []
+        owner = {}
+        for p in range(len(data) - rb.DEPTH + 1):
+            span = hashes[p : p + rb.REACH + 1]
+            owner[p] = p + span.index(min(span))
+        got = {}
+        for gram, place, first, count in zip(*(column.tolist() for column in rb.anchors(data)), strict=True):
+            assert gram == hashes[place] and 0 < count <= rb.REACH + 1 and 0 <= place - first <= rb.REACH
+            for p in range(first, first + count):
+                assert p not in got
+                got[p] = place
+        assert got == owner
+
+
+def test_earliest_equal_against_longest_previous_factors():
+    """A suffix has an earlier equal exactly if its longest previous factor, found by brute force, reaches 100."""
+    rng = random.Random(5)
+    part = bytes(rng.randrange(2) for _ in range(260))
+    data = part + part[30:190] + bytes(50) + part[:140] + bytes(130) + part[100:230]
+    suffixes = [data[p : p + rb.DEPTH] for p in range(len(data) - rb.DEPTH + 1)]
+    longest = []
+    for p in range(len(suffixes)):
+        common = (next((n for n in range(rb.DEPTH) if data[q + n] != data[p + n]), rb.DEPTH) for q in range(p))
+        longest.append(max(common, default=0))
+    earliest = rb.longest_previous(np.array(suffixes, f"S{rb.DEPTH}"))
+    assert [e < p for p, e in enumerate(earliest)] == [n >= rb.DEPTH for n in longest]
+    assert all(suffixes[e] == suffixes[p] and suffixes.index(suffixes[p]) == e for p, e in enumerate(earliest.tolist()))
+    assert 100 < sum(n >= rb.DEPTH for n in longest) < len(longest) - 100
+
+
+@pytest.mark.parametrize("piece", [2, 3, 50, 5000])
+def test_an_anchor_over_many_pieces_and_partitions(spark, monkeypatch, piece):
+    monkeypatch.setattr(rb, "PIECE", piece)
+    rng = random.Random(6)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(130))
+
+    def edge():
+        return "".join(rng.choice("ijklmn") for _ in range(rng.randrange(60)))
+
+    docs = [(i, edge() + passage[rng.randrange(20) : 130 - rng.randrange(20)] + edge()) for i in range(120)]
+    rows = rb.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(7))
+    assert result(rows) == reference(docs)
+    again = rb.remove_repeats(spark.createDataFrame(docs[:40] * 2, "doc_id long, text string"))
+    assert result(again) == reference(docs[:40]) and again.count() == 80
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = rb.remove_repeats(odd_docs).collect()
     assert len(rows) == odd_docs.count()
