@@ -10,15 +10,14 @@ have an equal: these are found first.
    strings have equal anchors at equal places. Strings whose anchor occurs once have no equal.
 2. Contexts. Neighbouring strings with the same anchor are one context. Of equal contexts, all but the earliest
    have only strings that occurred before.
-3. Suffixes. Where an anchor has different contexts, the earliest of each are range-partitioned by anchor and
-   place, so an anchor with many contexts is spread over tasks. A piece of up to ``PIECE`` contexts is put in
-   suffix order, equal suffixes by place; a suffix whose predecessor agrees with it in 100 bytes has that as its
-   previous smaller position, and the next smaller one never lies among its equals. An anchor whose contexts came
-   in more than one piece hands on the earliest suffix of each kind from each piece; these are range-partitioned
-   by their 100 bytes and judged in the same way.
+3. Suffixes. Where an anchor has different contexts, the earliest of each are brought together in slices of about
+   ``PIECE``, so an anchor with many contexts is spread over tasks. A slice is put in suffix order, equal suffixes
+   by place; a suffix whose predecessor agrees with it in 100 bytes has that as its previous smaller position, and
+   the next smaller one never lies among its equals. An anchor with more than one slice hands on the earliest suffix
+   of each kind from each slice; these are range-partitioned by their 100 bytes and judged in the same way.
 
 Every string stands in one context, so each place is one suffix. Equal contexts are reduced to their earliest
-before rows are shuffled, and of a suffix that crosses pieces one row a piece is left.
+before rows are shuffled, and of a suffix that stands in several slices one row each is left.
 """
 
 from __future__ import annotations
@@ -37,8 +36,11 @@ from folioforge.llm.common import written
 #: Bytes of a repeated string, and of an anchor gram.
 DEPTH, GRAM = 100, 48
 REACH = DEPTH - GRAM
-#: Contexts that are put in suffix order at once. It bounds memory; results are the same for every value.
-PIECE = 2_000
+#: Contexts of an anchor that are put in suffix order at once, each with up to 53 suffixes of 100 bytes. It bounds the
+#: memory of a task; results are the same for every value.
+PIECE = 10_000
+#: Contexts of small slices that are looked at together at least; a matter of speed.
+LEAST = 2_000
 #: Bytes of a long document that are looked at in one step.
 STEP = 1 << 20
 #: The order key of documents without an id: after all others.
@@ -51,7 +53,7 @@ def _fields(kind: str) -> str:
     return {
         "anchors": "gram long, row long, span long",
         "contexts": "gram long, c1 long, c2 long, doc long, row long, low int, starts int",
-        "wanted": "gram long, doc long, row long, low int, starts int, context binary",
+        "wanted": "gram long, slice int, sliced boolean, doc long, row long, low int, starts int, context binary",
         "judged": "row long, low int, high int, doc long, suffix binary",
         "late": "row long, low int, high int",
         "results": "row long, n_removed long, n_spans long, kept_sha256 string",
@@ -162,14 +164,15 @@ def _context_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _wanted_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ["gram", "doc", "row", "low", "starts", "context"]
+    names = ["gram", "slice", "sliced", "doc", "row", "low", "starts", "context"]
     for batch in batches:
         out = []
         for doc, row, text, wanted in zip(batch["doc"], batch["row"], batch["text"], batch["wanted"], strict=True):
             data = _bytes(text)
             for place in wanted:
                 low, starts = place["low"], place["starts"]
-                out.append((place["gram"], doc, row, low, starts, data[low : low + starts + DEPTH - 1]))
+                context = data[low : low + starts + DEPTH - 1]
+                out.append((place["gram"], place["slice"], place["slices"] > 1, doc, row, low, starts, context))
         if out:
             yield pd.DataFrame(out, columns=names)
 
@@ -190,8 +193,9 @@ def longest_previous(suffixes: np.ndarray) -> np.ndarray:
     return earliest
 
 
-def _judged(contexts: pd.DataFrame, opened: set[int]) -> pd.DataFrame:
-    """Runs of late starts of ``contexts``, and the earliest suffix of each kind of the anchors in ``opened``."""
+def _judged(contexts: pd.DataFrame) -> pd.DataFrame:
+    """Runs of late starts of ``contexts``, and of sliced anchors the earliest suffix of each kind."""
+    contexts = contexts.sort_values(["doc", "row", "low"])
     counts = contexts["starts"].to_numpy()
     flat = np.frombuffer(b"".join(contexts["context"]), np.uint8)
     offsets = np.concatenate(([0], np.cumsum(counts + DEPTH - 1)[:-1]))
@@ -208,7 +212,7 @@ def _judged(contexts: pd.DataFrame, opened: set[int]) -> pd.DataFrame:
     breaks[1:-1] = (np.diff(places) != 1) | (np.diff(which[places]) != 0)
     starts, ends = places[np.flatnonzero(breaks[:-1])], places[np.flatnonzero(breaks[1:])]
     runs = pd.DataFrame({"row": row[starts], "low": at[starts], "high": at[ends], "doc": None, "suffix": None})
-    split = contexts["gram"].isin(opened).to_numpy()[which] & (earliest == np.arange(len(earliest)))
+    split = contexts["sliced"].to_numpy(bool)[which] & (earliest == np.arange(len(earliest)))
     if not split.any():
         return runs
     firsts = pd.DataFrame({"row": row[split], "low": at[split], "high": at[split]})
@@ -218,25 +222,19 @@ def _judged(contexts: pd.DataFrame, opened: set[int]) -> pd.DataFrame:
 
 
 def _judged_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Contexts come sorted by gram and place. Grams at the ends of the partition or of a full piece stay open."""
-    held, opened = pd.DataFrame(), None
+    """Contexts come sorted by gram and slice; slices are looked at as a whole, small ones together."""
+    held: list[pd.DataFrame] = []
     for batch in batches:
-        for first in range(0, len(batch), PIECE):
-            held = pd.concat([held, batch.iloc[first : first + PIECE]])
-            opened = {held["gram"].iloc[0]} if opened is None else opened
-            if len(held) < PIECE:
-                continue
-            last = held["gram"].iloc[-1]
-            whole = held["gram"] != last
-            if whole.any():
-                yield _judged(held[whole], opened)
-                held = held[~whole]
-            if len(held) >= PIECE:
-                opened.add(last)
-                yield _judged(held, opened)
-                held = held.iloc[:0]
-    if len(held):
-        yield _judged(held, opened | {held["gram"].iloc[-1]})
+        held.append(batch)
+        if sum(map(len, held)) < LEAST:
+            continue
+        rows = pd.concat(held)
+        whole = (rows["gram"] != rows["gram"].iloc[-1]) | (rows["slice"] != rows["slice"].iloc[-1])
+        held = [rows[~whole]]
+        if whole.any():
+            yield _judged(rows[whole])
+    if held:
+        yield _judged(pd.concat(held))
 
 
 def _late_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -298,12 +296,13 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     again = written(again.select("row", "low", (F.col("low") + F.col("starts") - 1).alias("high")), "again")
 
     varied = firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    wanted = firsts.join(varied, "gram").select("first.row", F.struct("gram", "first.low", "first.starts").alias("w"))
+    wanted = firsts.join(varied, "gram").select("gram", "first", F.ceil(F.col("n") / PIECE).cast("int").alias("slices"))
+    cut = F.pmod(F.xxhash64("first.row", "first.low"), "slices").cast("int").alias("slice")
+    wanted = wanted.select("first.row", F.struct("gram", cut, "slices", "first.low", "first.starts").alias("w"))
     wanted = wanted.groupBy("row").agg(F.collect_list("w").alias("wanted"))
     sources = written(touched.drop("places").join(wanted, "row").mapInPandas(_wanted_rows, _fields("wanted")), "sources")
-    ordered = ["gram", "doc", "row", "low"]
-    pieces = sources.repartitionByRange(*ordered).sortWithinPartitions(*ordered)
-    judged = written(pieces.mapInPandas(_judged_rows, _fields("judged")), "judged")
+    slices = sources.repartition("gram", "slice").sortWithinPartitions("gram", "slice")
+    judged = written(slices.mapInPandas(_judged_rows, _fields("judged")), "judged")
     crossing = judged.filter("suffix is not null").repartitionByRange("suffix").sortWithinPartitions("suffix", "doc", "row", "low")
     late = judged.filter("suffix is null").select("row", "low", "high")
     runs = again.union(late).union(crossing.mapInPandas(_late_rows, _fields("late")))
