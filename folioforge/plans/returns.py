@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions.temporal import stamp
@@ -182,31 +182,32 @@ def _performance(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: The size of a rate on a logarithmic scale with its sign: every digit of a large one still counts.
+_LOG_CAGR = "CASE WHEN isinf(cagr) THEN 1000 ELSE sign(cagr) * ln(1 + abs(cagr)) END"
 _SUMMARY = f"""SELECT portfolio_id, result_yyyymm, {day('beginning_dt')} AS beginning_dt,
-    {day('valuation_dt')} AS valuation_dt, {rounded('CASE WHEN isinf(cagr) THEN 1 ELSE cagr / (1 + abs(cagr)) END', 6)} AS cagr_scaled,
+    {day('valuation_dt')} AS valuation_dt, {rounded(_LOG_CAGR, 6)} AS log_cagr,
     {rounded('irr', 6)} AS irr, {rounded('xirr', 6)} AS xirr
     FROM growth LEFT JOIN irr_found USING (portfolio_id, result_yyyymm)
     LEFT JOIN xirr_found USING (portfolio_id, result_yyyymm)"""
 
 
-def _scaled(df: DataFrame) -> DataFrame:
-    """A month annualised to the power of 12 or more needs a bounded scale to be compared by digits."""
+def _log_cagr() -> Column:
+    """A month annualised to the power of 12 or more is compared by its logarithm; 1000, above every double's, if infinite."""
     infinite = F.col("cagr") == float("inf")
-    scaled = F.when(infinite, 1.0).otherwise(F.col("cagr") / (1 + F.abs("cagr"))).alias("cagr_scaled")
-    return present(
-        df.select(*MONTHLY, "beginning_dt", "valuation_dt", scaled, "irr", "xirr"), 6
-    )
+    return F.when(infinite, 1000.0).otherwise(F.signum("cagr") * F.log1p(F.abs("cagr"))).alias("log_cagr")
 
 
 @query("vw_portfolio_performance_summary", f"WITH RECURSIVE {_solver_sql('nation')} {_SUMMARY}")
 def vw_portfolio_performance_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return _scaled(_performance(spark, folder))
+    found = _performance(spark, folder).select(*MONTHLY, "beginning_dt", "valuation_dt", _log_cagr(), "irr", "xirr")
+    return present(found, 6)
 
 
 @query(
     "vw_portfolio_performance_asof",
     f"""WITH {_bounds_sql('nation')} SELECT portfolio_id, result_yyyymm, {day('valuation_dt')} AS valuation_dt,
-    {rounded('ending_value')} AS ending_value, {moment('valuation_dt + 1')} AS system_from_ts FROM growth
+    {rounded('ending_value')} AS ending_value, {rounded(_LOG_CAGR, 6)} AS log_cagr,
+    {moment('valuation_dt + 1')} AS system_from_ts FROM growth
     WHERE valuation_dt <= TIMESTAMP '1998-06-15' AND valuation_dt + 1 <= TIMESTAMP '1998-07-01'""",
 )
 def vw_portfolio_performance_asof(spark: SparkSession, folder: str) -> DataFrame:
@@ -214,7 +215,7 @@ def vw_portfolio_performance_asof(spark: SparkSession, folder: str) -> DataFrame
     results = returns.cagr(_bounds(spark, folder, "nation", MONTHLY), MONTHLY)
     published = stamp(results, "valuation_dt", F.date_add("valuation_dt", 1).cast("timestamp"))
     seen = reports.results_as_of(published, "1998-07-01 00:00:00", "1998-06-15 00:00:00")
-    return present(seen.select(*MONTHLY, "valuation_dt", "ending_value", "system_from_ts"))
+    return present(seen.select(*MONTHLY, "valuation_dt", "ending_value", _log_cagr(), "system_from_ts"), log_cagr=6)
 
 
 @query(
