@@ -58,17 +58,16 @@ def affected_months(batch: DataFrame, month: str) -> DataFrame:
 
 
 def merge_corrections(
-    existing: DataFrame, batch: DataFrame, keys: Sequence[str], month: str, latest_by: Sequence[str]
+    existing: DataFrame, arrived: DataFrame, keys: Sequence[str], month: str
 ) -> DataFrame:
     """New content of the months a batch touches: rows of the batch, and old rows whose key did not arrive.
 
-    Of rows that share a key within the batch the latest one is taken. Old rows are not compared with each
-    other, so what a month holds does not depend on which months a batch happens to touch. ``keys`` must
-    include the event month, since identifiers restart every month.
+    ``arrived`` is the batch with one row per key; it is read three times, so it should be a written table. Old
+    rows are not compared with each other, so what a month holds does not depend on which months a batch happens
+    to touch. ``keys`` must include the event month, since identifiers restart every month.
     """
     # One row per month: small enough to broadcast by nature, and it prunes the partitions to read.
-    months = F.broadcast(affected_months(batch, month))
-    arrived = latest_per_key(batch, list(keys), list(latest_by))
+    months = F.broadcast(affected_months(arrived, month))
     named = arrived.select(*[F.col(k).alias(f"_{k}") for k in keys])
     same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     kept = existing.join(months, month, "left_semi").join(named, same_key, "left_anti")

@@ -355,7 +355,7 @@ def tail_contribution(pnl: DataFrame, params: RunParams) -> DataFrame:
     # Days are ranked on their totals; the class sums of the few tail days are then looked up.
     tail = (
         by_class.groupBy(*DAY, "historical_dt")
-        .agg(F.round(F.sum("class_pnl"), 4).alias("_pnl"))
+        .agg(F.floor(F.sum("class_pnl") * 1e4 + 0.5).alias("_pnl"))
         .withColumns(
             {
                 "_rank": F.row_number().over(one_portfolio.orderBy("_pnl", "historical_dt")),

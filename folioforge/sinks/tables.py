@@ -36,11 +36,12 @@ def upsert_months(
 ) -> None:
     """Correct rows of the affected months and keep all others.
 
-    The merged months are staged first, because a table cannot be overwritten while it is read.
+    Of rows that share a key within the batch the latest one is taken. The batch is read once. The merged months are staged first, because a table cannot be overwritten while it is read.
     """
     spark = batch.sparkSession
     existing = spark.read.schema(batch.schema).parquet(path)
-    merged = merge_corrections(existing, batch, keys, month, latest_by)
+    arrived = materialize(latest_per_key(batch, list(keys), list(latest_by)), "arrived")
+    merged = merge_corrections(existing, arrived, keys, month)
     replace_months(materialize(merged, "upsert"), path, month)
 
 
@@ -117,7 +118,8 @@ def save_corrections(
         save_months(latest_per_key(batch, list(keys), list(latest_by)), table, month)
         return
     check_schema(batch, table)
-    merged = merge_corrections(spark.table(table), batch, keys, month, latest_by)
+    arrived = materialize(latest_per_key(batch, list(keys), list(latest_by)), "arrived")
+    merged = merge_corrections(spark.table(table), arrived, keys, month)
     save_months(materialize(merged, "corrections"), table, month)
 
 
