@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.temporal import known_at, open_end, stamp, ts, valid_at
 from folioforge.operators.keys import latest_per_key, version_chain
+from folioforge.operators.skew import lookup_join
 from folioforge.schemas import DIMENSION, FactSpec
 from folioforge.sources.tables import month_of
 
@@ -20,7 +21,8 @@ def build_fact(
     """Natural keys, surrogate keys of the current dimension rows, typed measures, bi-temporal stamp.
 
     ``references`` maps a dimension table to (business key, surrogate key). Dimensions join without a
-    hint: Catalyst broadcasts those whose size is known to be small and shuffles the others.
+    hint: Catalyst broadcasts those whose size is known to be small and shuffles the others. Rows without a key
+    are spread over all partitions of a shuffled join.
     """
     keys = [DIMENSION[name] for name in spec.dimensions]
     event_date = F.try_to_date(F.col(spec.event_date).cast("string"))
@@ -37,7 +39,7 @@ def build_fact(
     )
     enriched = typed
     for k in keys:
-        enriched = enriched.join(references[k.table], k.business_key, "left")
+        enriched = lookup_join(enriched, references[k.table], k.business_key, spec.key)
     ordered = enriched.select(
         spec.key,
         *natural,

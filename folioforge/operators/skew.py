@@ -49,3 +49,16 @@ def salted_join(
         F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)),
     )
     return sliced.drop("_salts").join(repeated.drop("_salts"), [key, "_slice"], how).drop("_slice")
+
+
+def lookup_join(df: DataFrame, reference: DataFrame, key: str, row_key: str) -> DataFrame:
+    """Left join on a text ``key`` where rows without one match nothing and are spread by a hash of ``row_key``.
+
+    A shuffled left join would send all null keys to one partition. Their place is taken by a text of their own in an
+    added join key; the key itself stays in the condition, so such a text can match no reference row.
+    """
+    stand_in = F.concat(F.lit("\0"), F.xxhash64(row_key).cast("string"))
+    spread = df.withColumn("_place", F.coalesce(F.col(key), stand_in))
+    named = reference.withColumnRenamed(key, "_key")
+    same = (F.col("_place") == F.col("_key")) & (F.col(key) == F.col("_key"))
+    return spread.join(named, same, "left").drop("_place", "_key")

@@ -11,8 +11,10 @@ from folioforge.operators import dimensions, keys, reports
 from folioforge.plans import inputs
 from folioforge.plans.model_sql import CASHFLOWS, LINES, POSITIONS, PRICES, TRANSACTIONS
 from folioforge.plans.registry import day, moment, present, query, rounded
+from folioforge.session import work_path
+from folioforge.sinks import tables as sinks
 from folioforge.sources import model
-from folioforge.sources.tables import load, month_of, within_lookback
+from folioforge.sources.tables import batch_of, load, month_of, within_lookback
 
 
 @query(
@@ -21,7 +23,10 @@ from folioforge.sources.tables import load, month_of, within_lookback
     {rounded('gross_amount')} AS gross_amount, source_yyyymm FROM tx WHERE source_yyyymm = '199612'""",
 )
 def batch_month_scan(spark: SparkSession, folder: str) -> DataFrame:
-    batch = model.transactions(spark, folder).where(F.col("source_yyyymm") == "199612")
+    """One batch of the raw table, which is kept by batch month."""
+    raw = work_path(spark, "transactions-raw")
+    sinks.replace_months(model.transactions(spark, folder), raw, "source_yyyymm")
+    batch = batch_of(spark, raw, "199612")
     return present(
         batch.select(
             "transaction_id", "portfolio_id", "instrument_id", "trade_dt", "gross_amount", "source_yyyymm"

@@ -15,7 +15,7 @@ from folioforge.session import materialize, work_path
 from folioforge.sinks import tables as sinks
 from folioforge.sources import model
 from folioforge.sources.landing import land, read_landed
-from folioforge.streaming.ingest import ingest_stream
+from folioforge.streaming.ingest import ingest_stream, read_ingested
 
 _DATASET = "cashflows"
 _DECLARED = LANDED[_DATASET]
@@ -47,17 +47,23 @@ def _landed(spark: SparkSession, folder: str) -> str:
     return path
 
 
-def _landed_with_drift(spark: SparkSession, folder: str) -> list[str]:
-    """The same feed with a changed column list in the later batches."""
+def _layouts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The feed before and after its column list changes."""
     outgoing = _outgoing(spark, folder)
     later = F.col("source_yyyymm") >= _NEW_LAYOUT_FROM
-    old, new = work_path(spark, "landing"), work_path(spark, "landing")
-    land(outgoing.where(~later), old, "source_yyyymm")
     changed = outgoing.where(later).withColumn("channel", F.lower("cashflow_type"))
     order = ["channel", "cashflow_id", "portfolio_id", "cashflow_dt", "cashflow_amount",
              "cashflow_type", "instrument_id", "as_of_month", "source_yyyymm"]
-    land(changed.select(*order), new, "source_yyyymm")
-    return [old, new]
+    return outgoing.where(~later), changed.select(*order)
+
+
+def _landed_with_drift(spark: SparkSession, folder: str) -> list[str]:
+    """The same feed with a changed column list in the later batches."""
+    paths = []
+    for part in _layouts(spark, folder):
+        paths.append(work_path(spark, "landing"))
+        land(part, paths[-1], "source_yyyymm")
+    return paths
 
 
 def _ingest(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -111,7 +117,7 @@ def bronze_lineage(spark: SparkSession, folder: str) -> DataFrame:
     FROM cashflows GROUP BY 1, 2""",
 )
 def bronze_corrupt_split(spark: SparkSession, folder: str) -> DataFrame:
-    # Recorded first: the corrupt column only exists while the whole record is parsed.
+    # Recorded first: both parts are made from it.
     raw = materialize(_ingest(spark, _landed(spark, folder)), "bronze")
     clean, corrupt = bronze.split_corrupt(raw)
     parts = clean.withColumn("part", F.lit("clean")).unionByName(
@@ -151,8 +157,7 @@ def bronze_stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
         ingest_stream(
             spark, landed, _DECLARED, table, progress, "cashflow", PARAMS.load_id, AS_OF
         ).awaitTermination()
-    schema = T.StructType([f for f in _ingest(spark, landed).schema])
-    return present(spark.read.schema(schema).parquet(table).select(*_SHOWN, "currency_code"))
+    return present(read_ingested(spark, table).select(*_SHOWN, "currency_code"))
 
 
 _LAYOUT = f"""CASE WHEN source_yyyymm < '{_NEW_LAYOUT_FROM}'
@@ -160,6 +165,37 @@ _LAYOUT = f"""CASE WHEN source_yyyymm < '{_NEW_LAYOUT_FROM}'
     ELSE 'as_of_month,cashflow_amount,cashflow_dt,cashflow_id,cashflow_type,channel,instrument_id,portfolio_id' END"""
 
 
+@query(
+    "bronze_stream_drift",
+    f"""WITH {CASHFLOWS} SELECT {_ROW}, source_yyyymm, {_LAYOUT} AS source_column_list,
+    CASE WHEN source_yyyymm >= '{_NEW_LAYOUT_FROM}' THEN lower(cashflow_type) END AS channel,
+    CASE WHEN source_yyyymm < '{_NEW_LAYOUT_FROM}' THEN currency_code END AS currency_code,
+    source_yyyymm < '{_NEW_LAYOUT_FROM}' AS first_run FROM cashflows""",
+)
+def bronze_stream_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """The sender changes its columns between two runs of the stream; a third run finds nothing new."""
+    landing, table = work_path(spark, "landing"), work_path(spark, "cashflows-stream")
+    progress = work_path(spark, "stream-progress")
+    old, new = _layouts(spark, folder)
+
+    def run(load_id: str) -> None:
+        ingest_stream(spark, landing, _DECLARED, table, progress, "cashflow", load_id, AS_OF).awaitTermination()
+
+    land(old, f"{landing}/first", "source_yyyymm")
+    run("first")
+    land(new, f"{landing}/second", "source_yyyymm")
+    run("second")
+    run("third")
+    raw = read_ingested(spark, table)
+    return present(
+        raw.select(
+            "cashflow_id", "portfolio_id", "cashflow_dt", "cashflow_type", "cashflow_amount", "source_yyyymm",
+            F.array_join("source_column_list", ",").alias("source_column_list"), "channel", "currency_code",
+            (F.col("load_id") == "first").alias("first_run"),
+        )
+    )
+
+
 @query(
     "source_column_list",
     f"""WITH {CASHFLOWS} SELECT source_yyyymm, {_LAYOUT} AS source_column_list, count(*) AS record_count

@@ -29,3 +29,8 @@ def within_lookback(date: str, as_of: str | Column, months: int) -> Column:
     """Dates in the ``months`` before ``as_of``, which is included."""
     end = F.to_date(F.lit(as_of)) if isinstance(as_of, str) else as_of
     return (F.col(date) > F.add_months(end, -months)) & (F.col(date) <= end)
+
+
+def batch_of(spark: SparkSession, path: str, month: str) -> DataFrame:
+    """One batch of a raw table partitioned by ``source_yyyymm``: the scan lists and reads that partition only."""
+    return configure(spark).read.parquet(path).where(F.col("source_yyyymm") == month)

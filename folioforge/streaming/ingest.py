@@ -1,36 +1,17 @@
-"""Incremental ingest of landed files: a stateless stream that picks up new files only."""
+"""Incremental ingest of landed files: a stream that picks up new files only, whatever their headers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from folioforge.operators.bronze import with_control_columns
-from folioforge.schemas import CORRUPT
+from folioforge.operators.bronze import align, with_control_columns
+from folioforge.sources.landing import LINE_OPTIONS, parse_lines, with_lineage
 
-
-def read_landed_stream(spark: SparkSession, path: str, declared: T.StructType) -> DataFrame:
-    """Files under ``path`` as they arrive. All of them must carry the declared header."""
-    schema = T.StructType([*declared.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.readStream.schema(schema)
-        .options(
-            header="true",
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=CORRUPT,
-            recursiveFileLookup="true",
-            enforceSchema="false",
-        )
-        .csv(path)
-        .select(
-            "*",
-            F.col("_metadata.file_path").alias("source_file_path"),
-            F.col("_metadata.file_name").alias("source_file_name"),
-            F.lit([f.name for f in declared]).alias("_columns"),
-        )
-    )
+#: Names the stream and the micro-batch that wrote a row.
+BATCH = "ingest_batch"
 
 
 def ingest_stream(
@@ -42,15 +23,43 @@ def ingest_stream(
     grain: str,
     load_id: str,
     ingestion_ts: str,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Append what is new since the last run, then stop. A rerun from the same checkpoint adds nothing."""
-    raw = with_control_columns(
-        read_landed_stream(spark, path, declared), grain, load_id, ingestion_ts
-    )
+    """Append what is new since the last run, then stop. A rerun from the same checkpoint adds nothing.
+
+    The stream carries lines; each micro-batch parses them by the headers of its own files, with the rules of
+    the batch reader: new columns are kept as text, missing ones are null. A micro-batch owns the
+    partitions with its name, which holds the id in the checkpoint, and replaces them if it has to run again,
+    so each file counts once even after a failure between writing and recording progress.
+    """
+    reader = spark.readStream.options(**LINE_OPTIONS)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+
+    def write(lines: DataFrame, number: int) -> None:
+        landed = parse_lines(lines, declared)
+        if landed is None:
+            return
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        raw = with_control_columns(align(landed, declared), grain, load_id, ingestion_ts)
+        (
+            raw.withColumn(BATCH, F.lit(f"{stream}-{number:010d}"))
+            .hint("rebalance", "source_yyyymm")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BATCH, "source_yyyymm")
+            .parquet(table_path)
+        )
+
     return (
-        raw.writeStream.format("parquet")
+        with_lineage(reader.text(path))
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("source_yyyymm")
         .trigger(availableNow=True)
-        .start(table_path)
+        .start()
     )
+
+
+def read_ingested(spark: SparkSession, table_path: str) -> DataFrame:
+    """What the stream has written, with the columns of all its batches."""
+    return spark.read.option("mergeSchema", "true").parquet(table_path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.temporal import stamp, valid_at
 from folioforge.operators import facts
+from folioforge.operators.skew import lookup_join
 from folioforge.schemas import FACT
 from folioforge.session import work_path
 from folioforge.sinks import tables as sinks
@@ -199,3 +200,21 @@ def test_log_keeps_every_answer(spark, rows):
     load(t, "2026-05-01 00:00:00", [("b", "1", 7)])
     assert known(t, "2026-06-01 00:00:00") == [("a", "1", 10), ("b", "1", 7), ("c", "2", 3)]
     assert known(t, "2026-04-15 00:00:00") == third
+
+
+def test_rows_without_a_key_are_spread(spark, rows):
+    facts_ = spark.range(4000).select(
+        F.concat(F.lit("F"), "id").alias("row"), F.when(F.col("id") % 100 == 0, F.concat(F.lit("K"), F.col("id") % 300)).alias("k"))
+    reference = spark.createDataFrame([("K0", 1), ("K100", 2), (None, 3)], "k string, sk long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = lookup_join(facts_, reference, "k", "row")
+        assert joined.columns == ["row", "k", "sk"]
+        assert rows(joined.groupBy("k", "sk").count()) == rows(facts_.join(reference, "k", "left").groupBy("k", "sk").count())
+        placed = joined.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        assert len(placed) == 8 and max(r["count"] for r in placed) < 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

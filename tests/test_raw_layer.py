@@ -7,8 +7,10 @@ from pyspark.sql import types as T
 from folioforge.operators import bronze, quality
 from folioforge.schemas import LANDED
 from folioforge.session import materialize
-from folioforge.sources.landing import event_files, read_landed
-from folioforge.streaming.ingest import ingest_stream
+from folioforge.sinks.tables import replace_months
+from folioforge.sources.landing import event_files, header_columns, read_landed
+from folioforge.sources.tables import batch_of
+from folioforge.streaming.ingest import BATCH, ingest_stream, read_ingested
 
 DECLARED = LANDED["currencies"]
 AT = "2026-02-01 00:00:00"
@@ -75,6 +77,76 @@ def test_stream_picks_up_new_files_only(spark, rows, tmp_path):
     assert run() == [("EUR", "202601", True), ("GBP", "202602", False), ("USD", "202601", False)]
 
 
+def stream(spark, landing, table, progress, **more):
+    ingest_stream(spark, str(landing), DECLARED, table, progress, "snapshot", "l1", AT, **more).awaitTermination()
+    return read_ingested(spark, table)
+
+
+def test_stream_takes_changed_headers(spark, rows, tmp_path):
+    landing, table, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    put(landing, "a.csv", "currency_code,currency_name,decimal_precision,as_of_month\nUSD,Dollar,2,202601\n")
+    assert stream(spark, landing, table, progress).count() == 1
+    # one column more, one less, another order, and a file of the first layout in the same batch
+    put(landing, "b.csv", "as_of_month,symbol,currency_code,decimal_precision\n202602,E,EUR,2\n", "202602")
+    put(landing, "c.csv", "currency_code,currency_name,decimal_precision,as_of_month\nGBP,Pound,x,202602\n", "202602")
+    shown = ("currency_code", "currency_name", "symbol", "source_yyyymm", "is_corrupt_record", "source_file_name")
+    want = [("EUR", None, "E", "202602", False, "b.csv"), ("GBP", "Pound", None, "202602", True, "c.csv"),
+            ("USD", "Dollar", None, "202601", False, "a.csv")]
+    assert rows(stream(spark, landing, table, progress), *shown) == want
+    assert rows(stream(spark, landing, table, progress), *shown) == want
+    lists = stream(spark, landing, table, progress).where("currency_code = 'EUR'").select("source_column_list").first()
+    assert lists[0] == ["as_of_month", "currency_code", "decimal_precision", "symbol"]
+
+
+def test_batch_that_runs_again_replaces_its_rows(spark, rows, tmp_path):
+    """Progress of the last micro-batch is lost after its rows were written, as in a crash between the two."""
+    landing, table, progress = tmp_path / "in", str(tmp_path / "out"), tmp_path / "cp"
+    for n in range(3):
+        put(landing, f"{n}.csv", f"currency_code,note{n}\nC{n},text\n")
+    raw = stream(spark, landing, table, str(progress), files_per_batch=1)
+    assert raw.select(BATCH).distinct().count() == 3
+    want = rows(raw, "currency_code", "note0", "note1", "note2", BATCH)
+    for name in ("2", ".2.crc"):
+        (progress / "commits" / name).unlink(missing_ok=True)
+    assert rows(stream(spark, landing, table, str(progress)), "currency_code", "note0", "note1", "note2", BATCH) == want
+    # a stream of its own does not touch the rows of the first
+    assert stream(spark, landing, table, str(tmp_path / "cp2")).count() == 6
+
+
+def test_streams_of_blank_files_write_nothing(spark, tmp_path):
+    landing, table = tmp_path / "in", tmp_path / "out"
+    put(landing, "a.csv", "\n\n")
+    ingest_stream(spark, str(landing), DECLARED, str(table), str(tmp_path / "cp"), "snapshot", "l1", AT).awaitTermination()
+    assert not table.exists()
+
+
+def test_headers(spark, rows, tmp_path):
+    assert header_columns("\ufeffa,,b,A,_corrupt_record") == ["a", "_c1", "b", "A_3", "_corrupt_record_4"]
+    put(tmp_path, "a.csv", "\ufeff\n\ncurrency_code,note,note,\r\nUSD,x,y,z\r\n\r\n\"E,R\",\"\",,\r\n")
+    # joined end to end: the second header is no record
+    put(tmp_path, "b.csv", "Currency_Code,`odd`\nGBP,1\nCurrency_Code,`odd`\nINR,2\n")
+    put(tmp_path, "c.csv", "currency_code\n")
+    raw = read_landed(spark, str(tmp_path), DECLARED)
+    assert rows(raw, "currency_code", "note", "note_2", "_c3", "```odd```", "_corrupt_record") == [
+        ("E,R", None, None, None, None, None), ("GBP", None, None, None, "1", None), ("INR", None, None, None, "2", None),
+        ("USD", "x", "y", "z", None, None)]
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1  # whatever the number of headers
+
+
+def test_split_files_have_one_header(spark, rows, tmp_path):
+    lines = [f"C{n:05d},Name {n},{n % 7},202601" for n in range(3000)]
+    put(tmp_path, "a.csv", "currency_code,currency_name,decimal_precision,as_of_month\n" + "\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        raw = read_landed(spark, str(tmp_path), DECLARED)
+        assert raw.select(F.spark_partition_id()).distinct().count() > 3
+        assert rows(raw.where("_corrupt_record IS NULL"), "currency_code") == [(f"C{n:05d}",) for n in range(3000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_align_and_project(spark):
     df = spark.createDataFrame([("a", "1")], "z string, b string")
     target = T.StructType([T.StructField("b", T.StringType()), T.StructField("c", T.DoubleType())])
@@ -104,3 +176,13 @@ def test_quality_rules(spark, rows):
     assert rows(accepted, "k", "v") == [("a", 1.0)]
     assert rows(rejected, "reject_reasons") == [(["dated", "positive"],), (["dated", "positive"],), (["dated"],)]
     assert accepted.count() + rejected.count() == df.count()
+
+
+def test_batch_scan_reads_one_partition(spark, rows, tmp_path):
+    raw = spark.createDataFrame([("a", "202601"), ("b", "202602"), ("c", None)], "k string, source_yyyymm string")
+    replace_months(raw, str(tmp_path / "raw"), "source_yyyymm")
+    batch = batch_of(spark, str(tmp_path / "raw"), "202601")
+    assert rows(batch, "k", "source_yyyymm") == [("a", "202601")]
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source_yyyymm" in plan and "PushedFilters: []" in plan
+    assert rows(batch_of(spark, str(tmp_path / "raw"), "209901")) == []
