@@ -4,8 +4,12 @@ Words are symbols. A random walk reads a window of an item's size and repeats or
 of (step, symbol); two windows a few edits apart give walks that agree in most steps (the CGK embedding: edit
 distance becomes Hamming distance). Each repetition draws a walk and samples a few of its steps; windows that
 agree with an item there are candidates, which are compared by exact edit distance. The number of
-repetitions is set so that an item with the largest allowed number of edits is found with the target
-probability; an unedited item always is.
+repetitions is set so that, at each length, an item with the largest allowed number of edits is found with the
+target probability; an unedited item always is.
+
+Long items are cut into pieces of ``PIECE`` to ``2 * PIECE - 1`` words, and the pieces are walked: if an item has at
+most its share of edits, so has one of its pieces. Whole items are compared around each piece that is found. Items so
+short that no edit is allowed are found exactly, by hashes of windows of their length and then word by word.
 
 Windows start at every word. Before they are walked, those that cannot hold an item are left out: a window
 within ``d`` edits of an item of ``n`` words has at least ``n - d`` words of the items' vocabulary.
@@ -26,8 +30,10 @@ from pyspark.sql import functions as F
 #: Allowed edits as a share of an item's words.
 EDITS = 0.15
 TARGET_RECALL, SAMPLES, MOST_REPEATS = 0.95, 3, 64
-#: Items of fewer words are not searched: ordinary text repeats them.
-LEAST_WORDS = 8
+#: Items of twice as many words or more are searched by pieces.
+PIECE = 32
+#: Trial edits for each length of an item or piece.
+TRIALS = 200
 #: Words that are walked at once.
 CHUNK = 200_000
 #: Bytes of items that are sent to the tasks at once; larger benchmarks are searched in blocks.
@@ -69,46 +75,72 @@ class Index:
     def __init__(self, items: list[tuple[int, str]]):
         self.other, self.pad = _symbol("\x00other"), _symbol("\x00end")
         known = [(i, tokens(t)) for i, t in items]
-        known = [(i, w) for i, w in known if len(w) >= LEAST_WORDS]
+        known = [(i, w) for i, w in known if w]
         self.symbols = {w: _symbol(w) for _, ws in known for w in ws}
         self.items = [(i, np.array([self.symbols[w] for w in ws], np.uint64)) for i, ws in known]
+        # (item, place of the piece in it, words of the piece)
+        self.pieces = []
+        for k, (_, words) in enumerate(self.items):
+            if allowed(len(words)) > 0:
+                n = max(1, len(words) // PIECE)
+                cuts = [len(words) * c // n for c in range(n + 1)]
+                self.pieces += [(k, a, words[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
         draw = np.random.default_rng(20240613)
-        self.longest = max((len(s) for _, s in self.items), default=0)
+        self.longest = max((len(w) for _, _, w in self.pieces), default=0)
         steps = 2 * self.longest + 1
         self.walks = draw.integers(0, 1 << 63, (MOST_REPEATS, steps), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.classes = []
-        order = sorted(range(len(self.items)), key=lambda k: len(self.items[k][1]))
+        order = sorted(range(len(self.pieces)), key=lambda k: len(self.pieces[k][2]))
         while order:
-            low = len(self.items[order[0]][1])
-            group = [k for k in order if len(self.items[k][1]) <= low + max(3, low // 4)]
+            low = len(self.pieces[order[0]][2])
+            group = [k for k in order if len(self.pieces[k][2]) <= low + max(3, low // 4)]
             order = order[len(group) :]
             self.classes.append(self._class(low, group, draw))
+        self.short = []
+        for n in sorted({len(w) for _, w in self.items if allowed(len(w)) == 0}):
+            own = np.array([k for k, (_, w) in enumerate(self.items) if len(w) == n])
+            words = np.stack([self.items[k][1] for k in own])
+            keys = self._window_keys(words.reshape(-1), n)[::n]
+            by = np.argsort(keys, kind="stable")
+            self.short.append((n, keys[by], own[by], words[by]))
+
+    @staticmethod
+    def _window_keys(symbols: np.ndarray, n: int) -> np.ndarray:
+        """A hash of the ``n`` symbols from each place on."""
+        key = np.zeros(len(symbols) - n + 1, np.uint64)
+        for i in range(n):
+            key = (key + symbols[i : i + len(key)]) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(31)
+        return key
 
     def _class(self, low: int, group: list[int], draw) -> dict:
         span = max(SAMPLES, low * 3 // 2)
         samples = np.array([np.sort(draw.choice(span, SAMPLES, replace=False)) for _ in range(MOST_REPEATS)])
-        most = max(len(self.items[k][1]) for k in group)
+        sizes = [len(self.pieces[k][2]) for k in group]
+        most = max(sizes)
         own = {"low": low, "most": most, "edits": allowed(most), "samples": samples}
-        starts, flat = self._flat([self.items[k][1] for k in group])
+        starts, flat = self._flat([self.pieces[k][2] for k in group])
         keys = [self._keys(flat, starts, r, samples[r]) for r in range(MOST_REPEATS)]
-        # trial edits of the items themselves give the chance that one repetition finds one
+        # trial edits of the items themselves give the chance that one repetition finds one; it depends on the length
         edited, of = [], []
-        for k in group:
-            word = self.items[k][1]
-            for _ in range(max(1, 400 // len(group))):
+        for at_group, k in enumerate(group):
+            word = self.pieces[k][2]
+            for _ in range(math.ceil(TRIALS / sizes.count(len(word)))):
                 copy = list(word)
                 for _ in range(allowed(len(word))):
                     at, kind = int(draw.integers(0, len(copy))), draw.integers(0, 3)
                     copy[at : at + (kind != 0)] = [] if kind == 1 else [self.other]
                 edited.append(np.array(copy, np.uint64))
-                of.append(group.index(k))
+                of.append(at_group)
         places, text = self._flat(edited)
         of = np.array(of)
         hit = np.zeros(len(edited), bool)
+        length = np.array(sizes)[of]
+        trials = np.maximum(np.bincount(length), 1)
         own["repeats"] = MOST_REPEATS
         for r in range(MOST_REPEATS):
             hit |= self._keys(text, places, r, samples[r]) == keys[r][of]
-            if hit.mean() >= TARGET_RECALL:
+            if (np.bincount(length[~hit], minlength=most + 1) <= (1 - TARGET_RECALL) * trials).all():
                 own["repeats"] = r + 1
                 break
         own["sorted"] = []
@@ -119,7 +151,7 @@ class Index:
 
     def _flat(self, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Parts one after another, each followed by padding, and their starts."""
-        gap = np.full(2 * self.longest + 2, self.pad, np.uint64)
+        gap = np.full(2 * self.longest + math.ceil(1 / EDITS), self.pad, np.uint64)
         sizes = np.array([len(p) + len(gap) for p in parts])
         return np.concatenate(([0], np.cumsum(sizes)[:-1])), np.concatenate([x for p in parts for x in (p, gap)])
 
@@ -138,7 +170,7 @@ class Index:
         return key
 
     def candidates(self, symbols: np.ndarray, group: dict) -> tuple[np.ndarray, np.ndarray]:
-        """Items and starts of windows of ``symbols`` that agree with an item in a repetition."""
+        """Pieces and starts of windows of ``symbols`` that agree with a piece in a repetition."""
         low = group["low"]
         need = low - group["edits"]
         seen = np.concatenate(([0], np.cumsum((symbols != self.other) & (symbols != self.pad))))
@@ -178,10 +210,25 @@ class Index:
             items, starts = self.candidates(flat, group)
             owners = np.searchsorted(offsets, starts, "right") - 1
             near: dict[tuple[int, int], list[int]] = {}
-            for item, start, owner in zip(items.tolist(), starts.tolist(), owners.tolist(), strict=True):
-                near.setdefault((owner, item), []).append(start - int(offsets[owner]))
+            for piece, start, owner in zip(items.tolist(), starts.tolist(), owners.tolist(), strict=True):
+                item, before, _ = self.pieces[piece]
+                near.setdefault((owner, item), []).append(start - int(offsets[owner]) - before)
             for (owner, item), at in near.items():
-                self._compare(parts[owner], item, at, best, (owner, item))
+                self._compare(parts[owner], item, sorted(at), best, (owner, item))
+        for n, keys, owned, words in self.short:
+            own = self._window_keys(flat, n)
+            first, last = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+            while (hit := first < last).any():  # items with equal keys
+                at, which = np.flatnonzero(hit), first[hit]
+                same = (flat[at[:, None] + np.arange(n)] == words[which]).all(axis=1)
+                at, which = at[same], owned[which[same]]
+                owners = np.searchsorted(offsets, at, "right") - 1
+                _, earliest = np.unique(np.stack((owners, which)), axis=1, return_index=True)
+                for k in earliest.tolist():
+                    owner = int(owners[k])
+                    found = (0, int(at[k]) - int(offsets[owner]) + n)
+                    best[owner, int(which[k])] = min(best.get((owner, int(which[k])), found), found)
+                first = first + 1
         for (owner, item), (edits, end) in sorted(best.items()):
             yield owner, (self.items[item][0], edits, len(self.items[item][1]), end)
 
@@ -189,7 +236,7 @@ class Index:
         word = self.items[item][1]
         slack = allowed(len(word))
         while starts:
-            # windows that overlap are compared in one go
+            # windows that overlap are compared in one go; a start can lie before the text
             size = next((i for i in range(1, len(starts)) if starts[i] > starts[i - 1] + len(word)), len(starts))
             first, last = max(0, starts[0] - slack), starts[size - 1] + len(word) + slack
             part = symbols[first:last]
@@ -216,8 +263,8 @@ NAMES = ("item_id", "edits", "item_words", "end_word")
 def leaks_in(text: Column, benchmark: DataFrame, item: str = "item_id", words: str = "text") -> list[Column]:
     """For each block of the benchmark a column with the items found in ``text``.
 
-    Null and empty texts, and texts without a word, hold nothing. Items without id or text, or of fewer than
-    ``LEAST_WORDS`` words, are not searched; equal items are each reported. An empty benchmark has no
+    Null and empty texts, and texts without a word, hold nothing. Items without id, text or
+    word are not searched; equal items are each reported, repeated rows of the benchmark once each. An empty benchmark has no
     block.
     """
     given = benchmark.filter(F.col(item).isNotNull() & F.col(words).isNotNull())
@@ -241,7 +288,10 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
 
 
 def drop_leaking(df: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``df`` whose text holds no item of the benchmark."""
+    """The rows of ``df`` whose text holds no item of the benchmark.
+
+    Rows with a null or empty text stay, repeated rows stay or go together, and an empty benchmark drops nothing.
+    """
     for column in leaks_in(F.col(f"`{text}`"), benchmark):
         df = df.filter(F.size(column) == 0)
     return df

@@ -88,3 +88,47 @@ def test_blocks_give_the_same(spark, items, monkeypatch):
     whole = sorted(map(tuple, dc.find_leaks(docs, benchmark).collect()))
     monkeypatch.setattr(dc, "BLOCK_BYTES", 3000)
     assert sorted(map(tuple, dc.find_leaks(docs, benchmark).collect())) == whole and len(whole) >= 2
+
+
+def test_short_items_are_found_verbatim():
+    rng = random.Random(8)
+    words = [f"w{n}" for n in range(300)]
+    items = [(n, " ".join(rng.choice(words) for _ in range(1 + n % 7))) for n in range(140)]
+    items += [(200, items[3][1]), (201, "?!"), (202, None)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(0, 60))) for _ in range(200)]
+    texts += [f"{a} {i}, {b}" for (_, i), a, b in zip(items, texts, reversed(texts), strict=False)] + ["", None]
+    got = {(t, i): (e, end) for t, leaks in enumerate(dc.Index(items).leaks(texts)) for i, e, _, end in leaks}
+    want = {}
+    for t, text in enumerate(texts):
+        have = dc.tokens(text)
+        for i, item in items:
+            own = dc.tokens(item)
+            ends = [p + len(own) for p in range(len(have) - len(own) + 1) if own and have[p : p + len(own)] == own]
+            if ends:
+                want[t, i] = ends[0]
+    short = {i for i, item in items if dc.allowed(len(dc.tokens(item))) == 0}
+    assert {k: end for k, (_, end) in got.items() if k[1] in short} == {k: e for k, e in want.items() if k[1] in short}
+    assert set(want) <= set(got) and all(got[k][0] == 0 for k in want)
+
+
+def test_recall_of_long_items():
+    """Items of 100 to 1,000 words with as many edits as allowed, between other words of the same kind."""
+    rng = random.Random(12)
+    words = [f"w{n}" for n in range(2000)]
+    items = [(n, " ".join(rng.choice(words) for _ in range(size))) for n, size in enumerate([100, 250, 500, 1000] * 5)]
+    texts, where = [], []
+    for i, text in items:
+        for _ in range(5):
+            own = dc.tokens(text)
+            own = edited(rng, own, dc.allowed(len(own)))
+            around = [rng.choice(words) for _ in range(400)]
+            texts.append(" ".join(around[:200] + own + around[200:]))
+            where.append(i)
+    index = dc.Index(items)
+    leaks = index.leaks(texts)
+    assert sum(any(x[0] == i for x in found) for i, found in zip(where, leaks, strict=True)) >= 0.95 * len(texts)
+    for text, found in list(zip(texts, leaks, strict=True))[::20]:
+        for i, edits, _, _ in found:
+            assert edits == distance(dc.tokens(items[i][1]), dc.tokens(text))
+    assert index.longest < 2 * dc.PIECE
+    assert not any(index.leaks([" ".join(rng.choice(words) for _ in range(3000))]))
