@@ -56,8 +56,16 @@ def op1_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
-LLM_ORACLES["op5_preference_pairs"] = """WITH t AS (
-    SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+LLM_ORACLES["op5_preference_pairs"] = """WITH c AS (
+    SELECT conv_id AS pair_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+  ends AS (SELECT pair_id, max(turn) AS turn FROM c WHERE role = 'assistant' GROUP BY pair_id),
+  replies AS (SELECT pair_id, turn AS last, max(text) AS reply FROM c JOIN ends USING (pair_id, turn)
+    WHERE role = 'assistant' GROUP BY ALL),
+  pairs AS (SELECT a.pair_id, a.last, b.reply AS other FROM replies a
+    JOIN replies b ON b.pair_id = a.pair_id + CASE a.pair_id % 2 WHEN 0 THEN 1 ELSE -1 END),
+  t AS (SELECT pair_id, 0 AS side, turn, role, text FROM c JOIN pairs USING (pair_id) WHERE turn IS NULL OR turn <= last
+    UNION ALL SELECT pair_id, 1, turn, role, text FROM c JOIN pairs USING (pair_id) WHERE turn IS NULL OR turn < last
+    UNION ALL SELECT pair_id, 1, last, 'assistant', other FROM pairs),
   places AS (SELECT pair_id, turn, count(*) = 2 AND count(DISTINCT side) = 2 AND min(role) = max(role)
       AND min(text) = max(text) AS same FROM t GROUP BY ALL),
   splits AS (SELECT pair_id, min(turn) FILTER (WHERE NOT same) AS split FROM places GROUP BY pair_id),
@@ -86,7 +94,7 @@ LLM_ORACLES["op7_line_windows"] = f"""WITH d AS (
 
 @query
 def op5_preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return preferences.format_pairs(preferences.neighbours(load(spark, folder, "conversations")))
+    return preferences.format_pairs(preferences.swapped_replies(load(spark, folder, "conversations")))
 
 
 @query

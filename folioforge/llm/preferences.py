@@ -25,8 +25,8 @@ def format_pairs(turns: DataFrame, trained_role: str = "assistant") -> DataFrame
 
     A null role or text renders as empty and equals another null only; a null turn comes first. Rows that
     repeat a (side, turn) all stay and are compared as a bag, by count and sums of two hashes. A pair with one side has no prompt. Equal sides
-    make a prompt without completions. An empty table gives no rows. Other columns are dropped. No row or
-    task gathers a conversation, so its length has no bound.
+    make a prompt without completions. An empty table gives no rows. Other columns are dropped. No row
+    gathers a conversation, so its length has no bound.
     """
     own = turns.select("pair_id", "side", "turn", "role", "text")
     said = [F.xxhash64("role", "text", F.col("role").isNull(), F.col("text").isNull()), F.xxhash64(F.lit(1), "text", "role")]
@@ -70,3 +70,32 @@ def neighbours(conversations: DataFrame) -> DataFrame:
         "role",
         "text",
     )
+
+
+def swapped_replies(conversations: DataFrame, replier: str = "assistant") -> DataFrame:
+    """Each conversation with its own last reply as the chosen side, and with its neighbour's as the rejected one.
+
+    Neighbours are conversations 2k and 2k + 1; ``pair_id`` is the conversation's own id. The chosen side ends with the
+    turn of the last reply, and the rejected side has all turns before it and, at that turn, the neighbour's last reply.
+    So the turns before are shared, and equal replies make equal sides.
+
+    Rows without conv_id belong to no conversation, and a reply needs a turn. Of several replies at the last turn the
+    greatest text counts as the neighbour's, a null text being least; the chosen side keeps them all. Null turns come
+    first, so both sides have them. A conversation without a reply, or whose neighbour has none, makes no pair, since
+    nothing can be preferred; an empty table makes none. Other columns are dropped.
+    """
+    own = conversations.filter(F.col("conv_id").isNotNull()).select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
+    spoken = own.filter(F.col("turn").isNotNull() & (F.col("role") == replier))
+    # one row a conversation; copies are reduced before the shuffle
+    last = spoken.groupBy("pair_id").agg(F.max(F.struct("turn", "text")).alias("_last"))
+    others = last.select(
+        F.col("pair_id").bitwiseXOR(F.lit(1).cast("long")).alias("pair_id"), F.col("_last.text").alias("_other")
+    )
+    pairs = last.join(others, "pair_id").select("pair_id", F.col("_last.turn").alias("_end"), "_other")
+    before = F.col("turn").isNull() | (F.col("turn") < F.col("_end"))
+    sides = F.when(before, F.array(F.lit(0), F.lit(1))).when(F.col("turn") == F.col("_end"), F.array(F.lit(0)))
+    said = own.join(pairs, "pair_id").select("pair_id", F.explode(sides).alias("side"), "turn", "role", "text")
+    replies = pairs.select(
+        "pair_id", F.lit(1).alias("side"), F.col("_end").alias("turn"), F.lit(replier).alias("role"), F.col("_other").alias("text")
+    )
+    return said.unionByName(replies)

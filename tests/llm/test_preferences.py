@@ -65,3 +65,32 @@ def test_repeated_turns_are_compared_as_bags(spark):
     for p, (a, b) in sides.items():
         want += [(p, "prompt")] * len(a) if sorted(a) == sorted(b) else [(p, "chosen")] * len(a) + [(p, "rejected")] * len(b)
     assert sorted((r["pair_id"], r["part"]) for r in got) == sorted(want)
+
+
+TURNS = "conv_id long, turn long, role string, text string, part string"
+
+
+def test_replies_are_swapped_between_neighbours(spark):
+    rows = [(2, t, ("user", "assistant")[t % 2], f"two {t}", "x") for t in range(5)]  # ends with a user turn
+    rows += [(3, t, ("user", "assistant")[t % 2], f"three {t}", "x") for t in range(2)]
+    rows += [(3, 1, "assistant", "three more", "x"), (3, None, "system", "note", "x")]
+    rows += [(4, 0, "user", "unanswered", None), (5, 0, "assistant", "hello", None), (6, 0, "assistant", "alone", None)]
+    rows += [(8, 0, "user", "q", None), (8, 1, "assistant", "same", None), (9, 0, "user", "r", None), (9, 1, "assistant", "same", None)]
+    rows += [(None, 0, "assistant", "nobody", None), (10, None, "assistant", "unplaced", None), (11, 0, "assistant", None, None)]
+    got = preferences.format_pairs(preferences.swapped_replies(spark.createDataFrame(rows, TURNS))).collect()
+    assert sorted((r["pair_id"], r["part"], -1 if r["turn"] is None else r["turn"], r["segment"]) for r in got) == sorted([
+        *[(2, "prompt", t, render(("user", "assistant")[t % 2], f"two {t}")) for t in range(3)],
+        (2, "chosen", 3, render("assistant", "two 3")), (2, "rejected", 3, render("assistant", "three more")),
+        (3, "prompt", -1, render("system", "note")), (3, "prompt", 0, render("user", "three 0")),
+        (3, "chosen", 1, render("assistant", "three 1")), (3, "chosen", 1, render("assistant", "three more")),
+        (3, "rejected", 1, render("assistant", "two 3")),
+        *[(c, "prompt", t, render(r, x)) for c, q in ((8, "q"), (9, "r")) for t, r, x in ((0, "user", q), (1, "assistant", "same"))],
+    ])
+    assert preferences.swapped_replies(spark.createDataFrame([], TURNS)).count() == 0
+
+
+def test_query_gives_prompts_and_both_completions(spark):
+    from folioforge.llm.plans import LLM_QUERIES
+
+    parts = LLM_QUERIES["op5_preference_pairs"](spark, "/root/testdata/sf0.001").groupBy("pair_id").pivot("part", ["prompt", "chosen", "rejected"]).count().collect()
+    assert parts and all(r["prompt"] and r["chosen"] == r["rejected"] == 1 for r in parts)
