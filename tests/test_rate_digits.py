@@ -95,3 +95,12 @@ def test_xirr_adds_single_flows_of_a_day_in_order(spark):
     expected = {k: plain_xirr([d for d, _ in fs], [a for _, a in fs]) for k, fs in series.items()}
     assert found == expected
     assert sum(r is not None for r in expected.values()) > 500
+
+
+def test_a_month_of_five_thousand_flows_is_solved_in_one_array(spark, monkeypatch):
+    """Step by step, such a series takes a hundred jobs."""
+    monkeypatch.setattr(returns, "_long_irr", None)
+    amounts = [-9.0] + [1.0] * 4_999
+    series = {"P": [(k, a) for k, a in enumerate(amounts)]}
+    [row] = returns.irr_results(frame(spark, series), BY).collect()
+    assert (row.flow_count, row.irr) == (5_000, plain_irr(amounts))
