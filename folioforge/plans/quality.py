@@ -78,7 +78,9 @@ def dq_invalid_refs(spark: SparkSession, folder: str) -> DataFrame:
     dates = quality.invalid_dates(feed, "trade_text").select(
         F.lit("invalid_date").alias("problem"), *ids, F.col("trade_text").alias("found")
     )
-    unknown = quality.unknown_references(feed, model.currencies(spark, folder), "currency_code").select(
+    # One row per code, however many lines use it: a shuffle by code would send each code's lines to one task.
+    codes = F.broadcast(model.currencies(spark, folder))
+    unknown = quality.unknown_references(feed, codes, "currency_code").select(
         F.lit("unknown_currency").alias("problem"), *ids, F.col("currency_code").alias("found")
     )
     return dates.unionByName(unknown)
