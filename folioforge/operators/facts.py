@@ -16,20 +16,28 @@ from folioforge.sources.tables import month_of
 
 
 def build_fact(
-    raw: DataFrame, spec: FactSpec, references: Mapping[str, DataFrame], as_of_ts: str
+    raw: DataFrame,
+    spec: FactSpec,
+    references: Mapping[str, DataFrame],
+    as_of_ts: str,
+    dimensions: Sequence[str] | None = None,
 ) -> DataFrame:
     """Natural keys, surrogate keys of the current dimension rows, typed measures, bi-temporal stamp.
 
     ``references`` maps a dimension table to (business key, surrogate key). Dimensions join without a
     hint: Catalyst broadcasts those whose size is known to be small and shuffles the others. Rows without a key
-    are spread over all partitions of a shuffled join.
+    are spread over all partitions of a shuffled join. A surrogate key that ``raw`` already has is kept. ``dimensions``
+    names those whose surrogate keys are wanted, if not all.
     """
     keys = [DIMENSION[name] for name in spec.dimensions]
+    wanted = [k for k in keys if dimensions is None or k.table in dimensions]
+    known = [k.surrogate_key for k in wanted if k.surrogate_key in raw.columns]
     event_date = F.try_to_date(F.col(spec.event_date).cast("string"))
     natural = [k.business_key for k in keys]
     typed = raw.select(
         spec.key,
         *natural,
+        *known,
         event_date.alias(spec.event_date),
         *(F.try_to_date(F.col(c).cast("string")).alias(c) for c in spec.dates),
         *spec.labels,
@@ -38,12 +46,14 @@ def build_fact(
         month_of(event_date).alias(spec.month),
     )
     enriched = typed
-    for k in keys:
+    for k in wanted:
+        if k.surrogate_key in known:
+            continue
         enriched = lookup_join(enriched, references[k.table], k.business_key, spec.key)
     ordered = enriched.select(
         spec.key,
         *natural,
-        *(k.surrogate_key for k in keys),
+        *(k.surrogate_key for k in wanted),
         spec.event_date,
         *spec.dates,
         *spec.labels,

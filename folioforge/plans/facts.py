@@ -42,8 +42,12 @@ def _fact(spark: SparkSession, folder: str, table: str, raw: DataFrame) -> DataF
 
 
 def _transactions(spark: SparkSession, folder: str) -> DataFrame:
+    spec = FACT["fact_transactions"]
+    references = inputs.references(spark, folder, spec.dimensions)
+    # one row per currency code
+    references["dim_currency"] = F.broadcast(references["dim_currency"])
     raw = model.transactions(spark, folder).withColumn("load_id", F.lit(inputs.PARAMS.load_id))
-    return _fact(spark, folder, "fact_transactions", raw)
+    return facts.build_fact(raw, spec, references, inputs.AS_OF)
 
 
 @query(
@@ -191,12 +195,14 @@ _POINT_IN_TIME = f"""SELECT transaction_id, {day('trade_dt')} AS trade_dt, portf
 def _point_in_time(spark: SparkSession, folder: str, rows: int | None) -> DataFrame:
     portfolios = inputs.recorded(inputs.dim_portfolio(spark, folder))
     currencies = inputs.recorded(inputs.dim_currency(spark, folder))
-    raw = model.transactions(spark, folder).withColumn("load_id", F.lit(inputs.PARAMS.load_id))
-    references = inputs.references(spark, folder, ("dim_instrument", "dim_counterparty"))
-    references["dim_portfolio"] = dimensions.current_reference(portfolios, "portfolio_id", "portfolio_sk")
-    references["dim_currency"] = dimensions.current_reference(currencies, "currency_code", "currency_sk")
-    trades = facts.build_fact(raw, FACT["fact_transactions"], references, inputs.AS_OF)
-    return reports.point_in_time(trades, portfolios, currencies, rows)
+    # The report shows two dimensions, so the two others are not looked up. Currencies are one row per code.
+    references = {
+        "dim_portfolio": dimensions.current_reference(portfolios, "portfolio_id", "portfolio_sk"),
+        "dim_currency": F.broadcast(dimensions.current_reference(currencies, "currency_code", "currency_sk")),
+    }
+    raw = model.transactions(spark, folder, references).withColumn("load_id", F.lit(inputs.PARAMS.load_id))
+    trades = facts.build_fact(raw, FACT["fact_transactions"], references, inputs.AS_OF, tuple(references))
+    return reports.point_in_time(trades, portfolios, F.broadcast(currencies), rows)
 
 
 @query("point_in_time_query", f"WITH {TRANSACTIONS}, {_DIMS} {_POINT_IN_TIME}")

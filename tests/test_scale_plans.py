@@ -19,3 +19,8 @@ def plan(spark):
 
 def test_lines_do_not_meet_currency_codes_by_code(plan):
     assert "SortMergeJoin [currency_code" not in plan("dq_invalid_refs")
+
+
+def test_the_report_joins_only_the_dimensions_it_shows(plan):
+    found = plan("point_in_time_query")
+    assert "instrument_sk" not in found and "counterparty_sk" not in found
