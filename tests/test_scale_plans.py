@@ -21,6 +21,12 @@ def test_lines_do_not_meet_currency_codes_by_code(plan):
     assert "SortMergeJoin [currency_code" not in plan("dq_invalid_refs")
 
 
+def test_surrogate_keys_are_found_before_lines_become_wide(plan):
+    """Each shuffle of a trade's text row is a join by one of its keys; bare lines and orders carry numbers."""
+    exchanges = [line for line in plan("fact_transactions").splitlines() if "SortMergeJoin" in line]
+    assert exchanges and "l_orderkey" in exchanges[0]
+
+
 def test_the_report_joins_only_the_dimensions_it_shows(plan):
     found = plan("point_in_time_query")
     assert "instrument_sk" not in found and "counterparty_sk" not in found
