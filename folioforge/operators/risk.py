@@ -18,6 +18,8 @@ DAY = ["portfolio_id", "as_of_date"]
 BRACKET_ACCURACY = 2000
 # Most values of a portfolio day that are sorted in one array.
 TOGETHER = 100_000
+# PnL per day is added up in blocks of 2 ** BLOCK_BITS days, one sum for each day of a block.
+BLOCK_BITS = 5
 
 
 def _in_stress_window(params: RunParams) -> Column:
@@ -39,10 +41,10 @@ def _held(positions: DataFrame, params: RunParams, carry: Sequence[str] = ()) ->
     )
 
 
-def _history(prices: DataFrame, params: RunParams, stressed: bool) -> DataFrame:
+def _history(prices: DataFrame, params: RunParams, stressed: bool, carry: Sequence[str] = ()) -> DataFrame:
     """Returns by instrument and day: the full history, or the days of the stress window."""
     history = prices.select(
-        "instrument_id", F.col("price_dt").alias("historical_dt"), "return_pct"
+        "instrument_id", F.col("price_dt").alias("historical_dt"), "return_pct", *carry
     )
     return history.where(_in_stress_window(params)) if stressed else history
 
@@ -60,16 +62,20 @@ def simulated_pnl(
     prices: DataFrame,
     params: RunParams,
     carry: Sequence[str] = (),
+    carry_prices: Sequence[str] = (),
 ) -> DataFrame:
     """One row per position and price day up to the position day: value times that day's return.
 
     The join is on the instrument's natural key, so a new version of an instrument keeps its history.
     Prices have one row per instrument and day, so a position meets at most one row per calendar day;
-    an instrument held by very many positions is sliced. ``carry`` names further position columns.
+    an instrument held by very many positions is sliced. ``carry`` names further position columns, ``carry_prices``
+    further price columns; texts are made there or here before the join, since it repeats each row many times.
     """
-    history = _history(prices, params, stressed=False)
+    month = F.date_format("as_of_date", "yyyyMM").alias("position_yyyymm")
+    held = _held(positions, params, carry).select("*", month)
+    history = _history(prices, params, False, carry_prices)
     return (
-        salted_join(_held(positions, params, carry), history, "instrument_id")
+        salted_join(held, history, "instrument_id", spread_by=DAY)
         .where(_usable(F.col("historical_dt"), params))
         .select(
             "portfolio_id",
@@ -78,8 +84,9 @@ def simulated_pnl(
             "historical_dt",
             (F.col("market_value") * F.col("return_pct")).alias("simulated_pnl"),
             "market_value",
-            F.date_format("as_of_date", "yyyyMM").alias("position_yyyymm"),
+            "position_yyyymm",
             *carry,
+            *carry_prices,
         )
     )
 
@@ -280,9 +287,27 @@ def risk_summary(measures: DataFrame, params: RunParams) -> DataFrame:
     )
 
 
+def _block_sums(pnl: DataFrame) -> DataFrame:
+    """Portfolio PnL per block of days: ``_sums``, one for each day of the block, and ``_days``, the days that have rows as bits.
+
+    Simulated days of a portfolio day are bounded by the calendar, but each task meets nearly all of them. One row per
+    block instead of one per day keeps the sums of a task, and what it sends to the next stage, small.
+    """
+    day, size = F.unix_date("historical_dt"), 1 << BLOCK_BITS
+    placed = pnl.select(
+        *DAY, F.shiftright(day, BLOCK_BITS).alias("_block"), day.bitwiseAND(size - 1).alias("_slot"), "simulated_pnl"
+    )
+    sums = [F.sum(F.when(F.col("_slot") == i, F.col("simulated_pnl"))).alias(f"_{i}") for i in range(size)]
+    blocks = placed.groupBy(*DAY, "_block").agg(F.expr("bit_or(shiftleft(1L, _slot))").alias("_days"), *sums)
+    return blocks.select(*DAY, "_block", "_days", F.array(*[f"_{i}" for i in range(size)]).alias("_sums"))
+
+
 def daily_pnl(pnl: DataFrame) -> DataFrame:
     """Portfolio PnL on each historical day."""
-    return pnl.groupBy(*DAY, "historical_dt").agg(F.sum("simulated_pnl").alias("pnl"))
+    present = F.expr("(shiftright(_days, _slot) & 1) = 1")
+    days = _block_sums(pnl).select(*DAY, "_block", "_days", F.posexplode("_sums").alias("_slot", "pnl")).where(present)
+    date = F.date_from_unix_date(F.shiftleft("_block", BLOCK_BITS) + F.col("_slot"))
+    return days.select(*DAY, date.alias("historical_dt"), "pnl")
 
 
 def portfolio_level_var(
@@ -294,9 +319,9 @@ def portfolio_level_var(
     calendar day. Percentages use the value of the portfolio itself, each position counted once.
     """
     series = (
-        daily_pnl(pnl)
+        _block_sums(pnl)
         .groupBy(*DAY)
-        .agg(F.sort_array(F.collect_list("pnl")).alias("_ordered"))
+        .agg(F.sort_array(F.flatten(F.collect_list(F.array_compact("_sums")))).alias("_ordered"))
     )
     value = positions.groupBy("portfolio_id", F.col("position_dt").alias("as_of_date")).agg(
         F.sum("market_value").alias("portfolio_market_value")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,15 +31,17 @@ def salted_join(
     how: str = "inner",
     min_rows: int = HOT_ROWS,
     counted: DataFrame | None = None,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join on ``key``: hot keys of ``large`` are cut into slices, their ``small`` rows are repeated.
 
     All other keys join as usual. The slice is a hash of the row, so a retried task cuts it the same way.
     The hot-key table has at most ``1 / HOT_SHARE`` rows, which bounds the broadcast. ``counted`` is a
-    cheaper frame with the same keys to find them in, where ``large`` is itself the result of a join.
+    cheaper frame with the same keys to find them in, where ``large`` is itself the result of a join. ``spread_by``
+    names columns that tell rows of a key apart, so that columns nobody asks for are not read for the hash.
     """
     hot = F.broadcast(hot_keys(large if counted is None else counted, key, min_rows))
-    others = [c for c in large.columns if c != key]
+    others = [c for c in large.columns if c != key] if spread_by is None else spread_by
     sliced = large.join(hot, key, "left").withColumn(
         "_slice",
         F.when(F.col("_salts").isNull(), 0)

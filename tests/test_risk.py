@@ -180,3 +180,12 @@ def test_brackets_that_miss_are_widened(spark, monkeypatch):
     monkeypatch.setattr(risk.F, "percentile_approx", lambda c, ends, accuracy: real(c, [min(1.0, e + 0.2) for e in ends], accuracy))
     got = {r.k: r._losses for r in risk.exact_quantiles(df, ["k"], "v", [50, 10]).collect()}
     assert got == {k: plain_losses(vs) for k, vs in groups.items()}
+
+
+def test_days_of_blocks_are_the_days_of_the_rows(spark, rows):
+    """Days before 1970, on both edges of a block, without a known PnL, and several rows of a day."""
+    days = [date(1969, 12, 31), date(1970, 1, 1), date(1970, 2, 1), date(1970, 2, 2), date(2024, 2, 29)]
+    pnl = [(p, START, d, None if d == days[2] else 1.5 * n) for n, d in enumerate(days) for p in ("P", None) for _ in range(n + 1)]
+    df = spark.createDataFrame(pnl, "portfolio_id string, as_of_date date, historical_dt date, simulated_pnl double")
+    plain = df.groupBy("portfolio_id", "as_of_date", "historical_dt").sum("simulated_pnl")
+    assert rows(risk.daily_pnl(df)) == rows(plain)

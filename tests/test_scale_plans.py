@@ -30,3 +30,11 @@ def test_surrogate_keys_are_found_before_lines_become_wide(plan):
 def test_the_report_joins_only_the_dimensions_it_shows(plan):
     found = plan("point_in_time_query")
     assert "instrument_sk" not in found and "counterparty_sk" not in found
+
+
+def test_portfolio_pnl_is_added_up_in_blocks_of_days(plan):
+    """A task sends one row per portfolio day and block of days, not one per simulated day."""
+    for query in ("var_portfolio_level", "expected_shortfall"):
+        found = plan(query)
+        assert "_block" in found and "keys=[portfolio_id" in found
+        assert not [line for line in found.splitlines() if "HashAggregate(keys=[" in line and "historical_dt" in line.split("]")[0]]
