@@ -9,7 +9,7 @@ from folioforge.functions.temporal import stamp
 from folioforge.operators import reports, risk
 from folioforge.plans.inputs import PARAMS
 from folioforge.plans.model_sql import LINES, NATION_POSITIONS, POSITIONS, PRICES
-from folioforge.plans.registry import day, moment, present, query, rounded
+from folioforge.plans.registry import day, moment, nearest, present, query, rounded
 from folioforge.session import materialize
 from folioforge.sources import model
 
@@ -56,8 +56,20 @@ def _facts(
     FROM pnl""",
 )
 def pnl_distribution(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts and rounded values are made once per position and price, not once per simulated day."""
     held, quotes = _facts(spark, folder)
-    return present(risk.simulated_pnl(held, quotes, PARAMS), 6)
+    held = held.withColumns({"day_text": F.date_format("position_dt", "yyyy-MM-dd"), "shown_value": nearest(F.col("market_value"), 6)})
+    quotes = quotes.withColumn("history_text", F.date_format("price_dt", "yyyy-MM-dd"))
+    pnl = risk.simulated_pnl(held, quotes, PARAMS, ["day_text", "shown_value"], ["history_text"])
+    return pnl.select(
+        "portfolio_id",
+        "instrument_id",
+        F.col("day_text").alias("as_of_date"),
+        F.col("history_text").alias("historical_dt"),
+        nearest(F.col("simulated_pnl"), 6).alias("simulated_pnl"),
+        F.col("shown_value").alias("market_value"),
+        "position_yyyymm",
+    )
 
 
 def _position_var(spark: SparkSession, folder: str) -> DataFrame:

@@ -38,3 +38,9 @@ def test_portfolio_pnl_is_added_up_in_blocks_of_days(plan):
         found = plan(query)
         assert "_block" in found and "keys=[portfolio_id" in found
         assert not [line for line in found.splitlines() if "HashAggregate(keys=[" in line and "historical_dt" in line.split("]")[0]]
+
+
+def test_pnl_rows_take_their_texts_from_positions_and_prices(plan):
+    """No date becomes text above the join, which repeats each position and price many times."""
+    above, below = plan("pnl_distribution").split("SortMergeJoin", 1)
+    assert "date_format" not in above and below.count("date_format") >= 3
