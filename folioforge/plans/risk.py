@@ -38,12 +38,17 @@ def _quantiles(name: str, pnl: str, prefix: str) -> str:
 
 
 def _facts(
-    spark: SparkSession, folder: str, portfolio: str = "supplier"
+    spark: SparkSession, folder: str, portfolio: str = "supplier", classes: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Positions and prices as written tables: simulations start from stored facts and scan them by column."""
+    """Positions and prices as written tables: simulations start from stored facts and scan them by column.
+
+    Positions have the columns of ``classes`` of their instrument, if given.
+    """
     held = model.positions(spark, folder, portfolio).select(
         "portfolio_id", "instrument_id", "position_dt", "market_value", "position_yyyymm"
     )
+    if classes is not None:
+        held = held.join(classes, "instrument_id")
     quotes = model.prices(spark, folder).select("instrument_id", "price_dt", "return_pct")
     return materialize(held, "positions"), materialize(quotes, "prices")
 
@@ -203,9 +208,8 @@ def vw_portfolio_risk_asof(spark: SparkSession, folder: str) -> DataFrame:
 )
 def risk_by_class(spark: SparkSession, folder: str) -> DataFrame:
     classes = model.instruments(spark, folder).select("instrument_id", "asset_class_code")
-    held, quotes = _facts(spark, folder, "nation")
-    classified = held.join(classes, "instrument_id")
-    pnl = risk.simulated_pnl(classified, quotes, PARAMS, carry=["asset_class_code"])
+    held, quotes = _facts(spark, folder, "nation", classes)
+    pnl = risk.simulated_pnl(held, quotes, PARAMS, carry=["asset_class_code"])
     return present(risk.tail_contribution(pnl, PARAMS).drop("tail_loss"), class_total=5)
 
 

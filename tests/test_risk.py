@@ -189,3 +189,13 @@ def test_days_of_blocks_are_the_days_of_the_rows(spark, rows):
     df = spark.createDataFrame(pnl, "portfolio_id string, as_of_date date, historical_dt date, simulated_pnl double")
     plain = df.groupBy("portfolio_id", "as_of_date", "historical_dt").sum("simulated_pnl")
     assert rows(risk.daily_pnl(df)) == rows(plain)
+
+
+def test_tail_days_too_many_to_broadcast(spark, rows, monkeypatch):
+    positions, prices, _ = book(spark, 80, instruments=4, portfolios=("P", "Q"))
+    classified = positions.selectExpr("*", "if(instrument_id < 'I2', 'BOND', 'EQUITY') asset_class_code")
+    pnl = risk.simulated_pnl(classified, prices, PARAMS, carry=["asset_class_code"])
+    shown = ("portfolio_id", "asset_class_code", "tail_days", "round(class_total, 6)", "round(tail_share, 6)")
+    few = rows(risk.tail_contribution(pnl, PARAMS).selectExpr(*shown))
+    monkeypatch.setattr(risk, "TAIL_ROWS", 0)
+    assert rows(risk.tail_contribution(pnl, PARAMS).selectExpr(*shown)) == few and len(few) == 4

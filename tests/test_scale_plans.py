@@ -44,3 +44,10 @@ def test_pnl_rows_take_their_texts_from_positions_and_prices(plan):
     """No date becomes text above the join, which repeats each position and price many times."""
     above, below = plan("pnl_distribution").split("SortMergeJoin", 1)
     assert "date_format" not in above and below.count("date_format") >= 3
+
+
+def test_only_tail_days_are_told_apart_by_class(plan):
+    """Simulated days are neither shuffled nor summed by class before the tail is known."""
+    found = plan("risk_by_class")
+    assert "BroadcastHashJoin [portfolio_id" in found and "tail-days" in found
+    assert "historical_dt" not in "".join(line for line in found.splitlines() if "Exchange hashpartitioning(portfolio_id" in line)
