@@ -93,36 +93,37 @@ def simulated_pnl(
     )
 
 
+def _returns(prices: DataFrame, params: RunParams, kinds: Sequence[str]) -> DataFrame:
+    """Returns of each instrument as one array, at most one entry per calendar day."""
+    day = F.struct("historical_dt", "return_pct", _in_stress_window(params).alias("stressed"))
+    history = _history(prices, params, tuple(kinds) == ("svar",))
+    return history.groupBy("instrument_id").agg(F.collect_list(day).alias("_returns"))
+
+
 def _pnl_per_position(
-    positions: DataFrame, prices: DataFrame, params: RunParams, kinds: Sequence[str]
+    held: DataFrame, returns: DataFrame, counted: DataFrame, params: RunParams, kinds: Sequence[str]
 ) -> DataFrame:
-    """One row per position; for each kind its simulated PnL as an array without nulls, and ``<kind>_rows``.
+    """One row per position; for each kind its simulated PnL as a sorted array without nulls, ``<kind>_known``, the number
+    of these values, and ``<kind>_rows``, that of simulated days.
 
     The same values as :func:`simulated_pnl`, at most one per calendar day, but what is shuffled in the join is one
-    row per position instead of one per position and day. All kinds come from one join.
+    row per position instead of one per position and day. All kinds come from one join. ``counted`` has the same
+    instruments as ``held`` and is cheaper to scan.
     """
-    held = _held(positions, params)
     only_stressed = tuple(kinds) == ("svar",)
-    returns = (
-        _history(prices, params, only_stressed)
-        .groupBy("instrument_id")
-        .agg(
-            F.collect_list(
-                F.struct("historical_dt", "return_pct", _in_stress_window(params).alias("stressed"))
-            ).alias("_returns")
-        )
-    )
     usable = F.filter("_returns", lambda r: _usable(r["historical_dt"], params))
-    met = salted_join(held, returns, "instrument_id").select(*DAY, "market_value", usable.alias("_days"))
+    kept = [c for c in held.columns if c != "instrument_id"]
+    met = salted_join(held, returns, "instrument_id", counted=counted, spread_by=DAY).select(*kept, usable.alias("_days"))
     days = {
         kind: F.col("_days") if kind == "var" or only_stressed else F.filter("_days", lambda r: r["stressed"])
         for kind in kinds
     }
     simulated = [
-        F.array_compact(F.transform(d, lambda r: F.col("market_value") * r["return_pct"])).alias(k)
+        F.sort_array(F.array_compact(F.transform(d, lambda r: F.col("market_value") * r["return_pct"]))).alias(k)
         for k, d in days.items()
     ]
-    return met.select(*DAY, "market_value", *simulated, *[F.size(d).alias(f"{k}_rows") for k, d in days.items()])
+    met = met.select(*kept, *simulated, *[F.size(d).alias(f"{k}_rows") for k, d in days.items()])
+    return met.select("*", *[F.size(k).alias(f"{k}_known") for k in kinds])
 
 
 def tail_rank(n: Column, permille: int) -> Column:
@@ -212,16 +213,51 @@ def position_measures(
 ) -> DataFrame:
     """Per portfolio day, for each kind (all history, stress window): losses, value and number of simulations.
 
-    One join and one pass serve all kinds and levels. As in the published measure, losses are quantiles of the PnL
+    One join and one pass serve all kinds and levels. A portfolio day that cannot have more than ``TOGETHER`` values, by
+    its positions and the longest history, needs only so many smallest values of each position as its highest rank;
+    others go through :func:`packed_quantiles` with all values. As in the published measure, losses are quantiles of the PnL
     that is known, while simulations and market value count every position and history day, also those without a
     return.
     """
-    per_position = materialize(_pnl_per_position(positions, prices, params, kinds), "position-pnl")
     totals = []
     for k in kinds:
         totals.append(F.sum(F.col("market_value") * F.col(f"{k}_rows")).alias(f"{k}_value"))
         totals.append(F.sum(f"{k}_rows").alias(f"{k}_count"))
-    return packed_quantiles(per_position, DAY, kinds, [tail for _, tail in params.tails_permille], totals)
+    permilles = [tail for _, tail in params.tails_permille]
+    held = _held(positions, params)
+    returns = materialize(_returns(prices, params, kinds), "returns")
+    longest = returns.agg(F.coalesce(F.max(F.size("_returns")), F.lit(0))).first()[0]
+    # Days of one position are not listed: their number is known without.
+    named = [F.col(c).alias(f"_{c}") for c in DAY]
+    shared = held.groupBy(*named).agg(F.count(F.lit(1)).alias("_shared")).where("_shared > 1")
+    shared = materialize(shared, "shared-days")
+    same_day = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in DAY])
+    most = F.coalesce("_shared", F.lit(1)) * F.lit(longest).cast("long")
+    sized = held.join(shared, same_day, "left").select(*held.columns, most.alias("_most"))
+    few, many = sized.where(F.col("_most") <= TOGETHER), sized.where(F.col("_most") > TOGETHER).drop("_most")
+    per_position = _pnl_per_position(few, returns, positions, params, kinds)
+    # A value at one of the ranks is among that many smallest ones of its own position.
+    lowest = tail_rank(F.col("_most"), max(permilles))
+    least = [F.slice(k, F.lit(1), lowest).alias(k) for k in kinds]
+    numbers = [f"{k}_{what}" for k in kinds for what in ("rows", "known")]
+    packed = (
+        per_position.select(*DAY, "market_value", *least, *numbers)
+        .groupBy(*DAY)
+        .agg(
+            *totals,
+            *[F.sum(f"{k}_known").alias(f"{k}_known") for k in kinds],
+            *[F.sort_array(F.flatten(F.collect_list(k))).alias(k) for k in kinds],
+        )
+    )
+    losses = [
+        F.array(*[F.get(k, tail_rank(F.col(f"{k}_known"), m) - 1) for m in permilles]).alias(f"{k}_losses") for k in kinds
+    ]
+    shown = [c for k in kinds for c in (f"{k}_value", f"{k}_count")]
+    packed = packed.select(*DAY, *shown, *losses)
+    if longest <= TOGETHER and shared.where(F.col("_shared") * F.lit(longest).cast("long") > TOGETHER).isEmpty():
+        return packed
+    rest = materialize(_pnl_per_position(many, returns, positions, params, kinds), "position-pnl")
+    return packed.unionByName(packed_quantiles(rest, DAY, kinds, permilles, totals))
 
 
 def measured_results(measures: DataFrame, params: RunParams, kind: str) -> DataFrame:

@@ -51,3 +51,10 @@ def test_only_tail_days_are_told_apart_by_class(plan):
     found = plan("risk_by_class")
     assert "BroadcastHashJoin [portfolio_id" in found and "tail-days" in found
     assert "historical_dt" not in "".join(line for line in found.splitlines() if "Exchange hashpartitioning(portfolio_id" in line)
+
+
+def test_position_pnl_is_cut_to_its_ranks_before_the_shuffle(plan):
+    """Positions are not written with all their simulated days, and send only values that can be at a rank."""
+    for query in ("var_position_level", "vw_portfolio_risk_asof", "vw_portfolio_risk_summary"):
+        found = plan(query)
+        assert "position-pnl" not in found and "slice(" in found
