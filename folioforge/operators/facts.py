@@ -69,21 +69,20 @@ def affected_months(batch: DataFrame, month: str) -> DataFrame:
     return batch.select(month).where(F.col(month).isNotNull()).distinct()
 
 
-def merge_corrections(
-    existing: DataFrame, arrived: DataFrame, keys: Sequence[str], month: str
-) -> DataFrame:
-    """New content of the months a batch touches: rows of the batch, and old rows whose key did not arrive.
+def kept_rows(existing: DataFrame, arrived: DataFrame, keys: Sequence[str], month: str) -> DataFrame:
+    """Old rows of the months a batch touches whose key did not arrive; with the batch they are the new content.
 
-    ``arrived`` is the batch with one row per key; it is read three times, so it should be a written table. Old
+    ``arrived`` is the batch with one row per key; it is read twice here, so it should be a written table. Old
     rows are not compared with each other, so what a month holds does not depend on which months a batch happens
-    to touch. ``keys`` must include the event month, since identifiers restart every month.
+    to touch. ``keys`` must include the event month, since identifiers restart every month; so only the keys of
+    months that exist already have to be compared.
     """
     # One row per month: small enough to broadcast by nature, and it prunes the partitions to read.
     months = F.broadcast(affected_months(arrived, month))
-    named = arrived.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    known = F.broadcast(affected_months(existing, month))
+    named = arrived.join(known, month, "left_semi").select(*[F.col(k).alias(f"_{k}") for k in keys])
     same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    kept = existing.join(months, month, "left_semi").join(named, same_key, "left_anti")
-    return kept.unionByName(arrived)
+    return existing.join(months, month, "left_semi").join(named, same_key, "left_anti")
 
 
 def restate(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from folioforge.functions.hashing import record_hash
 from folioforge.functions.temporal import ts
 from folioforge.operators.bronze import align
-from folioforge.operators.facts import affected_months, changed_versions, merge_corrections
+from folioforge.operators.facts import affected_months, changed_versions, kept_rows
 from folioforge.operators.keys import latest_per_key
 from folioforge.operators.quality import schema_violations
 from folioforge.session import materialize
@@ -36,13 +36,14 @@ def upsert_months(
 ) -> None:
     """Correct rows of the affected months and keep all others.
 
-    Of rows that share a key within the batch the latest one is taken. The batch is read once. The merged months are staged first, because a table cannot be overwritten while it is read.
+    Of rows that share a key within the batch the latest one is taken. The batch is read once. Old
+    rows that stay are staged first, because a table cannot be overwritten while it is read; the batch is staged already.
     """
     spark = batch.sparkSession
     existing = spark.read.schema(batch.schema).parquet(path)
     arrived = materialize(latest_per_key(batch, list(keys), list(latest_by)), "arrived")
-    merged = merge_corrections(existing, arrived, keys, month)
-    replace_months(materialize(merged, "upsert"), path, month)
+    kept = materialize(kept_rows(existing, arrived, keys, month), "upsert")
+    replace_months(arrived.unionByName(kept), path, month)
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -119,8 +120,8 @@ def save_corrections(
         return
     check_schema(batch, table)
     arrived = materialize(latest_per_key(batch, list(keys), list(latest_by)), "arrived")
-    merged = merge_corrections(spark.table(table), arrived, keys, month)
-    save_months(materialize(merged, "corrections"), table, month)
+    kept = materialize(kept_rows(spark.table(table), arrived, keys, month), "corrections")
+    save_months(arrived.unionByName(kept), table, month)
 
 
 #: Columns that say when a fact was recorded, not what it says.

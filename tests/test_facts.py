@@ -218,3 +218,18 @@ def test_rows_without_a_key_are_spread(spark, rows):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_corrections_stage_only_old_rows_that_stay(spark, table, monkeypatch):
+    staged = {}
+    plain = sinks.materialize
+
+    def counting(df, label):
+        written = plain(df, label)
+        staged[label] = written.count()
+        return written
+
+    monkeypatch.setattr(sinks, "materialize", counting)
+    sinks.upsert_months(late_batch(spark), table, "trade_yyyymm", KEYS, ["load_no"])
+    assert staged == {"arrived": 200, "upsert": 190}
+    assert counts(spark, table) == {"202601": 210, "202602": 180}
